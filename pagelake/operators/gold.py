@@ -53,6 +53,16 @@ def column_plan(names: list[str]) -> list[tuple[str, str]]:
     return out
 
 
+def _renamed(plan: list[tuple[str, str]]):
+    """field_name with colliding names replaced by their gold column name
+    (only the few renamed names are spelled out)."""
+    out = F.col("field_name")
+    for n, c in plan:
+        if n != c:
+            out = F.when(F.col("field_name") == F.lit(n), F.lit(c)).otherwise(out)
+    return out
+
+
 def _too_many(spark, names) -> bool:
     return len(names) > int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
 
@@ -75,9 +85,9 @@ def curated_wide(silver: DataFrame, params: RunParams, names: list[str] | None =
     if not names:
         return _stamp(valid.select(*GOLD_KEYS).distinct(), params)
     plan = column_plan(names)
-    pivoted = valid.groupBy(*GOLD_KEYS).pivot("field_name", names).agg(F.min("field_value_clean"))
-    wide = pivoted.select(*GOLD_KEYS, *[F.col(f"`{n}`").alias(c) for n, c in plan])
-    return _stamp(wide, params)
+    valid = valid.withColumn("field_name", _renamed(plan))
+    pivoted = valid.groupBy(*GOLD_KEYS).pivot("field_name", [c for _, c in plan]).agg(F.min("field_value_clean"))
+    return _stamp(pivoted, params)
 
 
 def curated_wide_keys_join(silver: DataFrame, params: RunParams,
@@ -89,9 +99,10 @@ def curated_wide_keys_join(silver: DataFrame, params: RunParams,
     plan = column_plan(names)
     valid = silver.filter(F.col("is_valid"))
     keys = valid.select(*GOLD_KEYS).dropDuplicates(["record_id"])
-    pivoted = valid.groupBy("record_id").pivot("field_name", names).agg(F.min("field_value_clean"))
-    pivoted = pivoted.select("record_id", *[F.col(f"`{n}`").alias(c) for n, c in plan])
-    return _stamp(keys.join(pivoted, on="record_id", how="left"), params)
+    pivoted = (valid.withColumn("field_name", _renamed(plan)).withColumnRenamed("record_id", "_rid")
+               .groupBy("_rid").pivot("field_name", [c for _, c in plan]).agg(F.min("field_value_clean")))
+    wide = keys.join(pivoted, keys["record_id"] == pivoted["_rid"], "left").drop("_rid")
+    return _stamp(wide, params)
 
 
 def curated_wide_in_row(bronze: DataFrame, params: RunParams, names: list[str]) -> DataFrame:
