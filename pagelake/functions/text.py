@@ -35,9 +35,8 @@ def _col(c) -> Column:
 def snake_case_name(c) -> Column:
     """Lower-case, non-alphanumeric runs to ``_``, ``_`` trimmed at both
     ends; null or nothing left -> ``unknown_field``."""
-    c = _col(c)
-    n = F.btrim(F.regexp_replace(F.lower(c), NON_WORD_RUN, "_"), F.lit("_"))
-    return F.when(c.isNull() | (n == ""), F.lit(UNKNOWN_FIELD)).otherwise(n)
+    n = F.btrim(F.regexp_replace(F.lower(_col(c)), NON_WORD_RUN, "_"), F.lit("_"))
+    return F.coalesce(F.nullif(n, F.lit("")), F.lit(UNKNOWN_FIELD))
 
 
 def clean_whitespace(c) -> Column:

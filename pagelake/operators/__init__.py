@@ -1,0 +1,3 @@
+from . import bronze, gold, silver, views
+
+__all__ = ["bronze", "gold", "silver", "views"]

@@ -49,7 +49,7 @@ def parsed_fields(content: Column) -> Column:
         i.alias("field_position"),
         e["value"].alias("field_value_raw"),
     ))
-    return F.array_sort(fields)
+    return F.sort_array(fields)
 
 
 def distinct_fields(sorted_fields: Column) -> Column:

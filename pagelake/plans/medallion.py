@@ -21,6 +21,7 @@ Plan shape per layer (no driver collection except the gold field names):
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,7 @@ from ..params import RunParams, mode_for
 from ..schemas import GOLD_KEYS, GOLD_STAMP, SUMMARY_SCHEMA, column_names
 from ..sources.extract import extract_records
 from ..sources.tables import TableStore
-from .runlog import log_run
+from .runlog import RunLog
 
 log = logging.getLogger("pagelake.medallion")
 
@@ -48,14 +49,19 @@ class MedallionResult:
     summary: DataFrame
     field_names: list[str]
     counts: dict = field(default_factory=dict)
+    seconds: dict = field(default_factory=dict)
 
 
-def _guard(store: TableStore, params: RunParams, layer: str, fn):
-    """Run one layer; on failure write a ``failed`` log row, then re-raise."""
+def _guard(runlog: RunLog, layer: str, fn, seconds: dict):
+    """Run one layer; on failure write the log (with a ``failed`` row),
+    then re-raise."""
     try:
-        return fn()
+        t0 = time.time()
+        out = fn()
+        seconds[layer] = round(time.time() - t0, 3)
+        return out
     except Exception as exc:  # noqa: BLE001 - logged and re-raised
-        log_run(store, params, layer, "failed", 0, f"{type(exc).__name__}: {exc}"[:2000])
+        runlog.failed(layer, f"{type(exc).__name__}: {exc}")
         raise
 
 
@@ -72,23 +78,25 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     """
     t = params.tables
     counts: dict[str, int] = {}
+    seconds: dict[str, float] = {}
+    runlog = RunLog(store, params)
 
     def bronze_layer():
         recs = records if records is not None else extract_records(pages, params)
         return store.write(to_bronze(recs, params), t.bronze, mode_for("bronze", params.load_mode))
 
-    counts["bronze"] = _guard(store, params, "bronze", bronze_layer)
+    counts["bronze"] = _guard(runlog, "bronze", bronze_layer, seconds)
     if counts["bronze"] == 0:
         log.warning("no records extracted for run %s", params.run_id)
-    log_run(store, params, "scrape", "success", counts["bronze"])
-    log_run(store, params, "bronze", "success", counts["bronze"])
+    runlog.success("scrape", counts["bronze"])
+    runlog.success("bronze", counts["bronze"])
     bronze = store.read(t.bronze, run_id=params.run_id, columns=BRONZE_COLUMNS)
 
     def silver_layer():
         return store.write(to_silver(bronze, params), t.silver, mode_for("silver", params.load_mode))
 
-    counts["silver"] = _guard(store, params, "silver", silver_layer)
-    log_run(store, params, "silver", "success", counts["silver"])
+    counts["silver"] = _guard(runlog, "silver", silver_layer, seconds)
+    runlog.success("silver", counts["silver"])
     silver = store.read(t.silver, run_id=params.run_id, columns=SILVER_COLUMNS)
 
     def gold_layer():
@@ -103,10 +111,11 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
         store.write(summ, t.gold_summary, mode_for("gold_summary", params.load_mode))
         return names, n_gold
 
-    names, counts["gold"] = _guard(store, params, "gold", gold_layer)
-    log_run(store, params, "gold", "success", counts["gold"])
+    names, counts["gold"] = _guard(runlog, "gold", gold_layer, seconds)
+    runlog.success("gold", counts["gold"])
+    runlog.flush()
     gold_cols = gold_columns(names) if len(names) <= int(
         spark.conf.get("spark.sql.pivotMaxValues", "10000")) else None
     gold = store.read(t.gold, run_id=params.run_id, columns=gold_cols, merge_schema=True)
     summary = store.read(t.gold_summary, run_id=params.run_id, columns=column_names(SUMMARY_SCHEMA))
-    return MedallionResult(params, store, bronze, silver, gold, summary, names, counts)
+    return MedallionResult(params, store, bronze, silver, gold, summary, names, counts, seconds)

@@ -35,7 +35,7 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     if fmt == "parquet":
         return spark.read.parquet(path).select(*column_names(PAGES_SCHEMA))
     if fmt == "html":
-        df = spark.read.option("wholetext", "true").text(path)
+        df = spark.read.text(path, wholetext=True)
         url = F.col("_metadata.file_path")
         return df.select(
             F.xxhash64(url).alias("page_id"), url.alias("url"), F.col("value").alias("html"))
@@ -66,6 +66,17 @@ def _frame(rows) -> pd.DataFrame:
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Parsing is CPU-bound Python, so it should use every core.  A large
+    input already arrives in many scan splits and is left alone (no
+    shuffle); an input with fewer splits than the cluster's default
+    parallelism (one small file) is spread round-robin first.  Counting
+    splits only plans the scan, it does not run it."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
 def extract_raw(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 html_col: str = "html") -> DataFrame:
     """One row per extracted element, schema ``EXTRACT_SCHEMA``."""
@@ -74,7 +85,7 @@ def extract_raw(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.col(url_col).alias("source_url"),
         F.col(html_col).alias("html"),
     )
-    return src.mapInPandas(_extract_batches, EXTRACT_SCHEMA)
+    return spread(src).mapInPandas(_extract_batches, EXTRACT_SCHEMA)
 
 
 def extract_records(pages: DataFrame, params: RunParams, id_col: str = "page_id",

@@ -124,9 +124,12 @@ def register_tables(spark: SparkSession, store: TableStore, database: str,
     ensure_database(spark, database)
     for name in names.values():
         if store.exists(name):
-            spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` USING parquet "
-                      f"LOCATION '{store.path(name)}'")
-            spark.sql(f"REFRESH TABLE `{database}`.`{name}`")
+            full = f"`{database}`.`{name}`"
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{store.path(name)}'")
+            cols = spark.catalog.listColumns(name, database)
+            if any(c.isPartition for c in cols):
+                spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+            spark.sql(f"REFRESH TABLE {full}")
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,

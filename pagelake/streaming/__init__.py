@@ -1,0 +1,3 @@
+from .pages_stream import batch_params, start_pages_stream
+
+__all__ = ["batch_params", "start_pages_stream"]
