@@ -25,6 +25,8 @@ def get_spark(app_name: str = "pagelake", master: str | None = None) -> SparkSes
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # pages can be large: bound each Arrow batch handed to the parser by bytes too
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
         .getOrCreate()
     )
 
@@ -39,6 +41,8 @@ def shared_root(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not conf:
+        conf = spark.sparkContext.getCheckpointDir()
     if conf:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(conf)

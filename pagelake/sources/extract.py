@@ -67,14 +67,19 @@ def _frame(rows) -> pd.DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Parsing is CPU-bound Python, so it should use every core.  A large
-    input already arrives in many scan splits and is left alone (no
-    shuffle); an input with fewer splits than the cluster's default
-    parallelism (one small file) is spread round-robin first.  Counting
-    splits only plans the scan, it does not run it."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
+    """Parsing is CPU-bound Python (roughly ten times the cost per byte of
+    moving the bytes through a shuffle), so it should use every core.  An
+    input that arrives in at least half as many scan splits as the cluster
+    has cores is left alone (no shuffle: the common case for a large
+    table); only when cores outnumber splits at least two to one (a few
+    small files) is it spread round-robin first.  Counting splits only
+    plans the scan, it does not run it."""
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(want) if have * 2 <= want else df
 
 
 def extract_raw(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
