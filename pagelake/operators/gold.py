@@ -112,7 +112,11 @@ def curated_wide_in_row(bronze: DataFrame, params: RunParams, names: list[str])
     parsed and cleaned exactly as silver does and looked up by name.
     """
     valid_map = first_valid_per_name(parsed_fields(F.col("content")))
-    rec = bronze.select(*RECORD_KEYS, valid_map.alias("_m")).filter(F.size("_m") > 0)
+    # The map is produced by a generator (one element, or none when the
+    # record has no valid field): the parse runs once per row and the
+    # emptiness test cannot be pushed below it as a second copy.
+    non_empty = F.filter(F.array(valid_map), lambda m: F.size(m) > 0)
+    rec = bronze.select(*RECORD_KEYS, F.explode(non_empty).alias("_m"))
     keys = [F.col(k) for k in GOLD_KEYS]
     if _too_many(bronze.sparkSession, names):
         return _stamp(rec.select(*keys, F.col("_m").alias(MAP_COLUMN)), params)

@@ -83,7 +83,8 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
 
     def bronze_layer():
         recs = records if records is not None else extract_records(pages, params)
-        return store.write(to_bronze(recs, params), t.bronze, mode_for("bronze", params.load_mode))
+        return store.write(to_bronze(recs, params), t.bronze, mode_for("bronze", params.load_mode),
+                           run_id=params.run_id)
 
     counts["bronze"] = _guard(runlog, "bronze", bronze_layer, seconds)
     if counts["bronze"] == 0:
@@ -93,7 +94,8 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     bronze = store.read(t.bronze, run_id=params.run_id, columns=BRONZE_COLUMNS)
 
     def silver_layer():
-        return store.write(to_silver(bronze, params), t.silver, mode_for("silver", params.load_mode))
+        return store.write(to_silver(bronze, params), t.silver, mode_for("silver", params.load_mode),
+                           run_id=params.run_id)
 
     counts["silver"] = _guard(runlog, "silver", silver_layer, seconds)
     runlog.success("silver", counts["silver"])
@@ -105,10 +107,10 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
             wide = curated_wide_in_row(bronze, params, names)
         else:
             wide = curated_wide(silver, params, names)
-        n_gold = store.write(wide, t.gold, mode_for("gold", params.load_mode))
+        n_gold = store.write(wide, t.gold, mode_for("gold", params.load_mode), run_id=params.run_id)
         sources = pages.select(F.col("url").alias("source_url")) if records is None else None
         summ = run_summary(silver, params, sources=sources)
-        store.write(summ, t.gold_summary, mode_for("gold_summary", params.load_mode))
+        store.write(summ, t.gold_summary, mode_for("gold_summary", params.load_mode), run_id=params.run_id)
         return names, n_gold
 
     names, counts["gold"] = _guard(runlog, "gold", gold_layer, seconds)

@@ -316,7 +316,7 @@ def q_sink_roundtrip(spark, sf_dir):
     store = _store(spark, "sink_roundtrip")
     for prm, mode in ((P, "overwrite"), (P2, "append")):
         recs = payload_records(e, prm, "event_id", "props", "events", "event")
-        store.write(_silver_of(recs, prm), "silver", mode)
+        store.write(_silver_of(recs, prm), "silver", mode, run_id=prm.run_id)
     return store.read("silver", where="field_value_numeric >= 50").select(
         "run_id", "record_id", "field_name", "field_value_clean", "field_value_numeric")
 
@@ -331,7 +331,7 @@ def q_sink_schema_drift(spark, sf_dir):
                       F.lit("acctbal"), F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
     for prm, pay in ((P, p1), (P2, p2)):
         s = _silver_of(payload_records(c, prm, "c_custkey", pay, "customer", "row"), prm)
-        store.write(G.curated_wide(s, prm), "gold", "append")
+        store.write(G.curated_wide(s, prm), "gold", "append", run_id=prm.run_id)
     return store.read("gold", merge_schema=True).select("run_id", "record_id", "name", "segment", "acctbal")
 
 

@@ -3,10 +3,9 @@
 Layer tables are parquet folders under one root (a shared location on a
 cluster), partitioned by ``run_id``.  Modes:
 
-* ``append``: the run's partition is written with dynamic partition
-  overwrite.  Other runs are untouched, and a retried run replaces its own
-  earlier attempt instead of duplicating it, so a job that dies halfway
-  can simply be run again.
+* ``append``: the run's partition folder is (re)written.  Other runs are
+  untouched, and a retried run replaces its own earlier attempt instead of
+  duplicating it, so a job that dies halfway can simply be run again.
 * ``overwrite``: the whole table is replaced.
 * ``errorifexists``: fail if the table exists.
 
@@ -63,25 +62,38 @@ class TableStore:
         return _exists(self.spark, self.path(name))
 
     def write(self, df: DataFrame, name: str, mode: str = "append",
-              partition_by: str | None = PARTITION_COLUMN) -> int:
+              run_id: str | None = None) -> int:
         """Write ``df``; returns the number of rows written, measured by an
-        ``Observation`` on the write itself (no second job)."""
+        ``Observation`` on the write itself (no second job).
+
+        With ``run_id`` (all rows belong to that run) the rows go straight
+        into the run's partition folder: no dynamic-partition machinery and
+        no per-task sort on the partition column.  Without it the table is
+        written partitioned by the ``run_id`` column of the rows.
+        """
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
         obs = Observation(f"rows_{name}")
         observed = encode_complex(df).observe(obs, F.count(F.lit(1)).alias("rows"))
-        w = observed.write.format("parquet")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        if mode == "append" and partition_by:
-            w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        if mode == "errorifexists" and self.exists(name):
+            raise FileExistsError(f"table {self.path(name)} already exists")
+        if mode == "overwrite" and self.exists(name):
+            self._delete(name)
+        if run_id is not None:
+            observed.drop(PARTITION_COLUMN).write.mode("overwrite").format("parquet") \
+                .save(self.partition_path(name, run_id))
         else:
-            w = w.mode(mode)
-        w.save(self.path(name))
+            (observed.write.format("parquet").partitionBy(PARTITION_COLUMN)
+             .mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path(name)))
         rows = obs.get.get("rows", 0)
         log.info("wrote %d rows to %s (%s)", rows, self.path(name), mode)
         return int(rows)
 
+    def _delete(self, name: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
     def partition_path(self, name: str, run_id: str) -> str:
         esc = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog \
             .ExternalCatalogUtils.escapePathName(run_id)
@@ -91,13 +103,20 @@ class TableStore:
              columns: list[str] | None = None, merge_schema: bool = False) -> DataFrame:
         """Read a table.  ``run_id`` reads only that run's partition folder
         (schema merging then touches only that run's files); ``where`` is
-        pushed to the scan where it can be; ``columns`` fixes the order."""
-        reader = self.spark.read.option("mergeSchema", str(merge_schema).lower())
-        if run_id is not None:
-            df = (reader.option("basePath", self.path(name))
-                  .parquet(self.partition_path(name, run_id)))
-        else:
-            df = reader.parquet(self.path(name))
+        pushed to the scan where it can be; ``columns`` fixes the order.
+        Partition values stay strings (no type inference on run ids)."""
+        key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, "false")
+        try:
+            reader = self.spark.read.option("mergeSchema", str(merge_schema).lower())
+            if run_id is not None:
+                df = (reader.option("basePath", self.path(name))
+                      .parquet(self.partition_path(name, run_id)))
+            else:
+                df = reader.parquet(self.path(name))
+        finally:
+            self.spark.conf.set(key, before)
         if where:
             df = df.where(where)
         if columns:

@@ -135,3 +135,19 @@ def test_html_folder_source(spark, tmp_path):
     pages = read_pages(spark, str(d), fmt="html")
     assert pages.count() == 2
     assert extract_records(pages, P1).count() == 9
+
+
+def test_run_partition_write_and_string_run_ids(spark, store):
+    df = spark.range(4).select(F.col("id"), F.lit("20240101").alias("run_id"))
+    assert store.write(df, "p", "append", run_id="20240101") == 4
+    assert store.write(df, "p", "append", run_id="20240101") == 4  # replaced, not doubled
+    df2 = spark.range(2).select(F.col("id"), F.lit("0002").alias("run_id"))
+    store.write(df2, "p", "append", run_id="0002")
+    got = store.read("p")
+    assert dict(got.dtypes)["run_id"] == "string"
+    assert sorted(r.run_id for r in got.select("run_id").distinct().collect()) == ["0002", "20240101"]
+    assert store.read("p", run_id="0002").count() == 2
+    store.write(df2, "p", "overwrite", run_id="0002")
+    assert store.read("p").count() == 2
+    with pytest.raises(FileExistsError):
+        store.write(df2, "p", "errorifexists", run_id="0002")
