@@ -1,7 +1,8 @@
 """Sources: pages -> typed records, and payload tables -> typed records.
 
-``extract_records`` parses each page in a ``mapInPandas`` task (Arrow
-batches in and out, no shuffle); everything after the parse is native.
+``extract_records`` parses each page in a ``mapInArrow`` task (Arrow
+batches in and out, no pandas, no shuffle); everything after the parse is
+native.
 ``payload_records`` turns any table with a JSON (or map/struct) payload
 into the same record shape, so every later layer works on both.
 """
@@ -10,7 +11,6 @@ from __future__ import annotations
 
 import logging
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,27 +43,44 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def _extract_batches(batches):
+    """Arrow batches of pages in, Arrow batches of records out (at most
+    ``_OUT_BATCH`` records each, so a page with very many records streams)."""
+    import pyarrow as pa
+
     from .html_records import extract
 
-    buf: list[tuple] = []
-    for pdf in batches:
-        for key, url, html in zip(pdf["page_key"], pdf["source_url"], pdf["html"]):
+    schema = _arrow_schema()
+    cols: list[list] = [[] for _ in _EXTRACT_COLS]
+
+    def flush():
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
+        for c in cols:
+            c.clear()
+        return batch
+
+    for rb in batches:
+        d = rb.to_pydict()
+        for key, url, html in zip(d["page_key"], d["source_url"], d["html"]):
             if html is None:
                 continue
             for seq, (rtype, t_idx, r_idx, keys, values) in enumerate(extract(html)):
-                buf.append((key, url, rtype, t_idx, r_idx, seq, keys, values))
-            if len(buf) >= _OUT_BATCH:
-                yield _frame(buf)
-                buf = []
-    if buf:
-        yield _frame(buf)
+                for c, v in zip(cols, (key, url, rtype, t_idx, r_idx, seq, keys, values)):
+                    c.append(v)
+                if len(cols[0]) >= _OUT_BATCH:
+                    yield flush()
+    if cols[0]:
+        yield flush()
+
 
+def _arrow_schema():
+    import pyarrow as pa
 
-def _frame(rows) -> pd.DataFrame:
-    df = pd.DataFrame.from_records(rows, columns=_EXTRACT_COLS)
-    for c in ("table_index", "row_index", "extract_seq"):
-        df[c] = df[c].astype("Int32")
-    return df
+    return pa.schema([
+        ("page_key", pa.string()), ("source_url", pa.string()), ("record_type", pa.string()),
+        ("table_index", pa.int32()), ("row_index", pa.int32()), ("extract_seq", pa.int32()),
+        ("content_keys", pa.list_(pa.string())), ("content_values", pa.list_(pa.string())),
+    ])
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -90,7 +107,7 @@ def extract_raw(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.col(url_col).alias("source_url"),
         F.col(html_col).alias("html"),
     )
-    return spread(src).mapInPandas(_extract_batches, EXTRACT_SCHEMA)
+    return spread(src).mapInArrow(_extract_batches, EXTRACT_SCHEMA)
 
 
 def extract_records(pages: DataFrame, params: RunParams, id_col: str = "page_id",
