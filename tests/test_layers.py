@@ -174,7 +174,7 @@ def test_parse_input_spread_only_when_few_splits(spark):
     cores = spark.sparkContext.defaultParallelism
     few = spark.range(10).coalesce(1)
     many = spark.range(1000).repartition(max(cores, 2))
-    assert spread(few).rdd.getNumPartitions() == cores or cores < 2
+    if cores >= 2:
+        assert spread(few).rdd.getNumPartitions() == cores
     assert spread(many).rdd.getNumPartitions() == many.rdd.getNumPartitions()
-    assert "RoundRobinPartitioning" not in spread(many)._jdf.queryExecution().executedPlan().toString().split(
-        "Exchange hashpartitioning")[0] or True
+    assert spread(many) is many  # no extra exchange planned
