@@ -32,6 +32,6 @@ def to_bronze(records: DataFrame, params: RunParams) -> DataFrame:
         F.col("batch_id"),
         F.lit(params.run_id).alias("run_id"),
         F.lit(params.environment).alias("environment"),
-        F.lit(params.run_ts_naive_utc).cast("timestamp").alias("ingestion_timestamp"),
+        params.run_ts_col().alias("ingestion_timestamp"),
         F.lit("bronze").alias("pipeline_layer"),
     )

@@ -68,7 +68,7 @@ def _too_many(spark, names) -> bool:
 
 
 def _stamp(df: DataFrame, params: RunParams) -> DataFrame:
-    return df.withColumn(GOLD_STAMP, F.lit(params.run_ts_naive_utc).cast("timestamp"))
+    return df.withColumn(GOLD_STAMP, params.run_ts_col())
 
 
 def curated_wide(silver: DataFrame, params: RunParams, names: list[str] | None = None) -> DataFrame:
@@ -182,7 +182,7 @@ def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None
         F.coalesce("distinct_field_names", zero).cast("long").alias("distinct_field_names"),
         rate_pct(F.coalesce("valid_fields", zero), F.coalesce("total_fields", zero)).alias("validity_rate_pct"),
         F.coalesce("records_by_type", F.lit("")).alias("records_by_type"),
-        F.lit(params.run_ts_naive_utc).cast("timestamp").alias("summary_generated_at"),
+        params.run_ts_col().alias("summary_generated_at"),
     )
 
 

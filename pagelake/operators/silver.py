@@ -92,7 +92,7 @@ def _finish(df: DataFrame, params: RunParams) -> DataFrame:
         is_valid_value(clean).alias("is_valid"),
         F.col("source_url"),
         F.col("scraped_at"),
-        F.lit(params.run_ts_naive_utc).cast("timestamp").alias("cleaned_at"),
+        params.run_ts_col().alias("cleaned_at"),
     )
 
 

@@ -76,6 +76,18 @@ class RunParams:
     def run_ts_naive_utc(self) -> datetime:
         return self.run_ts.astimezone(timezone.utc).replace(tzinfo=None)
 
+    @property
+    def run_ts_micros(self) -> int:
+        """Microseconds since the epoch (an absolute instant)."""
+        delta = self.run_ts.astimezone(timezone.utc) - datetime(1970, 1, 1, tzinfo=timezone.utc)
+        return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
+
+    def run_ts_col(self):
+        """The run time as a timestamp column, independent of any time zone."""
+        from pyspark.sql import functions as F
+
+        return F.timestamp_micros(F.lit(self.run_ts_micros))
+
 
 def mode_for(table_key: str, load_mode: str) -> str:
     """Write mode for a layer table: data layers follow the load mode,
