@@ -135,15 +135,16 @@ def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None
     """One quality row per (run, source): records, fields, valid fields,
     distinct names, validity rate, and ``type=n`` counts sorted by type.
 
-    One scan, one aggregate with grouping sets ``(run, source, type)`` and
-    ``(run, source)``: the distinct counts are planned as an expand and a
-    partial aggregate keyed by the distinct value (record id / field name),
-    so a source holding a large share of the rows is still spread over all
-    tasks; what reaches the per-source step is a handful of partial counts.
-    A second small aggregate folds the per-type rows (at most one per record
-    type) into the text column.  With ``sources`` (a frame of
-    ``source_url``), sources that produced nothing are added as empty marker
-    rows, so they get a row of zeros without a join.
+    Two aggregates over the same rows, each with partial (map-side)
+    aggregation: per (run, source, type) the distinct records, fields and
+    valid fields, folded per source; and per (run, source) the distinct
+    field names.  Distinct counts are exchanged on (keys, record id / field
+    name) first, so a source holding a large share of the rows is spread
+    over all tasks and only partial counts reach the per-source step.  The
+    two results (one row per source each, both hash-partitioned on the
+    source) are joined on (run, source).  With ``sources`` (a frame of
+    ``source_url``), sources that produced nothing are added as empty
+    marker rows and get a row of zeros, without a join against the pages.
     """
     gk = ["run_id", "source_url"]
     rows = silver.select(
@@ -154,26 +155,24 @@ def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None
             F.lit(params.run_id).alias("run_id"), "source_url",
             F.lit(None).cast("string").alias("record_type"), F.lit(None).cast("string").alias("record_id"),
             F.lit(None).cast("string").alias("field_name"), F.lit(None).cast("boolean").alias("is_valid")))
-    sets = rows.groupingSets([[*gk, "record_type"], gk], *gk, "record_type").agg(
-        F.grouping_id().alias("gid"),
+    per_type = rows.groupBy(*gk, "record_type").agg(
         F.count_distinct("record_id").alias("n_records"),
         F.count("field_name").alias("n_fields"),
         F.count_if("is_valid").alias("n_valid"),
-        F.count_distinct("field_name").alias("n_names"),
     )
-    whole = F.col("gid") > 0
-    by_type = F.when(~whole & (F.col("n_records") > 0), F.struct("record_type", "n_records"))
-    per_source = sets.groupBy(*gk).agg(
-        F.sum(F.when(whole, F.col("n_records"))).alias("total_records"),
-        F.sum(F.when(whole, F.col("n_fields"))).alias("total_fields"),
-        F.sum(F.when(whole, F.col("n_valid"))).alias("valid_fields"),
-        F.sum(F.when(whole, F.col("n_names"))).alias("distinct_field_names"),
+    by_type = F.when(F.col("n_records") > 0, F.struct("record_type", "n_records"))
+    per_source = per_type.groupBy(*gk).agg(
+        F.sum("n_records").alias("total_records"),
+        F.sum("n_fields").alias("total_fields"),
+        F.sum("n_valid").alias("valid_fields"),
         F.array_join(F.transform(F.array_sort(F.collect_list(by_type)),
                                  lambda x: F.concat(x["record_type"], F.lit("="), x["n_records"].cast("string"))),
                      ", ").alias("records_by_type"),
     )
+    names = rows.groupBy(*gk).agg(F.count_distinct("field_name").alias("distinct_field_names"))
+    joined = per_source.join(names, gk, "inner")
     zero = F.lit(0).cast("long")
-    return per_source.select(
+    return joined.select(
         "run_id",
         "source_url",
         F.coalesce("total_records", zero).cast("long").alias("total_records"),

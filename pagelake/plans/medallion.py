@@ -15,7 +15,7 @@ Plan shape per layer (no driver collection except the gold field names):
 * gold wide: scan bronze(run) -> valid-field map per row -> one column per
   name -> write.  No shuffle.  (``in_row_gold=False`` uses the grouped
   pivot over silver instead: one exchange.)
-* summary: two partial aggregates over silver(run) joined per source.
+* summary: two partially aggregated counts over silver(run) joined per source.
 """
 
 from __future__ import annotations

@@ -57,7 +57,7 @@ def main():
         "gold wide, in-row (default)": G.curated_wide_in_row(bronze, p, names),
         "gold wide, grouped pivot over silver": G.curated_wide(silver, p, names),
         "gold wide, keys + pivot + left join (reference shape)": G.curated_wide_keys_join(silver, p, names),
-        "run summary (grouping sets, pages as markers)": G.run_summary(
+        "run summary (two aggregates, pages as markers)": G.run_summary(
             silver, p, sources=pages.select(F.col("url").alias("source_url"))),
         "latest gold per source (aggregate + semi join)": V.latest_gold_per_url(gold),
         "gold preview (top 50)": V.gold_preview(gold),
@@ -73,7 +73,7 @@ def main():
             "an input with at least half as many splits as cores is parsed where it is read.",
         "gold field names (distinct, bounded collect)":
             "Partial aggregation before the exchange: only distinct names per task move.",
-        "run summary (grouping sets, pages as markers)":
+        "run summary (two aggregates, pages as markers)":
             "Every exchange follows a partial aggregate; the distinct counts are exchanged on "
             "(source, type, record id / field name), so a hot source is spread over all tasks.",
     }
