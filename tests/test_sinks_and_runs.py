@@ -8,7 +8,7 @@ from pagelake.params import RunParams, mode_for
 from pagelake.plans.medallion import run_medallion
 from pagelake.plans.runlog import read_log
 from pagelake.sources.tables import (
-    TableStore, encode_complex, ensure_database, jdbc_options, read_table, register_tables)
+    encode_complex, ensure_database, jdbc_options, read_table, register_tables)
 
 P1 = RunParams.fixed("0001")
 P2 = RunParams.fixed("0002").with_(run_ts=P1.run_ts.replace(day=2))
