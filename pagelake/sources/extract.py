@@ -44,7 +44,8 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 def _extract_batches(batches):
     """Arrow batches of pages in, Arrow batches of records out (at most
-    ``_OUT_BATCH`` records each, so a page with very many records streams)."""
+    ``_OUT_BATCH`` records each, so output batches stay bounded however many
+    records the pages hold)."""
     import pyarrow as pa
 
     from .html_records import extract
