@@ -77,22 +77,32 @@ class TableStore:
         observed = encode_complex(df).observe(obs, F.count(F.lit(1)).alias("rows"))
         if mode == "errorifexists" and self.exists(name):
             raise FileExistsError(f"table {self.path(name)} already exists")
-        if mode == "overwrite" and self.exists(name):
-            self._delete(name)
         if run_id is not None:
             observed.drop(PARTITION_COLUMN).write.mode("overwrite").format("parquet") \
                 .save(self.partition_path(name, run_id))
+            if mode == "overwrite":
+                # only after the new run is written: a failed write loses nothing
+                self._delete_other_runs(name, run_id)
         else:
-            (observed.write.format("parquet").partitionBy(PARTITION_COLUMN)
-             .mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path(name)))
+            w = observed.write.format("parquet").partitionBy(PARTITION_COLUMN).mode("overwrite")
+            if mode != "overwrite":
+                w = w.option("partitionOverwriteMode", "dynamic")
+            w.save(self.path(name))
         rows = obs.get.get("rows", 0)
         log.info("wrote %d rows to %s (%s)", rows, self.path(name), mode)
         return int(rows)
 
-    def _delete(self, name: str) -> None:
+    def _delete_other_runs(self, name: str, run_id: str) -> None:
+        """Remove every partition folder of the table except ``run_id``'s
+        (a metadata operation on the table folder, no data is read)."""
         jvm = self.spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+        root = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        keep = self.partition_path(name, run_id).rsplit("/", 1)[1]
+        for status in fs.listStatus(root):
+            child = status.getPath()
+            if child.getName().startswith(f"{PARTITION_COLUMN}=") and child.getName() != keep:
+                fs.delete(child, True)
 
     def partition_path(self, name: str, run_id: str) -> str:
         esc = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog \

@@ -151,3 +151,14 @@ def test_run_partition_write_and_string_run_ids(spark, store):
     assert store.read("p").count() == 2
     with pytest.raises(FileExistsError):
         store.write(df2, "p", "errorifexists", run_id="0002")
+
+
+def test_failed_overwrite_keeps_existing_runs(spark, store):
+    ok = spark.range(3).select(F.col("id"), F.lit("a").alias("run_id"))
+    store.write(ok, "k", "append", run_id="a")
+    bad = spark.range(3).select(F.expr("raise_error('boom')").cast("long").alias("id"), F.lit("b").alias("run_id"))
+    with pytest.raises(Exception):
+        store.write(bad, "k", "overwrite", run_id="b")
+    assert sorted(r.run_id for r in store.read("k").select("run_id").distinct().collect()) == ["a"]
+    store.write(ok.withColumn("run_id", F.lit("b")), "k", "overwrite", run_id="b")
+    assert sorted(r.run_id for r in store.read("k").select("run_id").distinct().collect()) == ["b"]
