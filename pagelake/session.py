@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +63,46 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared root."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def _package_zip() -> tuple[str, bytes]:
+    """The ``pagelake`` package as zip bytes, named by a content hash."""
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, dirs, files in os.walk(pkg_dir):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.writestr(os.path.relpath(full, base), open(full, "rb").read())
+    data = buf.getvalue()
+    return f"pagelake-{hashlib.sha256(data).hexdigest()[:16]}.zip", data
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pagelake`` importable in the executors' Python workers.
+
+    The parse step runs Python on the executors; they import this package.
+    The package is zipped on the driver and registered with ``addPyFile``
+    (Spark serves it to every executor, like ``--py-files``), once per
+    application.  Harmless where the package is already installed.
+    """
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect): ship with --py-files
+        return
+    if key in _SHIPPED:
+        return
+    name, data = _package_zip()
+    folder = tempfile.mkdtemp(prefix="pagelake-pyfiles-")
+    path = os.path.join(folder, name)
+    with open(path, "wb") as fh:
+        fh.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import record_id
 from ..params import RunParams
 from ..schemas import EXTRACT_SCHEMA, PAGES_SCHEMA, PAYLOAD_MAP, column_names
+from ..session import ship_package
 
 log = logging.getLogger("pagelake.extract")
 
@@ -108,6 +109,7 @@ def extract_raw(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.col(url_col).alias("source_url"),
         F.col(html_col).alias("html"),
     )
+    ship_package(pages.sparkSession)
     return spread(src).mapInArrow(_extract_batches, EXTRACT_SCHEMA)
 
 

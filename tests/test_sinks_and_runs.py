@@ -162,3 +162,17 @@ def test_failed_overwrite_keeps_existing_runs(spark, store):
     assert sorted(r.run_id for r in store.read("k").select("run_id").distinct().collect()) == ["a"]
     store.write(ok.withColumn("run_id", F.lit("b")), "k", "overwrite", run_id="b")
     assert sorted(r.run_id for r in store.read("k").select("run_id").distinct().collect()) == ["b"]
+
+
+def test_package_zip_for_executors():
+    import io
+    import zipfile
+
+    from pagelake.session import _package_zip
+
+    name, data = _package_zip()
+    assert name.startswith("pagelake-") and name.endswith(".zip")
+    names = zipfile.ZipFile(io.BytesIO(data)).namelist()
+    assert "pagelake/__init__.py" in names and "pagelake/sources/html_records.py" in names
+    assert not any("__pycache__" in n for n in names)
+    assert _package_zip()[0] == name  # content-addressed: stable name
