@@ -7,7 +7,7 @@ one layer), and lets Spark prune to the run's files.
 
 Plan shape per layer (no driver collection except the gold field names):
 
-* bronze: scan pages -> mapInPandas parse -> project -> write.  No shuffle.
+* bronze: scan pages -> mapInArrow parse -> project -> write.  No shuffle.
 * silver: scan bronze(run) -> parse/clean/dedup inside each row ->
   explode -> write.  No shuffle.
 * gold names: scan silver(run) [field_name, is_valid] -> distinct (partial
