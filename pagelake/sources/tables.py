@@ -155,7 +155,7 @@ def register_tables(spark: SparkSession, store: TableStore, database: str,
         if store.exists(name):
             full = f"`{database}`.`{name}`"
             spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{store.path(name)}'")
-            cols = spark.catalog.listColumns(name, database)
+            cols = spark.catalog.listColumns(f"{database}.{name}")
             if any(c.isPartition for c in cols):
                 spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
             spark.sql(f"REFRESH TABLE {full}")
