@@ -176,3 +176,14 @@ def test_package_zip_for_executors():
     assert "pagelake/__init__.py" in names and "pagelake/sources/html_records.py" in names
     assert not any("__pycache__" in n for n in names)
     assert _package_zip()[0] == name  # content-addressed: stable name
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from pagelake.__main__ import main
+
+    assert main(["--pages", "/root/testdata/sf0.001/pages.parquet", "--lake", str(tmp_path / "lake"),
+                 "--environment", "test", "--run-id", "cli-run"]) == 0
+    out = capsys.readouterr().out
+    assert "run cli-run" in out
+    store_root = tmp_path / "lake" / "gold_curated_data" / "run_id=cli-run"
+    assert store_root.exists()
