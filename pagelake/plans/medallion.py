@@ -54,17 +54,26 @@ class MedallionResult:
 
 def _guard(runlog: RunLog, layer: str, fn, seconds: dict):
     """Run one layer; on failure write the log (with a ``failed`` row),
-    then re-raise."""
+    then re-raise.  In the bronze job an error raised by the page parser
+    (a Python worker error) is logged as a ``scrape`` failure."""
     try:
         t0 = time.time()
         out = fn()
         seconds[layer] = round(time.time() - t0, 3)
         return out
     except Exception as exc:  # noqa: BLE001 - logged and re-raised
-        runlog.failed(layer, f"{type(exc).__name__}: {exc}")
+        runlog.failed(failed_layer(layer, exc), f"{type(exc).__name__}: {exc}")
         raise
 
 
+def failed_layer(layer: str, exc: BaseException) -> str:
+    """Layer to blame: a Python worker error in the bronze job comes from
+    the page parser, i.e. the scrape step."""
+    if layer == "bronze" and "PythonException" in f"{type(exc).__name__} {exc}":
+        return "scrape"
+    return layer
+
+
 def gold_columns(names: list[str]) -> list[str]:
     return [*GOLD_KEYS, *[c for _, c in column_plan(names)], GOLD_STAMP]
 
@@ -89,7 +98,6 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     counts["bronze"] = _guard(runlog, "bronze", bronze_layer, seconds)
     if counts["bronze"] == 0:
         log.warning("no records extracted for run %s", params.run_id)
-    runlog.success("scrape", counts["bronze"])
     runlog.success("bronze", counts["bronze"])
     bronze = store.read(t.bronze, run_id=params.run_id, columns=BRONZE_COLUMNS)
 

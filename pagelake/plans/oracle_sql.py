@@ -344,7 +344,7 @@ def oracle_queries() -> dict[str, str]:
     q["run_log"] = " UNION ALL ".join(
         f"SELECT '{RUN}' AS run_id, '{P.run_timestamp}' AS run_timestamp, '{layer}' AS layer, "
         f"'success' AS status, CAST({n} AS BIGINT) AS row_count, '' AS message"
-        for layer, n in (("scrape", n_rec), ("bronze", n_rec), ("silver", n_sil), ("gold", n_gold)))
+        for layer, n in (("bronze", n_rec), ("silver", n_sil), ("gold", n_gold)))
     q["end_to_end_gold"] = PAGE_GOLD
     q["view_layer_stats"] = f"""
       SELECT CAST({n_rec} AS BIGINT) AS bronze_count, CAST({n_sil} AS BIGINT) AS silver_count,

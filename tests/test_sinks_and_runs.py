@@ -69,8 +69,7 @@ def test_end_to_end_and_run_log(spark, store, sample_pages):
     assert res.gold.count() == 8 and res.summary.count() == 1
     assert res.summary.first().validity_rate_pct == 94.44
     log = {(r.layer, r.status): r.row_count for r in read_log(store, P1).collect()}
-    assert log == {("scrape", "success"): 8, ("bronze", "success"): 8,
-                   ("silver", "success"): 18, ("gold", "success"): 8}
+    assert log == {("bronze", "success"): 8, ("silver", "success"): 18, ("gold", "success"): 8}
     stats = V.layer_stats(res.bronze, res.silver, res.gold, res.summary).first()
     assert (stats.bronze_count, stats.silver_count, stats.silver_validity_pct, stats.gold_count,
             stats.gold_rows) == (8, 18, 94.44, 8, 8)
@@ -78,7 +77,7 @@ def test_end_to_end_and_run_log(spark, store, sample_pages):
     run_medallion(spark, sample_pages, P2, store)
     assert store.read(P1.tables.gold, merge_schema=True).count() == 16
     assert store.read(P1.tables.gold_summary).count() == 2
-    assert read_log(store, P1).count() == 8
+    assert read_log(store, P1).count() == 6
     latest = V.latest_gold_per_url(store.read(P1.tables.gold, merge_schema=True))
     assert {r.run_id for r in latest.collect()} == {P2.run_id}
     # overwrite replaces the data layers but still appends the summary
@@ -187,3 +186,15 @@ def test_command_line(spark, tmp_path, capsys):
     assert "run cli-run" in out
     store_root = tmp_path / "lake" / "gold_curated_data" / "run_id=cli-run"
     assert store_root.exists()
+
+
+def test_failure_classification():
+    from pagelake.plans.medallion import failed_layer
+
+    class PythonException(Exception):
+        pass
+
+    assert failed_layer("bronze", PythonException("boom")) == "scrape"
+    assert failed_layer("bronze", RuntimeError("org.apache.spark.api.python.PythonException: x")) == "scrape"
+    assert failed_layer("bronze", RuntimeError("disk full")) == "bronze"
+    assert failed_layer("silver", PythonException("boom")) == "silver"
