@@ -16,13 +16,17 @@ def to_bronze(records: DataFrame, params: RunParams) -> DataFrame:
     """Records -> bronze rows (12 columns, fixed order).
 
     A map/struct payload is JSON-encoded (a missing one becomes ``null``);
-    text payloads are kept as they are.  Audit columns are literals of the
+    text payloads are kept as they are.  A record without an id is an
+    error.  Audit columns are literals of the
     run, so the whole layer is one narrow projection: no shuffle.
     """
     ctype = records.schema["content"].dataType.typeName()
     content = F.col("content") if ctype == "string" else content_json(F.col("content"))
+    rid = F.col("record_id")
     return records.select(
-        F.col("record_id"),
+        # the id is the table's non-null key: a record without one fails the job
+        F.when(rid.isNull(), F.raise_error(F.lit("bronze: record_id is null"))).otherwise(rid)
+        .alias("record_id"),
         F.col("record_type"),
         F.col("table_index").cast("int").alias("table_index"),
         F.col("row_index").cast("int").alias("row_index"),

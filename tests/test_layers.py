@@ -178,3 +178,12 @@ def test_parse_input_spread_only_when_few_splits(spark):
         assert spread(few).rdd.getNumPartitions() == cores
     assert spread(many).rdd.getNumPartitions() == many.rdd.getNumPartitions()
     assert spread(many) is many  # no extra exchange planned
+
+
+def test_bronze_rejects_null_record_id(spark):
+    df = spark.createDataFrame([(None, "{}")], "record_id string, content string")
+    df = df.select("record_id", F.lit("x").alias("record_type"), F.lit(None).cast("int").alias("table_index"),
+                   F.lit(None).cast("int").alias("row_index"), "content", F.lit("u").alias("source_url"),
+                   F.lit("t").alias("scraped_at"), F.lit("b").alias("batch_id"))
+    with pytest.raises(Exception, match="record_id is null"):
+        to_bronze(df, P).collect()
