@@ -28,9 +28,11 @@ def gold_preview(gold: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
 
 
 def display_rows(df: DataFrame) -> DataFrame:
-    """Null strings shown as blanks."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    return df.na.fill("", subset=strings) if strings else df
+    """Every cell as display text, nulls shown as blanks."""
+    return df.select(*[
+        F.coalesce(F.col(f"`{f.name}`") if isinstance(f.dataType, StringType)
+                   else F.col(f"`{f.name}`").cast("string"), F.lit("")).alias(f.name)
+        for f in df.schema.fields])
 
 
 def layer_stats(bronze: DataFrame, silver: DataFrame, gold: DataFrame,

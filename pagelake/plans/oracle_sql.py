@@ -352,7 +352,8 @@ def oracle_queries() -> dict[str, str]:
                         / {n_sil} * 100.0, 2) AS silver_validity_pct,
              CAST({n_rec} AS BIGINT) AS gold_count, CAST({n_gold} AS BIGINT) AS gold_rows"""
     q["view_gold_preview"] = f"""
-      SELECT record_id, record_type, table_index, row_index, source_url, scraped_at, run_id,
+      SELECT record_id, record_type, coalesce(CAST(table_index AS VARCHAR), '') AS table_index,
+             coalesce(CAST(row_index AS VARCHAR), '') AS row_index, source_url, scraped_at, run_id,
              coalesce(href, '') AS href, coalesce("key", '') AS "key", coalesce(text, '') AS text,
              coalesce("value", '') AS "value"
       FROM ({PAGE_GOLD}) ORDER BY source_url, record_id LIMIT 50"""

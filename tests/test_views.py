@@ -27,6 +27,8 @@ def test_preview_is_top_n_by_key_without_stamp(spark):
     rows = prev.collect()
     assert len(rows) == 50 and "gold_loaded_at" not in prev.columns
     assert rows[0].record_id == "r00" and rows[1].text == ""
+    shown = V.display_rows(spark.createDataFrame([(None, None)], "a int, b string")).first()
+    assert (shown.a, shown.b) == ("", "")
     assert "TakeOrderedAndProject" in V.gold_preview(gold)._jdf.queryExecution().executedPlan().toString()
     assert V.console_preview(gold).count() == 10
 
