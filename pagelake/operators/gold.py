@@ -142,7 +142,7 @@ def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None
     name) first, so a source holding a large share of the rows is spread
     over all tasks and only partial counts reach the per-source step.  The
     two results (one row per source each, both hash-partitioned on the
-    source) are joined on (run, source).  With ``sources`` (a frame of
+    source) are merge-joined on (run, source) without a further exchange.  With ``sources`` (a frame of
     ``source_url``), sources that produced nothing are added as empty
     marker rows and get a row of zeros, without a join against the pages.
     """
@@ -170,7 +170,10 @@ def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None
                      ", ").alias("records_by_type"),
     )
     names = rows.groupBy(*gk).agg(F.count_distinct("field_name").alias("distinct_field_names"))
-    joined = per_source.join(names, gk, "inner")
+    # Both sides leave their last exchange hash-partitioned on (run, source):
+    # a merge join reuses that partitioning, with no broadcast of a side
+    # whose size grows with the number of sources.
+    joined = per_source.join(names.hint("merge"), gk, "inner")
     zero = F.lit(0).cast("long")
     return joined.select(
         "run_id",
