@@ -108,7 +108,8 @@ def curated_wide_keys_join(silver: DataFrame, params: RunParams,
     keys = valid.select(*GOLD_KEYS).dropDuplicates(["record_id"])
     pivoted = (valid.withColumn("field_name", _renamed(plan)).withColumnRenamed("record_id", "_rid")
                .groupBy("_rid").pivot("field_name", [c for _, c in plan]).agg(F.min("field_value_clean")))
-    wide = keys.join(pivoted, keys["record_id"] == pivoted["_rid"], "left").drop("_rid")
+    # both sides are hash-partitioned on the record id: merge join, no broadcast
+    wide = keys.join(pivoted.hint("merge"), keys["record_id"] == pivoted["_rid"], "left").drop("_rid")
     return _stamp(wide, params)
 
 
