@@ -345,6 +345,14 @@ def oracle_queries() -> dict[str, str]:
         f"SELECT '{RUN}' AS run_id, '{P.run_timestamp}' AS run_timestamp, '{layer}' AS layer, "
         f"'success' AS status, CAST({n} AS BIGINT) AS row_count, '' AS message"
         for layer, n in (("bronze", n_rec), ("silver", n_sil), ("gold", n_gold)))
+    n_pages = "(SELECT count(*) FROM pages)"
+    q["sink_mode_rules"] = " UNION ALL ".join(
+        f"SELECT '{tbl}' AS table_name, '{run}' AS run_id, CAST({n} AS BIGINT) AS row_count"
+        for tbl, run, n in (
+            ("bronze_scraped_data", "run-0002", n_rec), ("silver_cleaned_data", "run-0002", n_sil),
+            ("gold_curated_data", "run-0002", n_gold),
+            ("gold_data_summary", RUN, n_pages), ("gold_data_summary", "run-0002", n_pages),
+            ("pipeline_run_log", RUN, 3), ("pipeline_run_log", "run-0002", 3)))
     q["end_to_end_gold"] = PAGE_GOLD
     q["view_layer_stats"] = f"""
       SELECT CAST({n_rec} AS BIGINT) AS bronze_count, CAST({n_sil} AS BIGINT) AS silver_count,

@@ -345,6 +345,27 @@ def q_run_log(spark, sf_dir):
     return read_log(res.store, P).select("run_id", "run_timestamp", "layer", "status", "row_count", "message")
 
 
+def q_sink_mode_rules(spark, sf_dir):
+    """Run 1 appends, run 2 overwrites: the data layers keep only run 2,
+    the summary and the run log keep both runs.  Rows per (table, run)."""
+    store = _store(spark, "modes")
+    pages = _t(spark, sf_dir, "pages")
+    run_medallion(spark, pages, P, store)
+    run_medallion(spark, pages, P2.with_(load_mode="overwrite"), store)
+    t = P.tables
+    parts = []
+    for name in (t.bronze, t.silver, t.gold, t.gold_summary):
+        df = store.read(name, merge_schema=(name == t.gold))
+        parts.append(df.groupBy("run_id").agg(F.count(F.lit(1)).alias("row_count"))
+                     .select(F.lit(name).alias("table_name"), "run_id", "row_count"))
+    log = read_log(store, P).groupBy("run_id").agg(F.count(F.lit(1)).alias("row_count"))
+    parts.append(log.select(F.lit(t.run_log).alias("table_name"), "run_id", "row_count"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def q_end_to_end_gold(spark, sf_dir):
     return _medallion(spark, sf_dir, "e2e").gold.drop("gold_loaded_at")
 
@@ -402,6 +423,7 @@ QUERIES = {
     "sink_roundtrip": q_sink_roundtrip,
     "sink_schema_drift": q_sink_schema_drift,
     "run_log": q_run_log,
+    "sink_mode_rules": q_sink_mode_rules,
     "end_to_end_gold": q_end_to_end_gold,
     "view_layer_stats": q_view_layer_stats,
     "view_gold_preview": q_view_gold_preview,
