@@ -284,6 +284,17 @@ def oracle_queries() -> dict[str, str]:
     q["silver_long"] = f"""
       SELECT '{RUN}' AS run_id, '{RUN}' AS silver_batch_id, 'event' AS record_type, *
       FROM ({_silver_from_long(events_long)})"""
+    ev_rid = rid(f"'{BATCH}'", "event_id", "'events'", "'event'", "NULL", "NULL")
+    k_val = "json_extract_string(props, '$.k')"
+    q["silver_payload_edges"] = f"""
+      SELECT {ev_rid} AS record_id,
+             CASE event_id % 8 WHEN 0 THEN 'k' WHEN 7 THEN 'a' ELSE 'unknown_field' END AS field_name,
+             CASE event_id % 8 WHEN 0 THEN {k_val} WHEN 7 THEN '{{"k":' || {k_val} || '}}' END AS field_value_raw,
+             CASE event_id % 8 WHEN 0 THEN {k_val} WHEN 7 THEN '{{"k":' || {k_val} || '}}' ELSE '' END
+               AS field_value_clean,
+             CASE WHEN event_id % 8 = 0 THEN TRY_CAST({k_val} AS DOUBLE) END AS field_value_numeric,
+             event_id % 8 IN (0, 7) AS is_valid
+      FROM events"""
     q["silver_name_normalise"] = f"""
       SELECT record_id, field_name, field_value_clean FROM ({_silver_from_long(name_long)})"""
     q["silver_whitespace"] = f"""

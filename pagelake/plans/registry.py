@@ -146,6 +146,21 @@ def q_silver_long(spark, sf_dir):
     return _silver_of(recs).select("run_id", "silver_batch_id", "record_type", *SILVER_OUT)
 
 
+# Payload forms for the edge-case check: the event's own object, then
+# forms that parse to no map (or an empty one), then a nested object.
+EDGE_FORMS = 8
+
+
+def q_silver_payload_edges(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    forms = F.array(F.col("props"), F.lit("null"), F.lit(""), F.lit("{}"), F.lit("[1]"), F.lit('"s"'),
+                    F.concat(F.lit("{broken"), F.col("props")),
+                    F.concat(F.lit('{"a": '), F.col("props"), F.lit("}")))
+    payload = F.element_at(forms, (F.col("event_id") % EDGE_FORMS + 1).cast("int"))
+    recs = payload_records(e.select("event_id", payload.alias("p")), P, "event_id", "p", "events", "event")
+    return _silver_of(recs).select(*SILVER_OUT)
+
+
 def name_payload(spark, sf_dir):
     p = _t(spark, sf_dir, "part")
     payload = F.create_map(
@@ -404,6 +419,7 @@ QUERIES = {
     "bronze_land": q_bronze_land,
     "bronze_pages": q_bronze_pages,
     "silver_long": q_silver_long,
+    "silver_payload_edges": q_silver_payload_edges,
     "silver_name_normalise": q_silver_name_normalise,
     "silver_whitespace": q_silver_whitespace,
     "silver_numeric": q_silver_numeric,
