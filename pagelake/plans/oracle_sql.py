@@ -236,6 +236,35 @@ FROM s2 GROUP BY source_url
 """
 
 
+CUSTOMER_PAGES = """
+SELECT c_custkey, c_name, c_mktsegment,
+       'https://customers.example/' || CAST(c_nationkey AS VARCHAR) || '/'
+         || CAST(CAST(floor(c_custkey / 1000) AS BIGINT) AS VARCHAR) AS source_url,
+       CAST(c_nationkey AS VARCHAR) AS nk,
+       CAST(row_number() OVER (PARTITION BY c_nationkey, floor(c_custkey / 1000) ORDER BY c_custkey) AS INTEGER) AS i,
+       CAST(count(*) OVER (PARTITION BY c_nationkey, floor(c_custkey / 1000)) AS INTEGER) AS n
+FROM customer
+"""
+
+EXTRACT_RULES = f"""
+WITH c AS ({CUSTOMER_PAGES}),
+pg AS (SELECT DISTINCT source_url, nk, n FROM c)
+SELECT source_url, 'table_row' AS record_type, 0 AS table_index, i AS row_index, 0 AS field_pos,
+       'col_0' AS field_key, c_name AS field_value FROM c
+UNION ALL SELECT source_url, 'table_row', 0, i, 1, 'col_1', c_mktsegment FROM c
+UNION ALL SELECT source_url, 'table_row', 0, n + 2, 0, 'col_0', 'end' FROM pg
+UNION ALL SELECT source_url, 'paragraph', NULL, i, 0, 'text', c_name FROM c
+UNION ALL SELECT source_url, 'link', NULL, i, 0, 'text', c_name FROM c
+UNION ALL SELECT source_url, 'link', NULL, i, 1, 'href', '/c/' || CAST(c_custkey AS VARCHAR) FROM c
+UNION ALL SELECT source_url, 'metadata', NULL, 0, 0, 'key', 'title' FROM pg
+UNION ALL SELECT source_url, 'metadata', NULL, 0, 1, 'value', 'Nation ' || nk FROM pg
+UNION ALL SELECT source_url, 'metadata', NULL, 1, 0, 'key', 'nation' FROM pg
+UNION ALL SELECT source_url, 'metadata', NULL, 1, 1, 'value', nk FROM pg
+UNION ALL SELECT source_url, 'metadata', NULL, 2, 0, 'key', 'og:customers' FROM pg
+UNION ALL SELECT source_url, 'metadata', NULL, 2, 1, 'value', CAST(n AS VARCHAR) FROM pg
+"""
+
+
 def oracle_queries() -> dict[str, str]:
     page_silver_full = f"""
       SELECT record_id, record_type, row_index, source_url, field_name, field_value_clean,
@@ -270,6 +299,11 @@ def oracle_queries() -> dict[str, str]:
     q["extract_links"] = f"SELECT page_id, source_url, row_index, text, href FROM ({LINKS})"
     q["extract_metadata"] = f"SELECT page_id, source_url, row_index, meta_key, meta_value FROM ({TITLES})"
     q["extract_table_rows"] = f"SELECT * EXCLUDE (page_id) FROM ({PART_ROWS})"
+    q["extract_rules"] = f"""
+      SELECT source_url, record_type, CAST(table_index AS INTEGER) AS table_index,
+             CAST(row_index AS INTEGER) AS row_index, CAST(field_pos AS INTEGER) AS field_pos,
+             field_key, field_value
+      FROM ({EXTRACT_RULES})"""
     q["records_union"] = f"""
       SELECT record_type, CAST(count(*) AS BIGINT) AS record_count
       FROM (SELECT DISTINCT page_id, record_type, row_index FROM ({PAGE_FIELDS})) GROUP BY record_type"""

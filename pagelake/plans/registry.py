@@ -116,6 +116,52 @@ def q_extract_table_rows(spark, sf_dir):
         *[F.element_at(m, k).alias(f"part_{k.lower()}") for k in ("Key", "Name", "Type", "Size", "Price")])
 
 
+CUSTOMER_PAGE_ROWS = 1000  # customers per generated page
+
+
+def customer_pages(spark, sf_dir) -> DataFrame:
+    """One page per (nation, block of customer keys) exercising the
+    extraction rules: title and named metas (one without content), an
+    empty paragraph, a link with an empty href, and a table whose header
+    count (every th, a totals row included) differs from the row width,
+    ending in a ragged row."""
+    c = _t(spark, sf_dir, "customer")
+    block = F.floor(F.col("c_custkey") / CUSTOMER_PAGE_ROWS)
+    name = _escape_html(F.col("c_name"))
+    item = F.struct(
+        "c_custkey",
+        F.concat(F.lit("<p>"), name, F.lit("</p>")).alias("p"),
+        F.concat(F.lit('<a href="/c/'), F.col("c_custkey").cast("string"), F.lit('">'), name, F.lit("</a>")).alias("a"),
+        F.concat(F.lit("<tr><td>"), name, F.lit("</td><td>"), _escape_html(F.col("c_mktsegment")),
+                 F.lit("</td></tr>")).alias("tr"),
+    )
+    g = c.groupBy("c_nationkey", block.alias("blk")).agg(
+        F.min("c_custkey").alias("page_id"), F.count(F.lit(1)).alias("n"),
+        F.array_sort(F.collect_list(item)).alias("items"))
+    nk, n = F.col("c_nationkey").cast("string"), F.col("n").cast("string")
+
+    def join(field):
+        return F.array_join(F.transform("items", lambda x: x[field]), "")
+
+    html = F.concat(
+        F.lit("<html><head><title>Nation "), nk, F.lit('</title><meta name="nation" content="'), nk,
+        F.lit('"><meta property="og:customers" content="'), n, F.lit('"><meta name="empty"></head><body><p></p>'),
+        join("p"), F.lit('<a href="">skip</a>'), join("a"),
+        F.lit("<table><tr><th>Name</th><th>Segment</th></tr>"), join("tr"),
+        F.lit("<tr><th>Total</th><th>"), n, F.lit("</th></tr><tr><td>end</td></tr></table></body></html>"))
+    url = F.concat(F.lit("https://customers.example/"), nk, F.lit("/"), F.col("blk").cast("string"))
+    return g.select("page_id", url.alias("url"), html.alias("html"))
+
+
+def q_extract_rules(spark, sf_dir):
+    raw = extract_raw(customer_pages(spark, sf_dir))
+    kv = F.posexplode(F.arrays_zip("content_keys", "content_values"))
+    return raw.select("source_url", "record_type", "table_index", "row_index", kv).select(
+        "source_url", "record_type", "table_index", "row_index",
+        F.col("pos").alias("field_pos"), F.col("col.content_keys").alias("field_key"),
+        F.col("col.content_values").alias("field_value"))
+
+
 def q_records_union(spark, sf_dir):
     recs = extract_records(_t(spark, sf_dir, "pages"), P)
     return V.record_type_counts(to_bronze(recs, P))
@@ -415,6 +461,7 @@ QUERIES = {
     "extract_links": q_extract_links,
     "extract_metadata": q_extract_metadata,
     "extract_table_rows": q_extract_table_rows,
+    "extract_rules": q_extract_rules,
     "records_union": q_records_union,
     "bronze_land": q_bronze_land,
     "bronze_pages": q_bronze_pages,
