@@ -141,9 +141,11 @@ def payload_records(df: DataFrame, params: RunParams, key_col: str, payload,
     """Records from any table with a payload column.
 
     ``payload`` is a column (or column name) holding JSON text, a map or a
-    struct; maps and structs are JSON-encoded.  Each input row becomes one
-    record whose id hashes (batch, key, source, type).  The payload stays
-    text until silver parses it, exactly like page content in bronze.
+    struct; maps and structs are JSON-encoded (``to_json`` of a struct
+    leaves out null fields; a map keeps them as JSON nulls).  Each input
+    row becomes one record whose id hashes (batch, key, source, type), so
+    ``key_col`` must be unique and non-null (a null key fails the job).
+    The payload stays text until silver parses it, like page content.
     """
     p = F.col(payload) if isinstance(payload, str) else payload
     dtype = df.select(p).schema.fields[0].dataType.typeName()
@@ -152,8 +154,10 @@ def payload_records(df: DataFrame, params: RunParams, key_col: str, payload,
     src = F.lit(source)
     rtype = F.lit(record_type)
     null_int = F.lit(None).cast("int")
+    key = F.col(key_col)
+    key = F.when(key.isNull(), F.raise_error(F.lit(f"payload_records: null key in {key_col}"))).otherwise(key)
     return df.select(
-        record_id(batch, F.col(key_col), src, rtype, null_int, null_int).alias("record_id"),
+        record_id(batch, key, src, rtype, null_int, null_int).alias("record_id"),
         rtype.alias("record_type"),
         null_int.alias("table_index"),
         null_int.alias("row_index"),

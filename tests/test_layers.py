@@ -187,3 +187,9 @@ def test_bronze_rejects_null_record_id(spark):
                    F.lit("t").alias("scraped_at"), F.lit("b").alias("batch_id"))
     with pytest.raises(Exception, match="record_id is null"):
         to_bronze(df, P).collect()
+
+
+def test_payload_key_must_not_be_null(spark):
+    df = spark.createDataFrame([(None, "{}")], "k long, p string")
+    with pytest.raises(Exception, match="null key"):
+        payload_records(df, P, "k", "p", "t").collect()
