@@ -198,3 +198,11 @@ def test_failure_classification():
     assert failed_layer("bronze", RuntimeError("org.apache.spark.api.python.PythonException: x")) == "scrape"
     assert failed_layer("bronze", RuntimeError("disk full")) == "bronze"
     assert failed_layer("silver", PythonException("boom")) == "silver"
+
+
+def test_empty_input_runs_through(spark, store):
+    empty = spark.createDataFrame([], "page_id long, url string, html string")
+    res = run_medallion(spark, empty, P1, store)
+    assert res.counts == {"bronze": 0, "silver": 0, "gold": 0}
+    assert res.gold.count() == 0 and res.summary.count() == 0
+    assert sorted(r.layer for r in read_log(store, P1).collect()) == ["bronze", "gold", "silver"]
