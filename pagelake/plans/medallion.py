@@ -126,6 +126,7 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     runlog.flush()
     gold_cols = gold_columns(names) if len(names) <= int(
         spark.conf.get("spark.sql.pivotMaxValues", "10000")) else None
-    gold = store.read(t.gold, run_id=params.run_id, columns=gold_cols, merge_schema=True)
+    # one run's partition has one schema: no schema-merge job needed here
+    gold = store.read(t.gold, run_id=params.run_id, columns=gold_cols)
     summary = store.read(t.gold_summary, run_id=params.run_id, columns=column_names(SUMMARY_SCHEMA))
     return MedallionResult(params, store, bronze, silver, gold, summary, names, counts, seconds)
