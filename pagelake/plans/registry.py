@@ -295,9 +295,6 @@ def q_silver_pages(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- gold
-GOLD_OUT = ["record_id", "record_type", "table_index", "row_index", "source_url", "scraped_at", "run_id"]
-
-
 def gold_payload(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     payload = F.create_map(
