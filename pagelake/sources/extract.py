@@ -168,6 +168,25 @@ def payload_records(df: DataFrame, params: RunParams, key_col: str, payload,
     )
 
 
+def records_from_dicts(spark: SparkSession, records: list[dict], params: RunParams) -> DataFrame:
+    """Records held in driver memory (e.g. produced by other tooling) as a
+    typed DataFrame: missing keys become null, ``content`` is a string map,
+    batch and scrape stamps default to the run's.  Meant for small inputs;
+    large inputs come from ``extract_records`` or ``payload_records``."""
+    from ..schemas import RECORD_SCHEMA
+
+    names = [f.name for f in RECORD_SCHEMA.fields]
+    defaults = {"scraped_at": params.scraped_at, "batch_id": params.batch_id}
+    rows = []
+    for rec in records:
+        row = {n: rec.get(n, defaults.get(n)) for n in names}
+        if row["content"] is not None:
+            row["content"] = {str(k): None if v is None else str(v) for k, v in row["content"].items()}
+        rows.append(tuple(row[n] for n in names))
+    nullable = RECORD_SCHEMA.__class__([f.__class__(f.name, f.dataType, True) for f in RECORD_SCHEMA.fields])
+    return spark.createDataFrame(rows, nullable)
+
+
 def content_json(content: Column) -> Column:
     """Map payload -> JSON text; a missing payload is the JSON ``null``."""
     return F.coalesce(F.to_json(content), F.lit("null"))
@@ -176,6 +195,7 @@ def content_json(content: Column) -> Column:
 __all__ = [
     "PAYLOAD_MAP",
     "content_json",
+    "records_from_dicts",
     "extract_raw",
     "extract_records",
     "payload_records",

@@ -193,3 +193,21 @@ def test_payload_key_must_not_be_null(spark):
     df = spark.createDataFrame([(None, "{}")], "k long, p string")
     with pytest.raises(Exception, match="null key"):
         payload_records(df, P, "k", "p", "t").collect()
+
+
+def test_records_from_dicts_to_bronze(spark):
+    from pagelake.sources.extract import records_from_dicts
+
+    recs = [
+        {"record_id": "r1", "record_type": "table_row", "table_index": 0, "row_index": 1,
+         "content": {"Product": "Widget A", "Price": 19.99}, "source_url": "u"},
+        {"record_id": "r2", "record_type": "paragraph", "row_index": 0, "content": None, "source_url": "u"},
+    ]
+    b = {r.record_id: r for r in to_bronze(records_from_dicts(spark, recs, P), P).collect()}
+    assert b["r1"].table_index == 0 and b["r1"].batch_id == P.batch_id and b["r1"].scraped_at == P.scraped_at
+    assert b["r2"].table_index is None and b["r2"].content == "null"
+    s = {(r.record_id, r.field_name): r.field_value_clean for r in to_silver(to_bronze(
+        records_from_dicts(spark, recs, P), P), P).collect()}
+    assert s == {("r1", "product"): "Widget A", ("r1", "price"): "19.99", ("r2", "unknown_field"): ""}
+    with pytest.raises(Exception, match="record_id is null"):
+        to_bronze(records_from_dicts(spark, [{"record_type": "x"}], P), P).collect()
