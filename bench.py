@@ -85,13 +85,26 @@ def main() -> None:
     run(to_silver(bronze.limit(100), p))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     timings = {"bronze_write_once": round(bronze_write, 3)}
+    shape = {}
+    tracker = spark.sparkContext.statusTracker()
     for name, fn in cases.items():
         runs = []
-        for _ in range(repeats):
+        for k in range(repeats):
+            group = f"bench-{name}-{k}"
+            spark.sparkContext.setJobGroup(group, name)
             t0 = time.time()
             fn()
             runs.append(time.time() - t0)
         timings[name] = round(sorted(runs)[len(runs) // 2], 3)  # median
+        # jobs and (non-skipped) stages of the last repetition, from the status tracker
+        jobs = tracker.getJobIdsForGroup(group)
+        stages = set()
+        for j in jobs:
+            info = tracker.getJobInfo(j)
+            if info is not None:
+                stages.update(sid for sid in info.stageIds if tracker.getStageInfo(sid) is not None)
+        shape[name] = {"jobs": len(jobs), "stages": len(stages)}
+    spark.sparkContext.setJobGroup("bench-end", "end")
     headline = ["extract_bronze", "silver_in_row", "gold_in_row", "run_summary", "end_to_end"]
     total = round(sum(timings[k] for k in headline), 3)
     print(json.dumps({
@@ -99,6 +112,7 @@ def main() -> None:
         "value": total,
         "unit": "sec",
         "queries": timings,
+        "jobs_stages": shape,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": cpus,
         "repeats": repeats,

@@ -26,12 +26,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..operators.bronze import BRONZE_COLUMNS, to_bronze
 from ..operators.gold import column_plan, curated_wide, curated_wide_in_row, field_names, run_summary
 from ..operators.silver import SILVER_COLUMNS, to_silver
 from ..params import RunParams, mode_for
-from ..schemas import GOLD_KEYS, GOLD_STAMP, SUMMARY_SCHEMA, column_names
+from ..schemas import (
+    BRONZE_SCHEMA, GOLD_KEYS, GOLD_STAMP, SILVER_SCHEMA, SUMMARY_SCHEMA, column_names)
 from ..sources.extract import extract_records
 from ..sources.tables import TableStore
 from .runlog import RunLog
@@ -78,6 +80,15 @@ def gold_columns(names: list[str]) -> list[str]:
     return [*GOLD_KEYS, *[c for _, c in column_plan(names)], GOLD_STAMP]
 
 
+def gold_schema(names: list[str]) -> StructType:
+    """Schema of a run's wide gold table: keys, one string per field, stamp."""
+    key_types = {f.name: f.dataType for f in BRONZE_SCHEMA.fields}
+    return StructType(
+        [StructField(k, key_types[k], True) for k in GOLD_KEYS]
+        + [StructField(c, StringType(), True) for _, c in column_plan(names)]
+        + [StructField(GOLD_STAMP, TimestampType(), True)])
+
+
 def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, store: TableStore,
                   in_row_gold: bool = True, records: DataFrame | None = None) -> MedallionResult:
     """Run all layers for ``pages`` (``page_id, url, html``).
@@ -99,7 +110,7 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     if counts["bronze"] == 0:
         log.warning("no records extracted for run %s", params.run_id)
     runlog.success("bronze", counts["bronze"])
-    bronze = store.read(t.bronze, run_id=params.run_id, columns=BRONZE_COLUMNS)
+    bronze = store.read(t.bronze, run_id=params.run_id, columns=BRONZE_COLUMNS, schema=BRONZE_SCHEMA)
 
     def silver_layer():
         return store.write(to_silver(bronze, params), t.silver, mode_for("silver", params.load_mode),
@@ -107,7 +118,7 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
 
     counts["silver"] = _guard(runlog, "silver", silver_layer, seconds)
     runlog.success("silver", counts["silver"])
-    silver = store.read(t.silver, run_id=params.run_id, columns=SILVER_COLUMNS)
+    silver = store.read(t.silver, run_id=params.run_id, columns=SILVER_COLUMNS, schema=SILVER_SCHEMA)
 
     def gold_layer():
         names = field_names(silver)
@@ -124,9 +135,10 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     names, counts["gold"] = _guard(runlog, "gold", gold_layer, seconds)
     runlog.success("gold", counts["gold"])
     runlog.flush()
-    gold_cols = gold_columns(names) if len(names) <= int(
-        spark.conf.get("spark.sql.pivotMaxValues", "10000")) else None
-    # one run's partition has one schema: no schema-merge job needed here
-    gold = store.read(t.gold, run_id=params.run_id, columns=gold_cols)
-    summary = store.read(t.gold_summary, run_id=params.run_id, columns=column_names(SUMMARY_SCHEMA))
+    wide = len(names) <= int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
+    # one run's partition has one, known schema: no inference or merge job
+    gold = store.read(t.gold, run_id=params.run_id, columns=gold_columns(names) if wide else None,
+                      schema=gold_schema(names) if wide else None)
+    summary = store.read(t.gold_summary, run_id=params.run_id, columns=column_names(SUMMARY_SCHEMA),
+                         schema=SUMMARY_SCHEMA)
     return MedallionResult(params, store, bronze, silver, gold, summary, names, counts, seconds)

@@ -110,16 +110,21 @@ class TableStore:
         return f"{self.path(name)}/{PARTITION_COLUMN}={esc}"
 
     def read(self, name: str, run_id: str | None = None, where: str | None = None,
-             columns: list[str] | None = None, merge_schema: bool = False) -> DataFrame:
+             columns: list[str] | None = None, merge_schema: bool = False,
+             schema: StructType | None = None) -> DataFrame:
         """Read a table.  ``run_id`` reads only that run's partition folder
         (schema merging then touches only that run's files); ``where`` is
-        pushed to the scan where it can be; ``columns`` fixes the order.
-        Partition values stay strings (no type inference on run ids)."""
+        pushed to the scan where it can be; ``columns`` fixes the order;
+        a known ``schema`` (the layer contracts) skips schema inference,
+        which would otherwise cost a job reading file footers.  Partition
+        values stay strings (no type inference on run ids)."""
         key = "spark.sql.sources.partitionColumnTypeInference.enabled"
         before = self.spark.conf.get(key)
         self.spark.conf.set(key, "false")
         try:
             reader = self.spark.read.option("mergeSchema", str(merge_schema).lower())
+            if schema is not None:
+                reader = reader.schema(schema)
             if run_id is not None:
                 df = (reader.option("basePath", self.path(name))
                       .parquet(self.partition_path(name, run_id)))
