@@ -103,7 +103,9 @@ def latest_gold_per_url(gold: DataFrame, max_broadcast_rows: int = BROADCAST_MAX
     skewed source's partition.
     """
     latest = gold.groupBy("source_url").agg(F.max(GOLD_STAMP).alias(GOLD_STAMP))
-    side = F.broadcast(latest) if small_enough(latest, max_broadcast_rows) else latest
+    # above the bound a merge join is requested explicitly, so no broadcast
+    # can come from a static size estimate either
+    side = F.broadcast(latest) if small_enough(latest, max_broadcast_rows) else latest.hint("merge")
     return gold.join(side, ["source_url", GOLD_STAMP], "left_semi")
 
 
