@@ -89,8 +89,10 @@ def ship_package(spark: SparkSession) -> None:
 
     The parse step runs Python on the executors; they import this package.
     The package is zipped on the driver and registered with ``addPyFile``
-    (Spark serves it to every executor, like ``--py-files``), once per
-    application.  Harmless where the package is already installed.
+    (like ``--py-files``), once per application: placed in the shared
+    folder named by ``spark.checkpoint.dir`` when the cluster sets one,
+    otherwise served by the driver.  Harmless where the package is already
+    installed.
     """
     try:
         sc = spark.sparkContext
@@ -100,9 +102,24 @@ def ship_package(spark: SparkSession) -> None:
     if key in _SHIPPED:
         return
     name, data = _package_zip()
-    folder = tempfile.mkdtemp(prefix="pagelake-pyfiles-")
-    path = os.path.join(folder, name)
-    with open(path, "wb") as fh:
-        fh.write(data)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        # the cluster's shared folder: executors fetch the zip from there
+        path = f"{configured.rstrip('/')}/_pyfiles/{name}"
+        jvm = sc._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        if not fs.exists(jpath):
+            out = fs.create(jpath, True)
+            try:
+                out.write(bytearray(data))
+            finally:
+                out.close()
+    else:
+        # local runs: the driver serves the file to its executors
+        folder = tempfile.mkdtemp(prefix="pagelake-pyfiles-")
+        path = os.path.join(folder, name)
+        with open(path, "wb") as fh:
+            fh.write(data)
     sc.addPyFile(path)
     _SHIPPED.add(key)
