@@ -120,7 +120,8 @@ class TableStore:
         values stay strings (no type inference on run ids)."""
         key = "spark.sql.sources.partitionColumnTypeInference.enabled"
         before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "false")
+        if schema is None:  # a given schema already types the partition column
+            self.spark.conf.set(key, "false")
         try:
             reader = self.spark.read.option("mergeSchema", str(merge_schema).lower())
             if schema is not None:
@@ -131,7 +132,8 @@ class TableStore:
             else:
                 df = reader.parquet(self.path(name))
         finally:
-            self.spark.conf.set(key, before)
+            if schema is None:
+                self.spark.conf.set(key, before)
         if where:
             df = df.where(where)
         if columns:

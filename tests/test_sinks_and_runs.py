@@ -206,3 +206,15 @@ def test_empty_input_runs_through(spark, store):
     assert res.counts == {"bronze": 0, "silver": 0, "gold": 0}
     assert res.gold.count() == 0 and res.summary.count() == 0
     assert sorted(r.layer for r in read_log(store, P1).collect()) == ["bronze", "gold", "silver"]
+
+
+def test_read_with_schema_keeps_string_run_ids(spark, store):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    df = spark.range(2).select(F.col("id"), F.lit("20240101").alias("run_id"))
+    store.write(df, "q", "append", run_id="20240101")
+    sch = StructType([StructField("id", LongType()), StructField("run_id", StringType())])
+    got = store.read("q", schema=sch)
+    assert dict(got.dtypes)["run_id"] == "string"
+    assert {r.run_id for r in got.collect()} == {"20240101"}
+    assert store.read("q", run_id="20240101", schema=sch).count() == 2
