@@ -23,6 +23,12 @@ def batch_params(base: RunParams, batch_id: int) -> RunParams:
     return base.with_(run_id=f"{base.run_id}-b{batch_id:06d}", batch_id=f"{base.batch_id}-b{batch_id:06d}")
 
 
+def process_batch(batch: DataFrame, batch_id: int, base: RunParams, store: TableStore) -> None:
+    """One micro-batch = one run with a run id derived from the batch id;
+    a replay of the same batch rewrites the same run partitions."""
+    run_medallion(batch.sparkSession, batch, batch_params(base, batch_id), store)
+
+
 def start_pages_stream(spark: SparkSession, source_dir: str, store: TableStore, checkpoint: str,
                        base: RunParams, available_now: bool = True,
                        processing_time: str | None = None,
@@ -35,7 +41,7 @@ def start_pages_stream(spark: SparkSession, source_dir: str, store: TableStore,
     pages = reader.parquet(source_dir)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        run_medallion(batch.sparkSession, batch, batch_params(base, batch_id), store)
+        process_batch(batch, batch_id, base, store)
 
     w = pages.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if available_now:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from pagelake.params import RunParams
-from pagelake.streaming import batch_params, start_pages_stream
+from pagelake.streaming import batch_params, process_batch, start_pages_stream
 
 from conftest import SF_SMALL
 
@@ -24,3 +24,16 @@ def test_stream_runs_each_batch_once(spark, store, tmp_path):
     q2 = start_pages_stream(spark, str(src / "*"), store, str(tmp_path / "ckpt"), base)
     q2.awaitTermination(300)
     assert store.read(base.tables.gold_summary).count() == pages.count()
+
+
+def test_replayed_batch_is_idempotent(spark, store):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    base = RunParams.fixed()
+    process_batch(pages, 7, base, store)
+    counts = {n: store.read(n, merge_schema=True).count()
+              for n in (base.tables.bronze, base.tables.silver, base.tables.gold, base.tables.gold_summary)}
+    process_batch(pages, 7, base, store)  # the same batch again, as after a failure
+    again = {n: store.read(n, merge_schema=True).count() for n in counts}
+    assert again == counts
+    # the audit log records both attempts
+    assert store.spark.read.parquet(store.path(base.tables.run_log)).count() == 6
