@@ -171,12 +171,6 @@ def _silver_from_long(long_sql: str) -> str:
     """
 
 
-CUSTOMER_GOLD_PAIRS = [
-    ("'Name'", "c_name"), ("'nationkey'", "CAST(c_nationkey AS VARCHAR)"),
-    ("'acct bal'", dec2("c_acctbal")), ("'segment'", "c_mktsegment"), ("'note'", TOKEN),
-    ("'balance'", f"{dec2('c_acctbal')} || ' USD'"),
-]
-
 CUSTOMER_GOLD = f"""
 SELECT {cust_rid()} AS record_id, 'row' AS record_type, {NULL_INT} AS table_index, {NULL_INT} AS row_index,
        'customer' AS source_url, '{SCRAPED}' AS scraped_at, '{RUN}' AS run_id,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..params import RunParams
-from ..schemas import RUN_LOG_SCHEMA
+from ..schemas import LAYERS, RUN_LOG_SCHEMA
 from ..sources.tables import TableStore
 
 STATUSES = ("success", "failed")
@@ -18,9 +18,11 @@ STATUSES = ("success", "failed")
 
 def log_rows(spark: SparkSession, params: RunParams, events: list[tuple[str, str, int, str]]) -> DataFrame:
     """Log rows for ``(layer, status, row_count, message)`` events."""
-    for _, status, _, _ in events:
+    for layer, status, _, _ in events:
         if status not in STATUSES:
             raise ValueError(f"status must be one of {STATUSES}")
+        if layer not in LAYERS:
+            raise ValueError(f"layer must be one of {LAYERS}")
     return spark.createDataFrame(
         [(params.run_id, params.run_timestamp, params.source_label, layer, status, int(n), msg)
          for layer, status, n, msg in events],

@@ -15,7 +15,6 @@ Tables whose columns change between runs (gold) are read with
 
 from __future__ import annotations
 
-import json
 import logging
 from dataclasses import dataclass
 
@@ -185,6 +184,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **kw)
     Needs the database's JDBC driver on the classpath."""
     encode_complex(df).write.format("jdbc").options(**jdbc_options(url, table, **kw)).mode(mode).save()
 
-
-def describe(df: DataFrame) -> str:
-    return json.dumps([(f.name, f.dataType.simpleString()) for f in df.schema.fields])

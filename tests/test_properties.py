@@ -10,6 +10,7 @@ from pagelake.operators import gold as G
 from pagelake.operators.bronze import to_bronze
 from pagelake.operators.silver import to_silver, to_silver_relational
 from pagelake.params import RunParams
+from pagelake.schemas import RECORD_TYPES
 from pagelake.sources.extract import payload_records
 from pagelake.sources.html_records import extract
 
@@ -29,7 +30,7 @@ _piece = st.one_of(
 def test_extractor_total_and_invariants(html):
     recs = extract(html)
     kinds = [r[0] for r in recs]
-    order = ["table_row", "paragraph", "link", "metadata"]
+    order = list(RECORD_TYPES)
     assert kinds == sorted(kinds, key=order.index)  # fixed kind order
     for kind in ("paragraph", "link"):
         idx = [r[2] for r in recs if r[0] == kind]
