@@ -218,3 +218,15 @@ def test_read_with_schema_keeps_string_run_ids(spark, store):
     assert dict(got.dtypes)["run_id"] == "string"
     assert {r.run_id for r in got.collect()} == {"20240101"}
     assert store.read("q", run_id="20240101", schema=sch).count() == 2
+
+
+def test_log_rows_are_validated(spark):
+    from pagelake.plans.runlog import log_rows
+
+    rows = log_rows(spark, P1, [("silver", "success", 3, "")]).collect()
+    assert [(r.layer, r.status, r.row_count, r.run_timestamp) for r in rows] == [
+        ("silver", "success", 3, "2024-01-01T00:00:00")]
+    with pytest.raises(ValueError):
+        log_rows(spark, P1, [("platinum", "success", 1, "")])
+    with pytest.raises(ValueError):
+        log_rows(spark, P1, [("gold", "maybe", 1, "")])
