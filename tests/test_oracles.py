@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from pagelake.plans.oracle_sql import oracle_queries
+from pagelake.plans.registry import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -31,13 +33,14 @@ def _bag(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(oracle_queries())
+    assert set(QUERIES) <= set(E.queries()) and set(oracle_queries()) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    rel = con.sql(E.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    rel = con.sql(oracle_queries()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     srows, orows = [tuple(r) for r in df.collect()], rel.fetchall()
     assert len(srows) == len(orows)
