@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_quality, mixing, neardup, packing, secret_scan, sharding
+from . import line_quality, mixing, neardup, packing, secret_scan, sharding, simhash_index
 from .common import documents
 
 
@@ -17,6 +17,7 @@ def _over_documents(query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _over_documents(mixing.query),
     "op2_secret_scan": _over_documents(secret_scan.query),
+    "op3_fingerprints": _over_documents(simhash_index.query),
     "op4_simhash_near_dedup": _over_documents(neardup.query),
     "op5_sharding": _over_documents(sharding.query),
     "op6_best_fit_packing": _over_documents(packing.query),
