@@ -34,52 +34,72 @@ from .common import cut, map_rows, slices
 SIZE = 2048
 VOCABULARY = "byte_bpe_50k.json"
 SLICES = 4096  # slices beyond one per length, in all
-MEMO = 500_000  # words a worker keeps encoded
+MEMO = 700_000  # words, and word parts, that a worker keeps encoded
+
+
+#: fixed values: the splitting pattern that the byte-level pre-tokenizer of the public vocabulary names by ``use_regex``
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Encoder:
-    """Token ids of texts as little-endian bytes, with a bounded memory of encoded words.
+    """Token ids of texts as little-endian bytes, with bounded memories of encoded words and word parts.
 
-    The byte-level vocabulary never joins across a single space between two
-    other characters, so such texts are encoded word by word (each with the space before it), every
-    new word once.  Texts with two white-space characters in a row are encoded whole.
+    A byte-level vocabulary never joins across a single space between two other
+    characters, nor across the parts that its pattern cuts. So a text is looked up word by
+    word (each with the space before it), a new word part by part, and a new part goes
+    through the vocabulary's merges once.  Texts with two white-space characters in a row, and
+    vocabularies of another kind, are encoded whole.
     """
 
     def __init__(self, path: str):
+        import json
         import re
 
+        import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.uneven = re.compile(r"\s\s").search
+        self.find = regex.compile(BYTE_LEVEL).findall
+        # printable Latin-1 stands for its own byte, the other bytes follow from 256 on
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in plain)}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pre = spec["pre_tokenizer"] or {}
+        self.by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and spec["normalizer"] is None and spec["post_processor"] is None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
-        split = {k: t.split(" ") for k, t in enumerate(texts) if not self.uneven(t)}
+        split = {k: t.split(" ") for k, t in enumerate(texts) if self.by_word and not self.uneven(t)}
         words = self.words
         if len(words) > MEMO:
             words.clear()
+        if len(self.parts) > MEMO:
+            self.parts.clear()
         new = set()
         for w in split.values():
             new.update(w[1:])
-        new = list(new.difference(words))
-        words.update(zip(new, self._ids([" " + w for w in new])))
-        heads = [k for k in split if split[k][0]]
-        head = dict(zip(heads, self._ids([split[k][0] for k in heads])))
+        for w in new.difference(words):
+            words[w] = self._word(" " + w)
         for k, w in split.items():
-            out[k] = head.get(k, b"") + b"".join(map(words.__getitem__, w[1:]))
+            out[k] = (self._word(w[0]) if w[0] else b"") + b"".join(map(words.__getitem__, w[1:]))
         whole = [k for k in range(len(texts)) if k not in split]
-        for k, ids in zip(whole, self._ids([texts[k] for k in whole])):
-            out[k] = ids
+        for lo in range(0, len(whole), 16):
+            some = whole[lo : lo + 16]
+            for k, e in zip(some, self.tok.encode_batch_fast([texts[k] for k in some], add_special_tokens=False)):
+                out[k] = np.array(e.ids, "<u4").tobytes()
         return out
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for lo in range(0, len(texts), 20_000):  # the encodings of a batch are large objects
-            out += [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts[lo : lo + 20_000], add_special_tokens=False)]
-        return out
+    def _word(self, word: str) -> bytes:
+        found, parts = self.find(word), self.parts
+        for p in found:
+            if p not in parts:
+                parts[p] = b"".join([t.id.to_bytes(4, "little") for t in self.tok.model.tokenize(p.encode().decode("latin-1").translate(self.letters))])
+        return b"".join([parts[p] for p in found])
 
 
 _ENCODERS: dict[str, Encoder] = {}
