@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_quality, mixing, neardup, packing, secret_scan, sharding, simhash_index
-from .common import documents
+from . import language_id, line_quality, mixing, nbsvm, neardup, packing, secret_scan, sharding, simhash_index, toxicity
+from .common import documents, labels
 
 
 def _over_documents(query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(documents(spark, sf_dir))
 
 
+def _over_labels(query: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _over_documents(mixing.query),
     "op2_secret_scan": _over_documents(secret_scan.query),
@@ -21,7 +25,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": _over_documents(neardup.query),
     "op5_sharding": _over_documents(sharding.query),
     "op6_best_fit_packing": _over_documents(packing.query),
+    "op7_language_id": _over_documents(language_id.query),
     "op8_quality_rules": _over_documents(line_quality.query),
+    "op9_quality_classifier": _over_labels(nbsvm.query),
+    "op10_toxicity": _over_labels(toxicity.query),
 }
 
 # where SQL can't express the operator, tests/llm holds it against a brute-force form
