@@ -34,7 +34,7 @@ from .common import cut, map_rows, slices
 SIZE = 2048
 VOCABULARY = "byte_bpe_50k.json"
 SLICES = 4096  # slices beyond one per length, in all
-MEMO = 700_000  # words, and word parts, that a worker keeps encoded
+MEMO = 500_000  # words, and word parts, that a worker keeps encoded
 
 
 #: fixed values: the splitting pattern that the byte-level pre-tokenizer of the public vocabulary names by ``use_regex``
