@@ -15,7 +15,6 @@ split; without any training row everything is ``und``.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -41,10 +40,14 @@ def grams(word: str, n: int) -> list[str]:
     return [w[k : k + n] for k in range(len(w) - n + 1)]
 
 
-def _top(df: DataFrame, name: str, k: int) -> list:
-    """The k most frequent values with their counts by language; ties by value."""
-    best = df.groupBy(name).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), name).limit(k).select(name)
-    return df.join(best, name).groupBy(name).agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("m")).collect()
+def _top(df: DataFrame, name: str, k: int, langs: list[str]) -> dict[str, np.ndarray]:
+    """Log frequencies by language of the k most frequent values (ties by value)."""
+    per = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).cast("double").alias(f"n{i}") for i, x in enumerate(langs)]
+    got = df.groupBy(name).agg(F.sum("n").alias("n"), *per).orderBy(F.desc("n"), name).limit(k).toArrow()
+    if not got.num_rows:
+        return {}
+    counts = np.column_stack([got.column(f"n{i}").to_numpy() for i in range(len(langs))]) + 0.1
+    return dict(zip(got.column(name).to_pylist(), np.log(counts / counts.sum(0))))
 
 
 class Model:
@@ -83,14 +86,6 @@ class Model:
         return self.langs[best], float(e[best] / e.sum())
 
 
-def _logs(rows: list, name: str, langs: list[str]) -> dict[str, np.ndarray]:
-    if not rows:
-        return {}
-    counts = np.array([[r.m.get(x, 0) for x in langs] for r in rows], float) + 0.1
-    logs = np.log(counts / counts.sum(0))
-    return {r[name]: logs[k] for k, r in enumerate(rows)}
-
-
 def fit(docs: DataFrame, rows: int = ROWS, words: int = WORDS, n_grams: int = GRAMS) -> Model:
     """Model of the rows with a non-null text and lang; about ``rows`` of each language."""
     known = docs.where("lang is not null and text is not null")
@@ -115,8 +110,8 @@ def fit(docs: DataFrame, rows: int = ROWS, words: int = WORDS, n_grams: int = GR
         edged = seen.withColumn("word", F.concat(F.lit(" "), "word", F.lit(" "))) if n > 1 else seen
         at = edged.where(F.length("word") >= n).select("lang", "word", "n", F.explode(F.sequence(F.lit(1), F.length("word") - (n - 1))).alias("k"))
         table = at.groupBy("lang", F.substring("word", F.col("k"), F.lit(n)).alias("gram")).agg(F.sum("n").alias("n"))
-        orders.append(_logs(_top(table, "gram", n_grams), "gram", langs))
-    return Model(langs, _logs(_top(seen, "word", words), "word", langs), orders)
+        orders.append(_top(table, "gram", n_grams, langs))
+    return Model(langs, _top(seen, "word", words, langs), orders)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -100,7 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), found], ["doc_id", "y", "curve", "places"])
 
     texts = labelled_texts(docs, chosen).select("doc_id", "y", "curve", "text")
-    got = map_rows(texts, run, f"doc_id {dict(docs.dtypes)['doc_id']}, y int, curve boolean, places array<int>").toPandas()  # bounded by ``rows``
+    got = map_rows(texts, run, f"doc_id {dict(docs.dtypes)['doc_id']}, y int, curve boolean, places array<int>").toArrow().to_pandas()  # bounded by ``rows``
     got = got.sort_values("doc_id", kind="stable")
     places, y, curve = [np.asarray(p, np.int64) for p in got["places"]], got["y"].to_numpy(int), got["curve"].to_numpy(bool)
     counts = np.zeros((2, SIZE))
