@@ -8,8 +8,10 @@ result does not depend on row order.
 
 Field names come from one small distinct job; they are the output schema,
 so they are the only thing brought to the driver.  Above
-``spark.sql.pivotMaxValues`` names the wide form is replaced by a
-``fields map<string,string>`` column instead of failing.
+``spark.sql.pivotMaxValues`` names every wide form raises; the map forms
+(``curated_map``, ``curated_map_in_row``: one ``fields map<string,string>``
+column, named by the field names themselves) need no names and have no limit.
+The caller chooses the form; it never depends on the data.
 """
 
 from __future__ import annotations
@@ -63,8 +65,12 @@ def _renamed(plan: list[tuple[str, str]]):
     return out
 
 
-def _too_many(spark, names) -> bool:
-    return len(names) > int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
+def check_names(spark, names: list[str]) -> None:
+    """Raise when there are more names than a wide table may have columns."""
+    limit = int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
+    if len(names) > limit:
+        raise ValueError(f"at least {len(names)} field names, but spark.sql.pivotMaxValues allows {limit} columns; "
+                         "raise the setting or choose the map form of gold")
 
 
 def _stamp(df: DataFrame, params: RunParams) -> DataFrame:
@@ -76,12 +82,8 @@ def curated_wide(silver: DataFrame, params: RunParams, names: list[str] | None =
     record key; the pivot values are given, so no extra job runs."""
     if names is None:
         names = field_names(silver)
+    check_names(silver.sparkSession, names)
     valid = silver.filter(F.col("is_valid"))
-    if _too_many(silver.sparkSession, names):
-        per_name = valid.groupBy(*GOLD_KEYS, "field_name").agg(F.min("field_value_clean").alias("v"))
-        wide = per_name.groupBy(*GOLD_KEYS).agg(
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct("field_name", "v")))).alias(MAP_COLUMN))
-        return _stamp(wide, params)
     if not names:
         return _stamp(valid.select(*GOLD_KEYS).distinct(), params)
     plan = column_plan(names)
@@ -103,6 +105,7 @@ def curated_wide_keys_join(silver: DataFrame, params: RunParams,
     ``record_id`` alone (kept to show the join adds nothing)."""
     if names is None:
         names = field_names(silver)
+    check_names(silver.sparkSession, names)
     plan = column_plan(names)
     valid = silver.filter(F.col("is_valid"))
     keys = valid.select(*GOLD_KEYS).dropDuplicates(["record_id"])
@@ -113,21 +116,39 @@ def curated_wide_keys_join(silver: DataFrame, params: RunParams,
     return _stamp(wide, params)
 
 
+def curated_map(silver: DataFrame, params: RunParams) -> DataFrame:
+    """Silver (long) -> one row per record with a map of its valid fields."""
+    per_name = silver.filter(F.col("is_valid")).groupBy(*GOLD_KEYS, "field_name").agg(F.min("field_value_clean").alias("v"))
+    fields = F.map_from_entries(F.array_sort(F.collect_list(F.struct("field_name", "v"))))
+    return _stamp(per_name.groupBy(*GOLD_KEYS).agg(fields.alias(MAP_COLUMN)), params)
+
+
+def _record_maps(bronze: DataFrame) -> DataFrame:
+    """Record keys and ``_m``, the map of the record's valid fields; records without any are left out.
+
+    The map is produced by a generator (one element, or none when the
+    record has no valid field): the parse runs once per row and the
+    emptiness test cannot be pushed below it as a second copy.
+    """
+    valid_map = first_valid_per_name(parsed_fields(F.col("content")))
+    non_empty = F.filter(F.array(valid_map), lambda m: F.size(m) > 0)
+    return bronze.select(*RECORD_KEYS, F.explode(non_empty).alias("_m"))
+
+
+def curated_map_in_row(bronze: DataFrame, params: RunParams) -> DataFrame:
+    """The map form straight from bronze rows, without any exchange."""
+    return _stamp(_record_maps(bronze).select(*GOLD_KEYS, F.col("_m").alias(MAP_COLUMN)), params)
+
+
 def curated_wide_in_row(bronze: DataFrame, params: RunParams, names: list[str]) -> DataFrame:
     """Gold wide straight from bronze rows without any exchange.
 
     Each bronze row holds all fields of its record; the valid fields are
     parsed and cleaned exactly as silver does and looked up by name.
     """
-    valid_map = first_valid_per_name(parsed_fields(F.col("content")))
-    # The map is produced by a generator (one element, or none when the
-    # record has no valid field): the parse runs once per row and the
-    # emptiness test cannot be pushed below it as a second copy.
-    non_empty = F.filter(F.array(valid_map), lambda m: F.size(m) > 0)
-    rec = bronze.select(*RECORD_KEYS, F.explode(non_empty).alias("_m"))
+    check_names(bronze.sparkSession, names)
+    rec = _record_maps(bronze)
     keys = [F.col(k) for k in GOLD_KEYS]
-    if _too_many(bronze.sparkSession, names):
-        return _stamp(rec.select(*keys, F.col("_m").alias(MAP_COLUMN)), params)
     cols = [F.element_at("_m", F.lit(n)).alias(c) for n, c in column_plan(names)]
     return _stamp(rec.select(*keys, *cols), params)
 
@@ -142,8 +163,8 @@ def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None
     field names.  Distinct counts are exchanged on (keys, record id / field
     name) first, so a source holding a large share of the rows is spread
     over all tasks and only partial counts reach the per-source step.  The
-    two results (one row per source each, both hash-partitioned on the
-    source) are merge-joined on (run, source) without a further exchange.  With ``sources`` (a frame of
+    two results meet in one more grouping on (run, source), not in a join, so
+    a null source keeps its row.  With ``sources`` (a frame of
     ``source_url``), sources that produced nothing are added as empty
     marker rows and get a row of zeros, without a join against the pages.
     """
@@ -162,21 +183,23 @@ def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None
         F.count_if("is_valid").alias("n_valid"),
     )
     by_type = F.when(F.col("n_records") > 0, F.struct("record_type", "n_records"))
-    per_source = per_type.groupBy(*gk).agg(
+    # distinct names of a source, counted as rows of the same final grouping
+    seen = rows.select(*gk, "field_name").where(F.col("field_name").isNotNull()).distinct()
+    none = F.lit(None).cast("long")
+    parts = per_type.withColumn("one_name", none).unionByName(seen.select(
+        *gk, F.lit(None).cast("string").alias("record_type"), none.alias("n_records"), none.alias("n_fields"),
+        none.alias("n_valid"), F.lit(1).cast("long").alias("one_name")))
+    per_source = parts.groupBy(*gk).agg(
         F.sum("n_records").alias("total_records"),
         F.sum("n_fields").alias("total_fields"),
         F.sum("n_valid").alias("valid_fields"),
         F.array_join(F.transform(F.array_sort(F.collect_list(by_type)),
                                  lambda x: F.concat(x["record_type"], F.lit("="), x["n_records"].cast("string"))),
                      ", ").alias("records_by_type"),
+        F.sum("one_name").alias("distinct_field_names"),
     )
-    names = rows.groupBy(*gk).agg(F.count_distinct("field_name").alias("distinct_field_names"))
-    # Both sides leave their last exchange hash-partitioned on (run, source):
-    # a merge join reuses that partitioning, with no broadcast of a side
-    # whose size grows with the number of sources.
-    joined = per_source.join(names.hint("merge"), gk, "inner")
     zero = F.lit(0).cast("long")
-    return joined.select(
+    return per_source.select(
         "run_id",
         "source_url",
         F.coalesce("total_records", zero).cast("long").alias("total_records"),

@@ -81,32 +81,18 @@ def gold_for_url(gold: DataFrame, url: str) -> DataFrame:
     return gold.filter(F.col("source_url") == F.lit(url)).orderBy(F.col(GOLD_STAMP).desc())
 
 
-# Largest number of rows a join side may have to be broadcast (a source
-# url and a timestamp per row: a few tens of MB at most).
-BROADCAST_MAX_ROWS = 100_000
-
-
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def latest_gold_per_url(gold: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def latest_gold_per_url(gold: DataFrame) -> DataFrame:
     """For every source, the rows of its most recent load.
 
     The latest stamp per source is a partial aggregate (one row per
     source) semi-joined back on (source, stamp); no window over a source,
     so a source with a huge share of rows is never funnelled into one
-    task.  The per-source side is broadcast only after a bounded count
-    shows it small; otherwise it is a shuffled join, where AQE splits a
-    skewed source's partition.
+    task.  No hint: adaptive execution broadcasts the per-source side if it
+    measures small, else the join is shuffled and a skewed source's
+    partition is split.  A null source is a source.
     """
-    latest = gold.groupBy("source_url").agg(F.max(GOLD_STAMP).alias(GOLD_STAMP))
-    # above the bound a merge join is requested explicitly, so no broadcast
-    # can come from a static size estimate either
-    side = F.broadcast(latest) if small_enough(latest, max_broadcast_rows) else latest.hint("merge")
-    return gold.join(side, ["source_url", GOLD_STAMP], "left_semi")
+    latest = gold.groupBy(F.col("source_url").alias("_url")).agg(F.max(GOLD_STAMP).alias("_at"))
+    return gold.join(latest, F.col("source_url").eqNullSafe(F.col("_url")) & (F.col(GOLD_STAMP) == F.col("_at")), "left_semi")
 
 
 def summary_latest_first(summary: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..operators.bronze import BRONZE_COLUMNS, to_bronze
-from ..operators.gold import column_plan, curated_wide, curated_wide_in_row, field_names, run_summary
+from ..operators.gold import column_plan, curated_map, curated_map_in_row, curated_wide, curated_wide_in_row, field_names, run_summary
 from ..operators.silver import SILVER_COLUMNS, to_silver
 from ..params import RunParams, mode_for
 from ..schemas import (
@@ -76,6 +76,15 @@ def failed_layer(layer: str, exc: BaseException) -> str:
     return layer
 
 
+GOLD_FORMS = ("wide", "map")
+
+
+def run_mode(table_key: str, load_mode: str) -> str:
+    """Write mode of a run: what it would append replaces an earlier try of the same run."""
+    mode = mode_for(table_key, load_mode)
+    return "replace_run" if mode == "append" else mode
+
+
 def gold_columns(names: list[str]) -> list[str]:
     return [*GOLD_KEYS, *[c for _, c in column_plan(names)], GOLD_STAMP]
 
@@ -90,12 +99,19 @@ def gold_schema(names: list[str]) -> StructType:
 
 
 def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, store: TableStore,
-                  in_row_gold: bool = True, records: DataFrame | None = None) -> MedallionResult:
+                  in_row_gold: bool = True, records: DataFrame | None = None,
+                  gold_form: str = "wide") -> MedallionResult:
     """Run all layers for ``pages`` (``page_id, url, html``).
 
+    ``gold_form``: ``wide`` (one column per field name; raises above
+    ``spark.sql.pivotMaxValues`` names) or ``map`` (one map column, no limit).
+    Appending runs replace their own rows, so a retry leaves one copy.
+
     ``records`` may be given instead of pages (e.g. from
     ``payload_records``) to run the same layers over any payload table.
     """
+    if gold_form not in GOLD_FORMS:
+        raise ValueError(f"gold_form must be one of {GOLD_FORMS}, got {gold_form!r}")
     t = params.tables
     counts: dict[str, int] = {}
     seconds: dict[str, float] = {}
@@ -103,7 +119,7 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
 
     def bronze_layer():
         recs = records if records is not None else extract_records(pages, params)
-        return store.write(to_bronze(recs, params), t.bronze, mode_for("bronze", params.load_mode),
+        return store.write(to_bronze(recs, params), t.bronze, run_mode("bronze", params.load_mode),
                            run_id=params.run_id)
 
     counts["bronze"] = _guard(runlog, "bronze", bronze_layer, seconds)
@@ -113,7 +129,7 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     bronze = store.read(t.bronze, run_id=params.run_id, columns=BRONZE_COLUMNS, schema=BRONZE_SCHEMA)
 
     def silver_layer():
-        return store.write(to_silver(bronze, params), t.silver, mode_for("silver", params.load_mode),
+        return store.write(to_silver(bronze, params), t.silver, run_mode("silver", params.load_mode),
                            run_id=params.run_id)
 
     counts["silver"] = _guard(runlog, "silver", silver_layer, seconds)
@@ -121,21 +137,23 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     silver = store.read(t.silver, run_id=params.run_id, columns=SILVER_COLUMNS, schema=SILVER_SCHEMA)
 
     def gold_layer():
-        names = field_names(silver)
-        if in_row_gold:
+        names = field_names(silver) if gold_form == "wide" else []
+        if gold_form == "map":
+            wide = curated_map_in_row(bronze, params) if in_row_gold else curated_map(silver, params)
+        elif in_row_gold:
             wide = curated_wide_in_row(bronze, params, names)
         else:
             wide = curated_wide(silver, params, names)
-        n_gold = store.write(wide, t.gold, mode_for("gold", params.load_mode), run_id=params.run_id)
+        n_gold = store.write(wide, t.gold, run_mode("gold", params.load_mode), run_id=params.run_id)
         sources = pages.select(F.col("url").alias("source_url")) if records is None else None
         summ = run_summary(silver, params, sources=sources)
-        store.write(summ, t.gold_summary, mode_for("gold_summary", params.load_mode), run_id=params.run_id)
+        store.write(summ, t.gold_summary, run_mode("gold_summary", params.load_mode), run_id=params.run_id)
         return names, n_gold
 
     names, counts["gold"] = _guard(runlog, "gold", gold_layer, seconds)
     runlog.success("gold", counts["gold"])
     runlog.flush()
-    wide = len(names) <= int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
+    wide = gold_form == "wide"
     # one run's partition has one, known schema: no inference or merge job
     gold = store.read(t.gold, run_id=params.run_id, columns=gold_columns(names) if wide else None,
                       schema=gold_schema(names) if wide else None)

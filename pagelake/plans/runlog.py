@@ -48,7 +48,7 @@ class RunLog:
         self.pending.append((layer, "success", int(row_count), message))
 
     def failed(self, layer: str, message: str) -> None:
-        self.pending.append((layer, "failed", 0, message[:2000]))
+        self.pending.append((layer, "failed", 0, message))
         self.flush()
 
     def flush(self) -> None:

@@ -51,6 +51,8 @@ def shared_root(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(conf)
         return conf.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     wh = spark.conf.get("spark.sql.warehouse.dir")
     if wh.startswith("file:"):
         wh = wh[len("file:"):]

@@ -25,7 +25,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 log = logging.getLogger("pagelake.tables")
 
 PARTITION_COLUMN = "run_id"
-MODES = ("append", "overwrite", "errorifexists")
+MODES = ("append", "replace_run", "overwrite", "errorifexists")
 
 
 def encode_complex(df: DataFrame) -> DataFrame:
@@ -69,22 +69,25 @@ class TableStore:
         into the run's partition folder: no dynamic-partition machinery and
         no per-task sort on the partition column.  Without it the table is
         written partitioned by the ``run_id`` column of the rows.
+
+        ``append`` adds rows.  ``replace_run`` replaces the rows of the runs
+        it writes and keeps the others, so a retried run leaves one copy.
         """
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
         obs = Observation(f"rows_{name}")
-        observed = encode_complex(df).observe(obs, F.count(F.lit(1)).alias("rows"))
+        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if mode == "errorifexists" and self.exists(name):
             raise FileExistsError(f"table {self.path(name)} already exists")
         if run_id is not None:
-            observed.drop(PARTITION_COLUMN).write.mode("overwrite").format("parquet") \
+            observed.drop(PARTITION_COLUMN).write.mode("append" if mode == "append" else "overwrite").format("parquet") \
                 .save(self.partition_path(name, run_id))
             if mode == "overwrite":
                 # only after the new run is written: a failed write loses nothing
                 self._delete_other_runs(name, run_id)
         else:
-            w = observed.write.format("parquet").partitionBy(PARTITION_COLUMN).mode("overwrite")
-            if mode != "overwrite":
+            w = observed.write.format("parquet").partitionBy(PARTITION_COLUMN).mode("append" if mode == "append" else "overwrite")
+            if mode == "replace_run":
                 w = w.option("partitionOverwriteMode", "dynamic")
             w.save(self.path(name))
         rows = obs.get.get("rows", 0)

@@ -120,14 +120,17 @@ def test_collision_in_gold(spark):
     assert (r.field_run_id, r.field_record_id, r.field_gold_loaded_at, r.run_id) == ("a", "b", "c", P.run_id)
 
 
-def test_too_many_names_fall_back_to_map(spark):
+def test_too_many_names_raise_in_every_wide_form(spark):
     s = _payload_silver(spark, ['{"a": "1", "b": "2", "c": "3"}', '{"a": "4"}'])
     spark.conf.set("spark.sql.pivotMaxValues", "2")
     try:
         names = G.field_names(s)
         assert len(names) == 3  # limit + 1: the caller can see it is exceeded
-        g = G.curated_wide(s, P, names)
-        assert G.MAP_COLUMN in g.columns
+        for wide in (G.curated_wide, G.curated_wide_keys_join, G.curated_wide_in_row):
+            with pytest.raises(ValueError, match="pivotMaxValues"):
+                wide(s, P, names)
+        g = G.curated_map(s, P)
+        assert dict(g.dtypes)[G.MAP_COLUMN] == "map<string,string>"
         maps = sorted([sorted(r[G.MAP_COLUMN].items()) for r in g.collect()])
         assert maps == [[("a", "1"), ("b", "2"), ("c", "3")], [("a", "4")]]
     finally:
@@ -211,3 +214,10 @@ def test_records_from_dicts_to_bronze(spark):
     assert s == {("r1", "product"): "Widget A", ("r1", "price"): "19.99", ("r2", "unknown_field"): ""}
     with pytest.raises(Exception, match="record_id is null"):
         to_bronze(records_from_dicts(spark, [{"record_type": "x"}], P), P).collect()
+
+
+def test_summary_keeps_null_sources(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>a</p>"), (2, None, "<p>b</p><p>c</p>")], "page_id long, url string, html string")
+    s = to_silver(to_bronze(extract_records(pages, P), P), P)
+    got = {r.source_url: (r.total_records, r.distinct_field_names) for r in G.run_summary(s, P, sources=pages.selectExpr("url AS source_url")).collect()}
+    assert set(got) == {"u", None} and got[None][0] == got["u"][0] + 1 and got[None][1] == got["u"][1]

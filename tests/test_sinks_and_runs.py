@@ -39,10 +39,10 @@ def test_encode_complex(spark):
 
 def test_append_is_idempotent_per_run_and_overwrite_replaces(spark, store):
     df = spark.range(5).select(F.col("id"), F.lit(P1.run_id).alias("run_id"))
-    assert store.write(df, "t", "append") == 5
-    assert store.write(df, "t", "append") == 5  # same run again: replaced, not doubled
+    assert store.write(df, "t", "replace_run") == 5
+    assert store.write(df, "t", "replace_run") == 5  # same run again: replaced, not doubled
     df2 = spark.range(3).select(F.col("id"), F.lit(P2.run_id).alias("run_id"))
-    store.write(df2, "t", "append")
+    store.write(df2, "t", "replace_run")
     assert store.read("t").count() == 8
     assert store.read("t", run_id=P2.run_id).count() == 3
     assert store.read("t", where="id >= 3").count() == 2  # ids 3 and 4 of the first run
@@ -138,10 +138,10 @@ def test_html_folder_source(spark, tmp_path):
 
 def test_run_partition_write_and_string_run_ids(spark, store):
     df = spark.range(4).select(F.col("id"), F.lit("20240101").alias("run_id"))
-    assert store.write(df, "p", "append", run_id="20240101") == 4
-    assert store.write(df, "p", "append", run_id="20240101") == 4  # replaced, not doubled
+    assert store.write(df, "p", "replace_run", run_id="20240101") == 4
+    assert store.write(df, "p", "replace_run", run_id="20240101") == 4  # replaced, not doubled
     df2 = spark.range(2).select(F.col("id"), F.lit("0002").alias("run_id"))
-    store.write(df2, "p", "append", run_id="0002")
+    store.write(df2, "p", "replace_run", run_id="0002")
     got = store.read("p")
     assert dict(got.dtypes)["run_id"] == "string"
     assert sorted(r.run_id for r in got.select("run_id").distinct().collect()) == ["0002", "20240101"]
@@ -230,3 +230,14 @@ def test_log_rows_are_validated(spark):
         log_rows(spark, P1, [("platinum", "success", 1, "")])
     with pytest.raises(ValueError):
         log_rows(spark, P1, [("gold", "maybe", 1, "")])
+
+
+def test_append_adds_and_replace_run_replaces(spark, store):
+    df = spark.createDataFrame([("a", 1), ("a", 2)], "run_id string, v int")
+    for run_id in (None, "a"):
+        name = f"adds_{run_id}"
+        store.write(df, name, "append", run_id=run_id)
+        store.write(df, name, "append", run_id=run_id)
+        assert store.read(name).count() == 4
+        store.write(df, name, "replace_run", run_id=run_id)
+        assert store.read(name).count() == 2
