@@ -343,6 +343,9 @@ def oracle_queries() -> dict[str, str]:
     q["gold_keys_join"] = CUSTOMER_GOLD
     q["gold_in_row"] = CUSTOMER_GOLD
     q["gold_curated_pages"] = PAGE_GOLD
+    q["gold_map_form"] = " UNION ALL ".join(
+        f"SELECT record_id, '{n}' AS field_name, \"{n}\" AS field_value FROM ({PAGE_GOLD}) WHERE \"{n}\" IS NOT NULL"
+        for n in ("href", "key", "text", "value"))
     q["gold_collision"] = f"""
       SELECT {cust_rid()} AS record_id, 'row' AS record_type, {NULL_INT} AS table_index, {NULL_INT} AS row_index,
              'customer' AS source_url, '{SCRAPED}' AS scraped_at, '{RUN}' AS run_id,

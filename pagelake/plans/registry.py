@@ -346,6 +346,12 @@ def q_gold_collision(spark, sf_dir):
     return G.curated_wide(s, P).drop("gold_loaded_at")
 
 
+def q_gold_map_form(spark, sf_dir):
+    """The map form of gold, one row per record and field; it needs no names, so the pages are parsed once."""
+    bronze = to_bronze(extract_records(_t(spark, sf_dir, "pages"), P), P)
+    return G.curated_map_in_row(bronze, P).select("record_id", F.explode(G.MAP_COLUMN).alias("field_name", "field_value"))
+
+
 def q_run_summary(spark, sf_dir):
     pages = _t(spark, sf_dir, "pages")
     s = _silver_of(extract_records(pages, P))
@@ -474,6 +480,7 @@ QUERIES = {
     "silver_pages": q_silver_pages,
     "gold_curated": q_gold_curated,
     "gold_keys_join": q_gold_keys_join,
+    "gold_map_form": q_gold_map_form,
     "gold_in_row": q_gold_in_row,
     "gold_curated_pages": q_gold_curated_pages,
     "gold_collision": q_gold_collision,
