@@ -1,7 +1,8 @@
 """Column expressions for the cleaning rules.
 
-All of these are built-in Spark expressions: they run JVM-side inside
-whole-stage codegen, never in a Python worker.
+All of these are built-in Spark expressions: they run JVM-side, never in a
+Python worker.  On plain columns they are part of whole-stage codegen; inside
+array lambdas (the in-row layer forms) they are evaluated outside of it.
 """
 
 from __future__ import annotations

@@ -19,10 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import rate_pct
+from ..functions import is_valid_value, rate_pct
 from ..params import RunParams
-from ..schemas import COLLISION_PREFIX, GOLD_KEYS, GOLD_RESERVED, GOLD_STAMP
-from .silver import RECORD_KEYS, first_valid_per_name, parsed_fields
+from ..schemas import COLLISION_PREFIX, GOLD_KEYS, GOLD_RESERVED, GOLD_STAMP, UNKNOWN_FIELD
+from .silver import RECORD_KEYS, first_valid_per_name, parsed_fields, record_field_array
 
 MAP_COLUMN = "fields"
 
@@ -198,6 +198,41 @@ def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None
                      ", ").alias("records_by_type"),
         F.sum("one_name").alias("distinct_field_names"),
     )
+    return _summary_rows(per_source, params)
+
+
+def run_summary_in_row(bronze: DataFrame, params: RunParams, sources: DataFrame | None = None) -> DataFrame:
+    """The summary of ``run_summary`` straight from bronze rows, whose record ids must be unique.
+
+    A row gives one marker for its record and its fields by name; these fold on the map side to one row per
+    (source, type, name), so record ids are never exchanged. One scan, one parse, three exchanges: by
+    (source, type, name), by (source, name) for the distinct names, by source.
+    """
+    gk = ["run_id", "source_url"]
+    # as in silver, a record without fields keeps one unknown, invalid field
+    fields = F.filter("fields", lambda x: x["field_name"].isNotNull())
+    none = F.array(F.struct(F.lit(UNKNOWN_FIELD).alias("name"), F.lit(0).cast("long").alias("records"), F.lit(1).cast("long").alias("fields"), F.lit(0).cast("long").alias("valid")))
+    named = F.transform(fields, lambda x: F.struct(x["field_name"].alias("name"), F.lit(0).cast("long").alias("records"),
+                                                   F.lit(1).cast("long").alias("fields"), is_valid_value(x["field_value_clean"]).cast("long").alias("valid")))
+    marker = F.array(F.struct(F.lit(None).cast("string").alias("name"), F.lit(1).cast("long").alias("records"), F.lit(0).cast("long").alias("fields"), F.lit(0).cast("long").alias("valid")))
+    parts = F.concat(marker, F.when(F.size("fields") > 0, named).otherwise(none))
+    rows = record_field_array(bronze).select(*gk, F.coalesce("record_type", F.lit("None")).alias("record_type"), F.inline(parts))
+    if sources is not None:
+        zero = F.lit(0).cast("long")
+        rows = rows.unionByName(sources.select(
+            F.lit(params.run_id).alias("run_id"), "source_url", F.lit(None).cast("string").alias("record_type"),
+            F.lit(None).cast("string").alias("name"), zero.alias("records"), zero.alias("fields"), zero.alias("valid")))
+    folded = rows.groupBy(*gk, "record_type", "name").agg(*[F.sum(c).alias(c) for c in ("records", "fields", "valid")])
+    by_type = F.when(F.col("records") > 0, F.struct("record_type", "records"))
+    per_source = folded.groupBy(*gk).agg(
+        F.sum("records").alias("total_records"), F.sum("fields").alias("total_fields"), F.sum("valid").alias("valid_fields"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(by_type)),
+                                 lambda x: F.concat(x["record_type"], F.lit("="), x["records"].cast("string"))), ", ").alias("records_by_type"),
+        F.count_distinct("name").alias("distinct_field_names"))
+    return _summary_rows(per_source, params)
+
+
+def _summary_rows(per_source: DataFrame, params: RunParams) -> DataFrame:
     zero = F.lit(0).cast("long")
     return per_source.select(
         "run_id",

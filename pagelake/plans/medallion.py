@@ -15,7 +15,8 @@ Plan shape per layer (no driver collection except the gold field names):
 * gold wide: scan bronze(run) -> valid-field map per row -> one column per
   name -> write.  No shuffle.  (``in_row_gold=False`` uses the grouped
   pivot over silver instead: one exchange.)
-* summary: two partially aggregated counts over silver(run) joined per source.
+* summary: scan bronze(run) -> record markers and fields, folded by (source, type, name),
+  then by source.  No join.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..operators.bronze import BRONZE_COLUMNS, to_bronze
-from ..operators.gold import column_plan, curated_map, curated_map_in_row, curated_wide, curated_wide_in_row, field_names, run_summary
+from ..operators.gold import column_plan, curated_map, curated_map_in_row, curated_wide, curated_wide_in_row, field_names, run_summary, run_summary_in_row
 from ..operators.silver import SILVER_COLUMNS, to_silver
 from ..params import RunParams, mode_for
 from ..schemas import (
@@ -100,13 +101,16 @@ def gold_schema(names: list[str]) -> StructType:
 
 def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, store: TableStore,
                   in_row_gold: bool = True, records: DataFrame | None = None,
-                  gold_form: str = "wide") -> MedallionResult:
+                  gold_form: str = "wide", parse_tasks: int | None = None) -> MedallionResult:
     """Run all layers for ``pages`` (``page_id, url, html``).
 
     ``gold_form``: ``wide`` (one column per field name; raises above
     ``spark.sql.pivotMaxValues`` names) or ``map`` (one map column, no limit).
     Appending runs replace their own rows, so a retry leaves one copy.
 
+    ``in_row_gold`` derives gold and the summary from bronze rows, whose record ids must be unique;
+    ``False`` derives both from silver.  ``parse_tasks``: see ``extract_raw``.
+
     ``records`` may be given instead of pages (e.g. from
     ``payload_records``) to run the same layers over any payload table.
     """
@@ -118,7 +122,7 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     runlog = RunLog(store, params)
 
     def bronze_layer():
-        recs = records if records is not None else extract_records(pages, params)
+        recs = records if records is not None else extract_records(pages, params, tasks=parse_tasks)
         return store.write(to_bronze(recs, params), t.bronze, run_mode("bronze", params.load_mode),
                            run_id=params.run_id)
 
@@ -146,7 +150,7 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
             wide = curated_wide(silver, params, names)
         n_gold = store.write(wide, t.gold, run_mode("gold", params.load_mode), run_id=params.run_id)
         sources = pages.select(F.col("url").alias("source_url")) if records is None else None
-        summ = run_summary(silver, params, sources=sources)
+        summ = run_summary_in_row(bronze, params, sources) if in_row_gold else run_summary(silver, params, sources)
         store.write(summ, t.gold_summary, run_mode("gold_summary", params.load_mode), run_id=params.run_id)
         return names, n_gold
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import record_id
 from ..params import RunParams
-from ..schemas import EXTRACT_SCHEMA, PAGES_SCHEMA, PAYLOAD_MAP, column_names
+from ..schemas import EXTRACT_SCHEMA, PAGES_SCHEMA, PAYLOAD_MAP, RECORD_TYPES, column_names
 from ..session import ship_package
 
 log = logging.getLogger("pagelake.extract")
@@ -43,7 +43,7 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     raise ValueError(f"unknown pages format {fmt!r}")
 
 
-def _extract_batches(batches):
+def _extract_batches(batches, kinds=RECORD_TYPES):
     """Arrow batches of pages in, Arrow batches of records out (at most
     ``_OUT_BATCH`` records each, so output batches stay bounded however many
     records the pages hold)."""
@@ -66,7 +66,7 @@ def _extract_batches(batches):
         for key, url, html in zip(d["page_key"], d["source_url"], d["html"]):
             if html is None:
                 continue
-            for seq, (rtype, t_idx, r_idx, keys, values) in enumerate(extract(html)):
+            for seq, (rtype, t_idx, r_idx, keys, values) in enumerate(extract(html, kinds)):
                 for c, v in zip(cols, (key, url, rtype, t_idx, r_idx, seq, keys, values)):
                     c.append(v)
                 if len(cols[0]) >= _OUT_BATCH:
@@ -85,42 +85,43 @@ def _arrow_schema():
     ])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Parsing is CPU-bound Python (roughly ten times the cost per byte of
-    moving the bytes through a shuffle), so it should use every core.  An
-    input that arrives in at least half as many scan splits as the cluster
-    has cores is left alone (no shuffle: the common case for a large
-    table); only when cores outnumber splits at least two to one (a few
-    small files) is it spread round-robin first.  Counting splits only
-    plans the scan, it does not run it."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(want) if have * 2 <= want else df
-
-
 def extract_raw(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                html_col: str = "html") -> DataFrame:
-    """One row per extracted element, schema ``EXTRACT_SCHEMA``."""
+                html_col: str = "html", kinds=RECORD_TYPES, tasks: int | None = None) -> DataFrame:
+    """One row per extracted element, schema ``EXTRACT_SCHEMA``.
+
+    ``kinds``: the record types to build; the others are neither built nor sent back.
+    ``tasks``: parse in that many tasks after a round-robin shuffle of the pages, for a few small files that
+    arrive in fewer splits than there are cores. By default every scan split is one parse task and nothing is
+    shuffled; on a large table a lower ``spark.sql.files.maxPartitionBytes`` gives more tasks.
+    """
     src = pages.select(
         F.col(id_col).cast("string").alias("page_key"),
         F.col(url_col).alias("source_url"),
         F.col(html_col).alias("html"),
     )
     ship_package(pages.sparkSession)
-    return spread(src).mapInArrow(_extract_batches, EXTRACT_SCHEMA)
+    src = src.repartition(tasks) if tasks else src
+    kinds = tuple(kinds)
+    return src.mapInArrow(lambda batches: _extract_batches(batches, kinds), EXTRACT_SCHEMA)
 
 
 def extract_records(pages: DataFrame, params: RunParams, id_col: str = "page_id",
-                    url_col: str = "url", html_col: str = "html") -> DataFrame:
+                    url_col: str = "url", html_col: str = "html", tasks: int | None = None) -> DataFrame:
     """Pages -> records ``(record_id, record_type, table_index, row_index,
-    content map, source_url, scraped_at, batch_id)``."""
-    raw = extract_raw(pages, id_col, url_col, html_col)
+    content map, source_url, scraped_at, batch_id)``.
+
+    Record ids hash ``(page_id, url)`` and the place in the page: ids are unique if those pairs are
+    (``repeated_pages`` lists the others).
+    """
+    raw = extract_raw(pages, id_col, url_col, html_col, tasks=tasks)
     return stamp_records(raw, params)
 
 
+def repeated_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """The (page id, url) pairs that occur more than once, with their counts."""
+    return pages.groupBy(id_col, url_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def stamp_records(raw: DataFrame, params: RunParams) -> DataFrame:
     batch = F.lit(params.batch_id)
     return raw.select(
@@ -200,5 +201,6 @@ __all__ = [
     "extract_records",
     "payload_records",
     "read_pages",
+    "repeated_pages",
     "stamp_records",
 ]

@@ -3,7 +3,8 @@
 Layer tables are parquet folders under one root (a shared location on a
 cluster), partitioned by ``run_id``.  Modes:
 
-* ``append``: the run's partition folder is (re)written.  Other runs are
+* ``append``: rows are added.
+* ``replace_run``: the run's partition folder is (re)written.  Other runs are
   untouched, and a retried run replaces its own earlier attempt instead of
   duplicating it, so a job that dies halfway can simply be run again.
 * ``overwrite``: the whole table is replaced.
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 log = logging.getLogger("pagelake.tables")
 
@@ -120,22 +121,16 @@ class TableStore:
         a known ``schema`` (the layer contracts) skips schema inference,
         which would otherwise cost a job reading file footers.  Partition
         values stay strings (no type inference on run ids)."""
-        key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-        before = self.spark.conf.get(key)
-        if schema is None:  # a given schema already types the partition column
-            self.spark.conf.set(key, "false")
-        try:
+        def load(schema):
             reader = self.spark.read.option("mergeSchema", str(merge_schema).lower())
-            if schema is not None:
-                reader = reader.schema(schema)
+            reader = reader if schema is None else reader.schema(schema)
             if run_id is not None:
-                df = (reader.option("basePath", self.path(name))
-                      .parquet(self.partition_path(name, run_id)))
-            else:
-                df = reader.parquet(self.path(name))
-        finally:
-            if schema is None:
-                self.spark.conf.set(key, before)
+                return reader.option("basePath", self.path(name)).parquet(self.partition_path(name, run_id))
+            return reader.parquet(self.path(name))
+
+        if schema is None:  # read the files' schema, then type the partition column
+            schema = StructType([StructField(f.name, StringType()) if f.name == PARTITION_COLUMN else f for f in load(None).schema])
+        df = load(schema)
         if where:
             df = df.where(where)
         if columns:

@@ -23,31 +23,29 @@ def test_golden_fixture(sample):
     bronze, silver = sample
     assert bronze.columns == BRONZE_COLUMNS
     assert silver.columns == SILVER_COLUMNS
-    assert bronze.count() == 8
+    assert bronze.count() == 11
     assert sorted(r[0] for r in bronze.groupBy("record_type").count().collect()) == [
         "link", "metadata", "paragraph", "table_row"]
     q = quality_counts(silver).first()
-    assert (q.total_fields, q.valid_fields, q.invalid_fields) == (18, 17, 1)
+    assert (q.total_fields, q.valid_fields, q.invalid_fields) == (24, 22, 2)
     assert silver.filter(F.col("field_value_numeric").isNotNull()).count() == 5
     names = G.field_names(silver)
-    assert names == ["href", "key", "price", "product", "stock", "text", "value"]
+    assert names == ["cup", "drink", "href", "key", "pot", "text", "value"]
     gold = G.curated_wide(silver, P, names)
-    assert gold.count() == 8 and len(gold.columns) == 15
-    b = gold.filter(F.col("product") == "Widget B").first()
-    assert b.stock is None and b.price == "29.99"
-    c = gold.filter((F.col("record_type") == "table_row") & (F.col("row_index") == 3)).first()
-    assert c.product == "Widget C"
-    s = G.run_summary(silver, P).first()
-    assert (s.total_records, s.total_fields, s.valid_fields, s.distinct_field_names) == (8, 18, 17, 7)
-    assert s.validity_rate_pct == 94.44
-    assert s.records_by_type == "link=2, metadata=2, paragraph=1, table_row=3"
+    assert gold.count() == 11 and len(gold.columns) == 15
+    grey = gold.filter((F.col("record_type") == "table_row") & (F.col("row_index") == 2)).first()
+    assert (grey.drink, grey.cup, grey.pot) == ("Earl Grey", "2.90", None)
+    for s in (G.run_summary(silver, P).first(), G.run_summary_in_row(bronze, P).first()):
+        assert (s.total_records, s.total_fields, s.valid_fields, s.distinct_field_names) == (11, 24, 22, 7)
+        assert s.validity_rate_pct == 91.67
+        assert s.records_by_type == "link=3, metadata=2, paragraph=2, table_row=4"
 
 
 def test_record_ids_are_deterministic_and_unique(spark, sample_pages):
     a = extract_records(sample_pages, P).select("record_id").collect()
     b = extract_records(sample_pages, P).select("record_id").collect()
     assert sorted(a) == sorted(b)
-    assert len(set(a)) == len(a) == 8
+    assert len(set(a)) == len(a) == 11
     other = extract_records(sample_pages, RunParams.fixed("0002")).select("record_id").collect()
     assert not set(a) & set(other)
 
@@ -152,7 +150,7 @@ def test_summary_includes_sources_without_records(spark, sample_pages):
     rows = {r.source_url: r for r in G.run_summary(s, P, sources=pages.select(F.col("url").alias("source_url"))).collect()}
     e = rows["https://empty.example/"]
     assert (e.total_records, e.total_fields, e.validity_rate_pct, e.records_by_type) == (0, 0, 0.0, "")
-    assert rows["https://example-test.local/catalog"].total_records == 8
+    assert rows["https://tearoom.example/menu"].total_records == 11
 
 
 def test_silver_plan_has_no_exchange(spark, sample):
@@ -171,16 +169,22 @@ def test_bronze_missing_payload_is_json_null(spark):
     assert to_bronze(df, P).first().content == "null"
 
 
-def test_parse_input_spread_only_when_few_splits(spark):
-    from pagelake.sources.extract import spread
+def test_parse_tasks_are_an_explicit_choice(spark, sample_pages):
+    from pagelake.sources.extract import extract_raw
 
-    cores = spark.sparkContext.defaultParallelism
-    few = spark.range(10).coalesce(1)
-    many = spark.range(1000).repartition(max(cores, 2))
-    if cores >= 2:
-        assert spread(few).rdd.getNumPartitions() == cores
-    assert spread(many).rdd.getNumPartitions() == many.rdd.getNumPartitions()
-    assert spread(many) is many  # no extra exchange planned
+    few = sample_pages.coalesce(1)
+    assert "Exchange" not in extract_raw(few)._jdf.queryExecution().executedPlan().toString()
+    assert extract_raw(few, tasks=3).rdd.getNumPartitions() == 3
+
+
+def test_in_row_summary_equals_the_relational_one(spark):
+    s = [(1, '{"a": "N/A"}'), (2, '{"a": "1", "A ": "1", "b": "x"}'), (3, "{}"), (4, "null"), (5, None)]
+    df = spark.createDataFrame(s, "k long, p string")
+    b = to_bronze(payload_records(df, P, "k", "p", "t"), P)
+    b = b.withColumn("source_url", F.when(F.col("content").contains("N/A"), F.lit(None)).otherwise(F.col("source_url")))
+    sources = spark.createDataFrame([("t",), ("none",), (None,)], "source_url string")
+    one = sorted(G.run_summary(to_silver(b, P), P, sources=sources).collect(), key=str)
+    assert one == sorted(G.run_summary_in_row(b, P, sources=sources).collect(), key=str) and len(one) == 3
 
 
 def test_bronze_rejects_null_record_id(spark):

@@ -65,24 +65,24 @@ def test_schema_drift_append_null_fills(spark, store):
 
 def test_end_to_end_and_run_log(spark, store, sample_pages):
     res = run_medallion(spark, sample_pages, P1, store)
-    assert res.counts == {"bronze": 8, "silver": 18, "gold": 8}
-    assert res.gold.count() == 8 and res.summary.count() == 1
-    assert res.summary.first().validity_rate_pct == 94.44
+    assert res.counts == {"bronze": 11, "silver": 24, "gold": 11}
+    assert res.gold.count() == 11 and res.summary.count() == 1
+    assert res.summary.first().validity_rate_pct == 91.67
     log = {(r.layer, r.status): r.row_count for r in read_log(store, P1).collect()}
-    assert log == {("bronze", "success"): 8, ("silver", "success"): 18, ("gold", "success"): 8}
+    assert log == {("bronze", "success"): 11, ("silver", "success"): 24, ("gold", "success"): 11}
     stats = V.layer_stats(res.bronze, res.silver, res.gold, res.summary).first()
     assert (stats.bronze_count, stats.silver_count, stats.silver_validity_pct, stats.gold_count,
-            stats.gold_rows) == (8, 18, 94.44, 8, 8)
+            stats.gold_rows) == (11, 24, 91.67, 11, 11)
     # a second run appends; the summary and the log keep both
     run_medallion(spark, sample_pages, P2, store)
-    assert store.read(P1.tables.gold, merge_schema=True).count() == 16
+    assert store.read(P1.tables.gold, merge_schema=True).count() == 22
     assert store.read(P1.tables.gold_summary).count() == 2
     assert read_log(store, P1).count() == 6
     latest = V.latest_gold_per_url(store.read(P1.tables.gold, merge_schema=True))
     assert {r.run_id for r in latest.collect()} == {P2.run_id}
     # overwrite replaces the data layers but still appends the summary
     run_medallion(spark, sample_pages, P1.with_(load_mode="overwrite"), store)
-    assert store.read(P1.tables.gold, merge_schema=True).count() == 8
+    assert store.read(P1.tables.gold, merge_schema=True).count() == 11
     assert store.read(P1.tables.gold_summary).count() == 2
 
 
@@ -133,7 +133,7 @@ def test_html_folder_source(spark, tmp_path):
     (d / "b.html").write_text("<p>x</p>")
     pages = read_pages(spark, str(d), fmt="html")
     assert pages.count() == 2
-    assert extract_records(pages, P1).count() == 9
+    assert extract_records(pages, P1).count() == 12
 
 
 def test_run_partition_write_and_string_run_ids(spark, store):

@@ -16,7 +16,7 @@ def test_record_type_counts_sorted_without_nulls(spark, sample_pages):
     b = to_bronze(extract_records(sample_pages, P), P)
     b = b.unionByName(b.limit(1).withColumn("record_type", F.lit(None).cast("string")))
     rows = [tuple(r) for r in V.record_type_counts(b).collect()]
-    assert rows == [("link", 2), ("metadata", 2), ("paragraph", 1), ("table_row", 3)]
+    assert rows == [("link", 3), ("metadata", 2), ("paragraph", 2), ("table_row", 4)]
 
 
 def test_preview_is_top_n_by_key_without_stamp(spark):
