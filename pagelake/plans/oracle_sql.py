@@ -13,6 +13,8 @@ from ..params import RunParams
 
 P = RunParams.fixed()
 RUN, BATCH, SCRAPED = P.run_id, P.batch_id, P.scraped_at
+MICROS = P.run_ts_micros
+MICROS2 = P.with_(run_ts=P.run_ts.replace(day=2)).run_ts_micros
 
 # Characters Python's str.strip() removes (RE2 class).
 _WS = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\p{Z}]"
@@ -225,7 +227,8 @@ SELECT '{RUN}' AS run_id, source_url,
        CAST(count(DISTINCT field_name) AS BIGINT) AS distinct_field_names,
        round_even(CAST(count(*) FILTER (WHERE is_valid) AS DOUBLE) / count(*) * 100.0, 2) AS validity_rate_pct,
        (SELECT string_agg(record_type || '=' || CAST(n AS VARCHAR), ', ' ORDER BY record_type)
-          FROM per_type p WHERE p.source_url = s2.source_url) AS records_by_type
+          FROM per_type p WHERE p.source_url IS NOT DISTINCT FROM s2.source_url) AS records_by_type,
+       CAST({MICROS} AS BIGINT) AS summary_generated_at
 FROM s2 GROUP BY source_url
 """
 
@@ -339,7 +342,7 @@ def oracle_queries() -> dict[str, str]:
       SELECT record_id, field_name, field_value_raw, field_value_clean FROM ({_silver_from_long(dedup_long)})"""
     q["silver_relational"] = q["silver_dedup"]
     q["silver_pages"] = page_silver_full
-    q["gold_curated"] = CUSTOMER_GOLD
+    q["gold_curated"] = f"SELECT *, CAST({MICROS} AS BIGINT) AS gold_loaded_at FROM ({CUSTOMER_GOLD})"
     q["gold_keys_join"] = CUSTOMER_GOLD
     q["gold_in_row"] = CUSTOMER_GOLD
     q["gold_curated_pages"] = PAGE_GOLD
@@ -364,7 +367,27 @@ def oracle_queries() -> dict[str, str]:
       SELECT DISTINCT {rid(f"'{BATCH}'", "page_id", "source_url", "'metadata'", "NULL", "0")}, 'metadata', {NULL_INT},
              0, source_url, '{SCRAPED}', '{RUN}', 'title', NULL, NULL, NULL, NULL, p_brand
       FROM (SELECT p_brand, page_id, source_url FROM ({PART_ROWS.replace("p_name AS part_name", "p_name AS part_name, p_brand")}))"""
+    q["gold_duplicate_names"] = " UNION ALL ".join(
+        f"""SELECT '{form}' AS form, record_id, min(CASE WHEN field_name = 'name' AND is_valid THEN field_value_clean END) AS name,
+                   min(CASE WHEN field_name = 'size' AND is_valid THEN field_value_clean END) AS size
+            FROM ({_silver_from_long(dedup_long)}) GROUP BY record_id""" for form in ("in_row", "pivot", "map"))
     q["run_summary"] = PAGE_SUMMARY
+    q["run_summary_relational"] = PAGE_SUMMARY
+    q["run_summary_null_source"] = PAGE_SUMMARY.replace(
+        "FROM pages", "FROM (SELECT page_id, CASE WHEN page_id % 5 <> 0 THEN url END AS url, html FROM pages)")
+    gold_long = _long_payload("customer", "c_custkey", "customer", "row", [
+        ("'Name'", "c_name"), ("'nationkey'", "CAST(c_nationkey AS VARCHAR)"), ("'acct bal'", dec2("c_acctbal")),
+        ("'segment'", "c_mktsegment"), ("'note'", TOKEN), ("'balance'", dec2("c_acctbal") + " || ' USD'")])
+    q["silver_full_contract"] = f"""
+      SELECT '{RUN}' AS run_id, '{RUN}' AS silver_batch_id, record_id, 'row' AS record_type, {NULL_INT} AS table_index,
+             {NULL_INT} AS row_index, field_name, field_value_raw, field_value_clean, field_value_numeric, is_valid,
+             'customer' AS source_url, '{SCRAPED}' AS scraped_at, CAST({MICROS} AS BIGINT) AS cleaned_at
+      FROM ({_silver_from_long(gold_long)})"""
+    q["encode_complex"] = """
+      SELECT p_partkey, p_brand, '{"size":' || p_size || ',"brand":"' || p_brand || '"}' AS as_struct,
+             '["' || p_brand || '","' || p_type || '"]' AS as_array,
+             CASE WHEN p_partkey % 3 <> 0 THEN '{"type":"' || p_type || '"}' END AS as_map
+      FROM part"""
     q["records_by_type"] = f"""
       SELECT '{RUN}' AS run_id, source_url, record_type, CAST(count(DISTINCT record_id) AS BIGINT) AS record_count
       FROM ({PAGE_SILVER}) GROUP BY ALL"""
@@ -384,10 +407,22 @@ def oracle_queries() -> dict[str, str]:
     n_sil = f"(SELECT count(*) FROM ({PAGE_SILVER}))"
     n_gold = f"(SELECT count(*) FROM ({PAGE_GOLD}))"
     q["run_log"] = " UNION ALL ".join(
-        f"SELECT '{RUN}' AS run_id, '{P.run_timestamp}' AS run_timestamp, '{layer}' AS layer, "
+        f"SELECT '{RUN}' AS run_id, '{P.run_timestamp}' AS run_timestamp, 'pages' AS source_url, '{layer}' AS layer, "
         f"'success' AS status, CAST({n} AS BIGINT) AS row_count, '' AS message"
         for layer, n in (("bronze", n_rec), ("silver", n_sil), ("gold", n_gold)))
+    # some customer has the key 1, so the run must fail
+    q["run_log_failed"] = f"""
+      SELECT '{RUN}' AS run_id, '{P.run_timestamp}' AS run_timestamp, 'customer' AS source_url, 'bronze' AS layer,
+             'failed' AS status, CAST(0 AS BIGINT) AS row_count, true AS names_the_key
+      FROM customer WHERE c_custkey = 1"""
+    q["sink_append_twice"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{RUN}' AS run_id, record_id, CAST({n} * count(*) AS BIGINT) AS copies FROM ({_silver_from_long(events_long)}) GROUP BY record_id"
+        for name, n in (("added", 2), ("replaced", 1)))
     n_pages = "(SELECT count(*) FROM pages)"
+    q["catalog_tables"] = " UNION ALL ".join(
+        f"SELECT '{tbl}' AS table_name, {cols} AS n_columns, CAST({n} AS BIGINT) AS row_count"
+        for tbl, cols, n in (("bronze_scraped_data", 12, n_rec), ("silver_cleaned_data", 14, n_sil), ("gold_curated_data", 12, n_gold),
+                             ("gold_data_summary", 9, n_pages), ("pipeline_run_log", 7, 3)))
     q["sink_mode_rules"] = " UNION ALL ".join(
         f"SELECT '{tbl}' AS table_name, '{run}' AS run_id, CAST({n} AS BIGINT) AS row_count"
         for tbl, run, n in (
@@ -413,4 +448,15 @@ def oracle_queries() -> dict[str, str]:
       FROM ({CUSTOMER_GOLD}) WHERE value IS NOT NULL"""
     latest = _page_gold(("batch-0002", "run-0002"))
     q["view_url_latest"] = f"SELECT run_id, record_id, source_url, text, href, \"value\" FROM ({latest})"
+    q["view_gold_for_url"] = " UNION ALL ".join(
+        f"""SELECT {rank} AS load_rank, run_id, record_id, source_url, text, href, "value", CAST({at} AS BIGINT) AS gold_loaded_at
+            FROM ({_page_gold((batch, run))}) WHERE source_url = (SELECT arg_min(url, page_id) FROM pages)"""
+        for rank, batch, run, at in ((1, "batch-0002", "run-0002", MICROS2), (2, BATCH, RUN, MICROS)))
+    q["view_summary_latest"] = " UNION ALL ".join(
+        f"""SELECT {rank} AS load_rank, '{run}' AS run_id, source_url, total_records, records_by_type, CAST({at} AS BIGINT) AS summary_generated_at
+            FROM ({PAGE_SUMMARY})""" for rank, run, at in ((1, "run-0002", MICROS2), (2, RUN, MICROS)))
+    q["view_run_log_latest"] = " UNION ALL ".join(
+        f"SELECT {rank} AS load_rank, '{run}' AS run_id, '{at}' AS run_timestamp, '{layer}' AS layer, 'success' AS status, CAST({n} AS BIGINT) AS row_count"
+        for rank, run, at in ((1, "run-0002", P.with_(run_ts=P.run_ts.replace(day=2)).run_timestamp), (2, RUN, P.run_timestamp))
+        for layer, n in (("bronze", n_rec), ("silver", n_sil), ("gold", n_gold)))
     return q

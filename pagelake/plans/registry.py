@@ -7,17 +7,20 @@ parameters are fixed so ids are reproducible and comparable.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import gold as G
 from ..operators import views as V
-from ..operators.bronze import to_bronze
+from ..operators.bronze import BRONZE_COLUMNS, to_bronze
 from ..operators.silver import quality_counts, to_silver, to_silver_relational
 from ..params import RunParams
+from ..schemas import BRONZE_SCHEMA
 from ..session import scratch_dir
 from ..sources.extract import extract_raw, extract_records, payload_records
-from ..sources.tables import TableStore
+from ..sources.tables import TableStore, encode_complex, register_tables
 from .medallion import run_medallion
 from .runlog import read_log
 
@@ -33,6 +36,18 @@ def _silver_of(records: DataFrame, params: RunParams = P) -> DataFrame:
     return to_silver(to_bronze(records, params), params)
 
 
+def _landed(spark: SparkSession, name: str, records: DataFrame, params: RunParams = P) -> DataFrame:
+    """Bronze of ``records``, written and read back: what follows may scan it twice, the records are built once."""
+    store, table = _store(spark, name), params.tables.bronze
+    store.write(to_bronze(records, params), table, "replace_run", run_id=params.run_id)
+    return store.read(table, run_id=params.run_id, columns=BRONZE_COLUMNS, schema=BRONZE_SCHEMA)
+
+
+def _micros(stamp: str) -> F.Column:
+    """A load stamp as microseconds since the epoch, which no time zone changes."""
+    return F.unix_micros(stamp).alias(stamp)
+
+
 # ---------------------------------------------------------------- payloads
 def customer_payload(spark, sf_dir, params: RunParams = P) -> DataFrame:
     """Customer rows as a string map payload (numbers as fixed-scale text)."""
@@ -57,24 +72,24 @@ def _token_col() -> F.Column:
 
 # ---------------------------------------------------------------- extraction
 def q_extract_paragraphs(spark, sf_dir):
-    raw = extract_raw(_t(spark, sf_dir, "pages"))
-    return raw.filter(F.col("record_type") == "paragraph").select(
+    raw = extract_raw(_t(spark, sf_dir, "pages"), kinds=("paragraph",))
+    return raw.select(
         F.col("page_key").cast("long").alias("page_id"), "source_url", "row_index",
         F.col("content_values")[0].alias("text"))
 
 
 def q_extract_links(spark, sf_dir):
-    raw = extract_raw(_t(spark, sf_dir, "pages"))
-    return raw.filter(F.col("record_type") == "link").select(
+    raw = extract_raw(_t(spark, sf_dir, "pages"), kinds=("link",))
+    return raw.select(
         F.col("page_key").cast("long").alias("page_id"), "source_url", "row_index",
         F.element_at(F.map_from_arrays("content_keys", "content_values"), "text").alias("text"),
         F.element_at(F.map_from_arrays("content_keys", "content_values"), "href").alias("href"))
 
 
 def q_extract_metadata(spark, sf_dir):
-    raw = extract_raw(_t(spark, sf_dir, "pages"))
+    raw = extract_raw(_t(spark, sf_dir, "pages"), kinds=("metadata",))
     m = F.map_from_arrays("content_keys", "content_values")
-    return raw.filter(F.col("record_type") == "metadata").select(
+    return raw.select(
         F.col("page_key").cast("long").alias("page_id"), "source_url", "row_index",
         F.element_at(m, "key").alias("meta_key"), F.element_at(m, "value").alias("meta_value"))
 
@@ -109,9 +124,9 @@ def part_pages(spark, sf_dir) -> DataFrame:
 
 
 def q_extract_table_rows(spark, sf_dir):
-    raw = extract_raw(part_pages(spark, sf_dir))
+    raw = extract_raw(part_pages(spark, sf_dir), kinds=("table_row",))
     m = F.map_from_arrays("content_keys", "content_values")
-    return raw.filter(F.col("record_type") == "table_row").select(
+    return raw.select(
         "source_url", "table_index", "row_index",
         *[F.element_at(m, k).alias(f"part_{k.lower()}") for k in ("Key", "Name", "Type", "Size", "Price")])
 
@@ -313,23 +328,25 @@ def _gold_select(g: DataFrame) -> DataFrame:
 
 
 def q_gold_curated(spark, sf_dir):
-    s = _silver_of(gold_payload(spark, sf_dir))
-    return _gold_select(G.curated_wide(s, P))
+    s = to_silver(_landed(spark, "gold_curated", gold_payload(spark, sf_dir)), P)
+    g = G.curated_wide(s, P)
+    return g.withColumn("gold_loaded_at", _micros("gold_loaded_at"))
 
 
 def q_gold_keys_join(spark, sf_dir):
-    s = _silver_of(gold_payload(spark, sf_dir))
+    s = to_silver(_landed(spark, "gold_keys_join", gold_payload(spark, sf_dir)), P)
     return _gold_select(G.curated_wide_keys_join(s, P))
 
 
 def q_gold_in_row(spark, sf_dir):
-    b = to_bronze(gold_payload(spark, sf_dir), P)
+    b = _landed(spark, "gold_in_row", gold_payload(spark, sf_dir))
     names = G.field_names(to_silver(b, P))
     return _gold_select(G.curated_wide_in_row(b, P, names))
 
 
 def q_gold_curated_pages(spark, sf_dir):
-    b = to_bronze(extract_records(_t(spark, sf_dir, "pages"), P), P)
+    """Bronze is written once and read for the names and for the rows: every page is parsed once."""
+    b = _landed(spark, "gold_pages", extract_records(_t(spark, sf_dir, "pages"), P))
     names = G.field_names(to_silver(b, P))
     return _gold_select(G.curated_wide_in_row(b, P, names))
 
@@ -342,20 +359,63 @@ def q_gold_collision(spark, sf_dir):
         F.lit("gold_loaded_at"), F.col("c_nationkey").cast("string"),
         F.lit("field_run_id"), F.col("c_acctbal").cast("decimal(12,2)").cast("string"),
     )
-    s = _silver_of(payload_records(c, P, "c_custkey", payload, "customer", "row"))
+    s = to_silver(_landed(spark, "gold_collision", payload_records(c, P, "c_custkey", payload, "customer", "row")), P)
     return G.curated_wide(s, P).drop("gold_loaded_at")
 
 
+def q_gold_duplicate_names(spark, sf_dir):
+    """Names that normalise alike: the smallest cleaned value, in both wide forms and the map form."""
+    b = _landed(spark, "gold_dup", dedup_payload(spark, sf_dir))
+    s = to_silver(b, P)
+    names = G.field_names(s)
+    wide = [(form, g.select("record_id", "name", "size")) for form, g in (
+        ("in_row", G.curated_wide_in_row(b, P, names)), ("pivot", G.curated_wide(s, P, names)))]
+    wide.append(("map", G.curated_map_in_row(b, P).select("record_id", F.col(G.MAP_COLUMN)["name"].alias("name"), F.col(G.MAP_COLUMN)["size"].alias("size"))))
+    parts = [g.select(F.lit(form).alias("form"), "*") for form, g in wide]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def q_gold_map_form(spark, sf_dir):
     """The map form of gold, one row per record and field; it needs no names, so the pages are parsed once."""
     bronze = to_bronze(extract_records(_t(spark, sf_dir, "pages"), P), P)
     return G.curated_map_in_row(bronze, P).select("record_id", F.explode(G.MAP_COLUMN).alias("field_name", "field_value"))
 
 
+def _summary(spark, pages: DataFrame, relational: bool = False) -> DataFrame:
+    sources = pages.select(F.col("url").alias("source_url"))
+    b = to_bronze(extract_records(pages, P), P)
+    s = G.run_summary(to_silver(b, P), P, sources) if relational else G.run_summary_in_row(b, P, sources)
+    return s.withColumn("summary_generated_at", _micros("summary_generated_at"))
+
+
 def q_run_summary(spark, sf_dir):
-    pages = _t(spark, sf_dir, "pages")
-    s = _silver_of(extract_records(pages, P))
-    return G.run_summary(s, P, sources=pages.select(F.col("url").alias("source_url"))).drop("summary_generated_at")
+    return _summary(spark, _t(spark, sf_dir, "pages"))
+
+
+def q_run_summary_relational(spark, sf_dir):
+    """The form for record ids that may repeat."""
+    return _summary(spark, _t(spark, sf_dir, "pages"), relational=True)
+
+
+def q_run_summary_null_source(spark, sf_dir):
+    """Every fifth page has no url: a null source is a source."""
+    pages = _t(spark, sf_dir, "pages").withColumn("url", F.when(F.col("page_id") % 5 != 0, F.col("url")))
+    return _summary(spark, pages)
+
+
+def q_silver_full_contract(spark, sf_dir):
+    """All 14 columns in their order, the stamp as microseconds."""
+    s = _silver_of(gold_payload(spark, sf_dir))
+    return s.select(*[_micros(c) if c == "cleaned_at" else c for c in s.columns])
+
+
+def q_encode_complex(spark, sf_dir):
+    """Struct, array and map columns as JSON text, as for a sink without nested types."""
+    p = _t(spark, sf_dir, "part")
+    return encode_complex(p.select(
+        "p_partkey", "p_brand", F.struct(F.col("p_size").alias("size"), F.col("p_brand").alias("brand")).alias("as_struct"),
+        F.array("p_brand", "p_type").alias("as_array"),
+        F.when(F.col("p_partkey") % 3 != 0, F.create_map(F.lit("type"), F.col("p_type"))).alias("as_map")))
 
 
 def q_records_by_type(spark, sf_dir):
@@ -363,7 +423,7 @@ def q_records_by_type(spark, sf_dir):
 
 
 def q_table_rows_gold(spark, sf_dir):
-    b = to_bronze(extract_records(part_pages(spark, sf_dir), P), P)
+    b = _landed(spark, "gold_table_rows", extract_records(part_pages(spark, sf_dir), P))
     s = to_silver(b, P)
     return _gold_select(G.curated_wide(s, P))
 
@@ -394,7 +454,7 @@ def q_sink_schema_drift(spark, sf_dir):
     p2 = F.create_map(F.lit("name"), F.col("c_name"),
                       F.lit("acctbal"), F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
     for prm, pay in ((P, p1), (P2, p2)):
-        s = _silver_of(payload_records(c, prm, "c_custkey", pay, "customer", "row"), prm)
+        s = to_silver(_landed(spark, "sink_drift_bronze", payload_records(c, prm, "c_custkey", pay, "customer", "row"), prm), prm)
         store.write(G.curated_wide(s, prm), "gold", "append", run_id=prm.run_id)
     return store.read("gold", merge_schema=True).select("run_id", "record_id", "name", "segment", "acctbal")
 
@@ -405,8 +465,46 @@ def _medallion(spark, sf_dir, name="medallion", params=P):
 
 
 def q_run_log(spark, sf_dir):
-    res = _medallion(spark, sf_dir, "runlog")
-    return read_log(res.store, P).select("run_id", "run_timestamp", "layer", "status", "row_count", "message")
+    res = _medallion(spark, sf_dir, "runlog", P.with_(source_label="pages"))
+    return read_log(res.store, P).select("run_id", "run_timestamp", "source_url", "layer", "status", "row_count", "message")
+
+
+def q_run_log_failed(spark, sf_dir):
+    """A run whose records carry one null key: bronze fails, the log says so, nothing follows."""
+    store = _store(spark, "runlog_failed")
+    c = _t(spark, sf_dir, "customer").withColumn("c_custkey", F.when(F.col("c_custkey") != 1, F.col("c_custkey")))
+    records = payload_records(c, P, "c_custkey", F.create_map(F.lit("name"), F.col("c_name")), "customer")
+    try:
+        run_medallion(spark, None, P.with_(source_label="customer"), store, records=records)
+    except Exception as exc:  # the failure is this query's subject
+        if "null key" not in str(exc):
+            raise
+    return read_log(store, P).select("run_id", "run_timestamp", "source_url", "layer", "status", "row_count",
+                                     F.contains("message", F.lit("null key in c_custkey")).alias("names_the_key"))
+
+
+def q_sink_append_twice(spark, sf_dir):
+    """Two appends under one run id add up; replace_run leaves one copy."""
+    e = _t(spark, sf_dir, "events")
+    store = _store(spark, "append_twice")
+    silver = _silver_of(payload_records(e, P, "event_id", "props", "events", "event"))
+    for name, mode in (("added", "append"), ("replaced", "replace_run")):
+        store.write(silver, name, mode, run_id=P.run_id)
+        store.write(silver, name, mode, run_id=P.run_id)
+    parts = [store.read(n).groupBy("run_id", "record_id").agg(F.count(F.lit(1)).alias("copies")).select(F.lit(n).alias("table_name"), "*")
+             for n in ("added", "replaced")]
+    return parts[0].unionByName(parts[1])
+
+
+def q_catalog_tables(spark, sf_dir):
+    """The layer tables of a run, registered in the catalog and counted by SQL."""
+    res = _medallion(spark, sf_dir, "catalog")
+    names = [P.tables.bronze, P.tables.silver, P.tables.gold, P.tables.gold_summary, P.tables.run_log]
+    database = f"pagelake_{uuid.uuid4().hex[:12]}"
+    register_tables(spark, res.store, database, dict(zip(names, names)))
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, {len(spark.table(f'{database}.{n}').columns)} AS n_columns, count(*) AS row_count FROM `{database}`.`{n}`"
+        for n in names))
 
 
 def q_sink_mode_rules(spark, sf_dir):
@@ -445,20 +543,48 @@ def q_view_gold_preview(spark, sf_dir):
 
 
 def q_view_chart_series(spark, sf_dir):
-    s = _silver_of(gold_payload(spark, sf_dir))
+    s = to_silver(_landed(spark, "chart", gold_payload(spark, sf_dir)), P)
     return V.chart_series(G.curated_wide(s, P), "name", "balance")
 
 
-def q_view_url_latest(spark, sf_dir):
-    """Two runs into one gold table; per source the rows of its latest load."""
-    store = _store(spark, "latest")
+def _two_runs(spark, sf_dir, name: str) -> TableStore:
+    store = _store(spark, name)
     pages = _t(spark, sf_dir, "pages")
     run_medallion(spark, pages, P, store)
     run_medallion(spark, pages, P2, store)
-    gold = store.read(P.tables.gold, merge_schema=True)
+    return store
+
+
+def q_view_url_latest(spark, sf_dir):
+    """Two runs into one gold table; per source the rows of its latest load."""
+    gold = _two_runs(spark, sf_dir, "latest").read(P.tables.gold, merge_schema=True)
     return V.latest_gold_per_url(gold).select("run_id", "record_id", "source_url", "text", "href", "value")
 
 
+def _load_rank(df: DataFrame, stamp: str) -> DataFrame:
+    """``load_rank``: 1 for the newest stamp. The window runs over the distinct stamps, one row per run."""
+    ranks = df.select(F.col(stamp).alias("_at")).distinct().withColumn("load_rank", F.row_number().over(Window.orderBy(F.desc("_at"))))
+    return df.join(ranks, F.col(stamp) == F.col("_at")).drop("_at")
+
+
+def q_view_gold_for_url(spark, sf_dir):
+    """The curated rows of the first page's url over two loads, newest first."""
+    gold = _two_runs(spark, sf_dir, "for_url").read(P.tables.gold, merge_schema=True)
+    url = _t(spark, sf_dir, "pages").agg(F.min_by("url", "page_id")).first()[0]
+    return _load_rank(V.gold_for_url(gold, url), "gold_loaded_at").select(
+        "load_rank", "run_id", "record_id", "source_url", "text", "href", "value", _micros("gold_loaded_at"))
+
+
+def q_view_summary_latest(spark, sf_dir):
+    s = V.summary_latest_first(_two_runs(spark, sf_dir, "summary_latest").read(P.tables.gold_summary))
+    return _load_rank(s, "summary_generated_at").select("load_rank", "run_id", "source_url", "total_records", "records_by_type", _micros("summary_generated_at"))
+
+
+def q_view_run_log_latest(spark, sf_dir):
+    log = V.run_log_latest_first(read_log(_two_runs(spark, sf_dir, "log_latest"), P))
+    return _load_rank(log, "run_timestamp").select("load_rank", "run_id", "run_timestamp", "layer", "status", "row_count")
+
+
 QUERIES = {
     "extract_paragraphs": q_extract_paragraphs,
     "extract_links": q_extract_links,
@@ -485,15 +611,26 @@ QUERIES = {
     "gold_curated_pages": q_gold_curated_pages,
     "gold_collision": q_gold_collision,
     "gold_table_rows": q_table_rows_gold,
+    "gold_duplicate_names": q_gold_duplicate_names,
     "run_summary": q_run_summary,
+    "run_summary_relational": q_run_summary_relational,
+    "run_summary_null_source": q_run_summary_null_source,
+    "silver_full_contract": q_silver_full_contract,
+    "encode_complex": q_encode_complex,
     "records_by_type": q_records_by_type,
     "sink_roundtrip": q_sink_roundtrip,
     "sink_schema_drift": q_sink_schema_drift,
     "run_log": q_run_log,
+    "run_log_failed": q_run_log_failed,
+    "sink_append_twice": q_sink_append_twice,
+    "catalog_tables": q_catalog_tables,
     "sink_mode_rules": q_sink_mode_rules,
     "end_to_end_gold": q_end_to_end_gold,
     "view_layer_stats": q_view_layer_stats,
     "view_gold_preview": q_view_gold_preview,
     "view_chart_series": q_view_chart_series,
     "view_url_latest": q_view_url_latest,
+    "view_gold_for_url": q_view_gold_for_url,
+    "view_summary_latest": q_view_summary_latest,
+    "view_run_log_latest": q_view_run_log_latest,
 }
