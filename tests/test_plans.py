@@ -70,3 +70,18 @@ def test_no_python_in_the_layers_except_the_parse(spark, tmp_path):
         plan = _plan(df)
         for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas"):
             assert node not in plan, node
+
+
+def test_entry_parses_every_page_once(spark):
+    import __spark_entry__ as E
+
+    # the parse ran when bronze was written; names and rows read the written table
+    assert "MapInArrow" not in _plan(E.entry(spark))
+
+
+def test_in_row_summary_has_three_exchanges_and_one_scan(spark, tmp_path):
+    pages, bronze, _ = _layers(spark)
+    bronze.write.parquet(str(tmp_path / "bronze"))
+    b = spark.read.parquet(str(tmp_path / "bronze"))
+    plan = _plan(G.run_summary_in_row(b, P))
+    assert plan.count("Exchange hashpartitioning") <= 3 and plan.count("FileScan") == 1 and "Join" not in plan

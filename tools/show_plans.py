@@ -57,7 +57,9 @@ def main():
         "gold wide, in-row (default)": G.curated_wide_in_row(bronze, p, names),
         "gold wide, grouped pivot over silver": G.curated_wide(silver, p, names),
         "gold wide, keys + pivot + left join (reference shape)": G.curated_wide_keys_join(silver, p, names),
-        "run summary (two aggregates, pages as markers)": G.run_summary(
+        "run summary, in-row (default; pages as markers)": G.run_summary_in_row(
+            bronze, p, sources=pages.select(F.col("url").alias("source_url"))),
+        "run summary over silver (ids may repeat)": G.run_summary(
             silver, p, sources=pages.select(F.col("url").alias("source_url"))),
         "latest gold per source (aggregate + semi join)": V.latest_gold_per_url(gold),
         "gold preview (top 50)": V.gold_preview(gold),
@@ -65,18 +67,15 @@ def main():
     print("# Physical plans\n")
     print(f"Generated by `python tools/show_plans.py {sf_dir}` (Spark {spark.version}, local[8], AQE on;")
     print("initial plans, AQE may still coalesce partitions or switch a join to broadcast at run time).")
-    print("The only broadcast is the per-source latest stamps in `latest_gold_per_url`, taken after")
-    print("a bounded row count proves the side small; other joins are merge joins on the partitioning")
-    print("their inputs already have.\n")
+    print("No join carries a hint for broadcast; the keys join is a merge join on the partitioning")
+    print("its inputs already have.\n")
     notes = {
         "extract + bronze (pages -> bronze rows)":
-            "The one exchange is the round-robin spread of a small input (2 scan splits, 8 cores); "
-            "an input with at least half as many splits as cores is parsed where it is read.",
+            "Pages are parsed where they are read, unless the caller sets a number of parse tasks.",
         "gold field names (distinct, bounded collect)":
             "Partial aggregation before the exchange: only distinct names per task move.",
-        "run summary (two aggregates, pages as markers)":
-            "Every exchange follows a partial aggregate; the distinct counts are exchanged on "
-            "(source, type, record id / field name), so a hot source is spread over all tasks.",
+        "run summary, in-row (default; pages as markers)":
+            "Every exchange follows a partial aggregate; no record id is exchanged.",
     }
     for title, df in plans.items():
         t = tree(df)
