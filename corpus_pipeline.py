@@ -14,8 +14,8 @@ from pagelake.session import scratch_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return line_quality.keep(docs)
+    """Documents that the quality rules reject go; the others lose the lines that too many documents share."""
+    return line_quality.clean(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,9 @@ from ..session import ship_package, shared_root
 #: a word: a run of anything but space, tab, newline, vertical tab, form feed, carriage return
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: bytes with A-Z in lower case
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+
 #: a table is broadcast only if its measured bytes stay below this
 BROADCAST_BYTES = 8 << 20
 
@@ -51,10 +54,10 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 
     Beyond the bound it is returned as it is: the join then shuffles.
     """
-    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) if t in ("string", "binary") else F.lit(0))
-                for c, t in df.dtypes) + F.lit(16 * (len(df.columns) + 1))
-    size = df.agg(F.sum(width)).first()[0] or 0
-    return F.broadcast(df) if size <= limit else df
+    size = {"string": F.octet_length, "binary": F.octet_length, "array<bigint>": lambda c: 8 * F.size(c)}
+    width = sum((F.coalesce(size[t](F.col(f"`{c}`")), F.lit(0)) if t in size else F.lit(0)) for c, t in df.dtypes) + F.lit(16 * (len(df.columns) + 1))
+    total = df.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(df) if total <= limit else df
 
 
 def word_count(text: Column) -> Column:

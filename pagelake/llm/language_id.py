@@ -32,7 +32,8 @@ WORD_RUN = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD_RUN.findall(text.lower()) if text else []
+    """Runs of letters and letter-like signs that hold a letter."""
+    return [w for w in WORD_RUN.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))] if text else []
 
 
 def grams(word: str, n: int) -> list[str]:

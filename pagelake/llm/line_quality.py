@@ -1,10 +1,11 @@
 """Quality rules: base rules of a text, and lines that too many documents of a host share.
 
-A line is known by a hash of host and trimmed text.  Per host the documents
+A line is known by a hash of host and normalised text: A-Z in lower case, white space at the
+ends dropped, runs of it one space.  Per host the documents
 (distinct texts: copies count once) that hold a line are counted; a line in more than
-``MIN_DOCS`` documents and more than ``SHARE`` of the host's is removed. A
-document that keeps less than ``REST`` of the words in its distinct lines is
-depleted and rejected.
+``MIN_DOCS`` documents and more than ``SHARE`` of the host's is removed, wherever a text
+repeats it. A document that keeps less than ``REST`` of the words in its distinct lines is
+depleted and rejected; the others go on without their removed lines (``clean``).
 
 All counts fold before the shuffle or shuffle 24 bytes a line; texts stay
 where they are.  A line that very many documents share is one hot key: its
@@ -12,7 +13,7 @@ counts fold on the map side, and the join that marks it can be split by the
 engine since nothing is grouped above it without another exchange.
 
 Defined cases: a null text has no words and fails the base rules; a null host
-is a host; a document without any line stays undepleted; rows equal in host
+is a host; a document without any line stays undepleted; blank lines are never removed; rows equal in host
 and text get equal verdicts; an empty table gives an empty result.
 """
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, broadcast_if_small, cut, fresh, map_rows, slices
+from .common import LOWER, WORD, broadcast_if_small, cut, fresh, map_rows, slices
 
 MIN_DOCS, SHARE, REST = 20, 0.02, 0.3
 MIN_WORDS, REPEATS = 50, 0.5
@@ -33,6 +34,11 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
 
 
+def normal(line: bytes) -> bytes:
+    """The form of a line that is counted."""
+    return b" ".join(line.split()).translate(LOWER)
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words inside 3-word windows that occur twice or more."""
     if len(words) < 4:
@@ -53,7 +59,7 @@ def repeated_words(words: list[bytes]) -> int:
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int, bool, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, words in distinct trimmed lines."""
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, words in distinct normalised lines."""
     text = text or ""
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()
@@ -62,7 +68,7 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int, bool, int]:
     lines = [x for x in raw.split(b"\n") if x.strip(BLANKS)]
     repeats = repeated_words(words)
     failed = len(words) < MIN_WORDS or repeats > REPEATS * len(words)
-    line_words = len(words) if len(lines) < 2 else sum(len(x.split()) for x in {x.strip(BLANKS) for x in lines})
+    line_words = len(words) if len(lines) < 2 else sum(len(x.split(b" ")) for x in set(map(normal, lines)))
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeats, failed, line_words
 
 
@@ -86,19 +92,35 @@ def base_rules(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def lost_lines(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
-    """key, n_removed_lines, n_removed_words (over distinct lines) of the documents that lose lines."""
+    """key, n_removed_lines, n_removed_words, lines (hashes) of the documents that lose lines; each distinct line once."""
     rows = docs.where(F.col("text").isNotNull()).select(_key(F.col(host), F.col("text")).alias("key"), F.xxhash64(host).alias("host"), F.col(host).alias("h"), F.explode(F.split("text", "\n", -1)).alias("l"))
-    rows = rows.withColumn("l", F.btrim("l", F.lit(BLANKS.decode()))).where("l <> ''")
+    upper = "".join(map(chr, range(65, 91)))
+    rows = rows.withColumn("l", F.translate(F.regexp_replace(F.btrim("l", F.lit(BLANKS.decode())), r"[\x20\x09-\x0D]+", " "), upper, upper.lower())).where("l <> ''")
     lines = rows.select("key", "host", F.xxhash64("h", "l").alias("line"), F.regexp_count("l", F.lit(WORD)).alias("words"))
     once = cut(lines.groupBy("key", "line").agg(F.max("host").alias("host"), F.max("words").alias("words")))
     hosts = once.select("host", "key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
     seen = once.groupBy("line").agg(F.max("host").alias("host"), F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs)
     often = cut(seen.join(hosts, "host").where(F.col("n") > F.col("docs") * share).select("line"))
-    return once.join(broadcast_if_small(often), "line").groupBy("key").agg(F.count(F.lit(1)).alias("n_removed_lines"), F.sum("words").alias("n_removed_words"))
+    return once.join(broadcast_if_small(often), "line").groupBy("key").agg(F.count(F.lit(1)).alias("n_removed_lines"), F.sum("words").alias("n_removed_words"), F.collect_list("line").alias("lines"))
+
+
+def line_hash(host: str | None, line: bytes) -> int:
+    """The hash of host and normalised line that ``lost_lines`` counts, for Python."""
+    import xxhash
+
+    seed = 42 if host is None else xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"), 42)
+    h = xxhash.xxh64_intdigest(line, seed)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def without_lines(text: str, host: str | None, lines: set[int]) -> str:
+    """The text without the lines whose hash is among ``lines``."""
+    kept = [x for x in text.split("\n") if not x.strip(BLANKS.decode()) or line_hash(host, normal(x.encode("utf-8", "surrogatepass"))) not in lines]
+    return "\n".join(kept)
 
 
 def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, rest: float = REST) -> DataFrame:
-    """doc_id, key, base counts, removed lines and words, kept, of every row."""
+    """doc_id, key, base counts, removed lines (number, words, hashes), kept, of every row."""
     none = F.lit(0).cast("long")
     joined = base_rules(docs, host).join(lost_lines(docs, host, min_docs, share), "key", "left")
     return (joined.withColumn("n_removed_lines", F.coalesce("n_removed_lines", none))
@@ -106,18 +128,32 @@ def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, sh
             .withColumn("kept", ~F.col("base_failed") & (F.col("line_words") - F.col("n_removed_words") >= F.lit(rest) * F.col("line_words"))))
 
 
-def keep(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
-    """The rows of ``docs`` that pass, unchanged. The base rules filter in the row; only keys of depleted documents are joined."""
-    key, = fresh(docs.columns, "key")
-    bad = cut(verdicts(docs, host, **limits).where(~F.col("kept") & ~F.col("base_failed")).select(F.col("key").alias(key)).distinct())
-    text_at = docs.columns.index("text")
+def clean(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
+    """The rows of ``docs`` that pass, without their removed lines; n_chars, where there is such a column, follows.
+
+    One join brings verdict and lines to the texts that lose any; base rules and removal are one pass over the rows.
+    """
+    key, kept, lines = fresh(docs.columns, "key", "kept", "lines")
+    losing = verdicts(docs, host, **limits).where(~F.col("base_failed") & (F.col("n_removed_lines") > 0))
+    losing = cut(losing.groupBy("key").agg(F.first("kept").alias("kept"), F.first("lines").alias("lines")).select(F.col("key").alias(key), F.col("kept").alias(kept), F.when(F.col("kept"), F.col("lines")).alias(lines)))
+    joined = docs.withColumn(key, _key(F.col(host), F.col("text"))).join(broadcast_if_small(losing), key, "left")
+    joined = joined.where(F.coalesce(kept, F.lit(True))).select(*docs.columns, lines)
+    text_at, host_at = docs.columns.index("text"), docs.columns.index(host)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 512):
-            yield b.filter(pa.array([not base_counts(t)[5] for t in b.column(text_at).to_pylist()], pa.bool_()))
+            texts, gone = b.column(text_at), b.column(b.num_columns - 1)
+            passed = pa.array([not base_counts(t)[5] for t in texts.to_pylist()], pa.bool_())
+            if gone.null_count < b.num_rows:
+                hosts = b.column(host_at).to_pylist()
+                texts = pa.array([without_lines(t, h, set(x)) if x else t for t, h, x in zip(texts.to_pylist(), hosts, gone.to_pylist())], texts.type)
+            cols = [texts if k == text_at else b.column(k) for k in range(b.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1]).filter(passed)
 
-    passed = map_rows(docs, run, docs.schema)
-    return passed.withColumn(key, _key(F.col(host), F.col("text"))).join(broadcast_if_small(bad), key, "left_anti").select(*docs.columns)
+    out = map_rows(joined, run, docs.schema)
+    if "n_chars" not in docs.columns:
+        return out
+    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
 
 
 def query(docs: DataFrame) -> DataFrame:
@@ -134,7 +170,7 @@ g AS (SELECT *, lead(x) OVER o AS y, lead(x, 2) OVER o AS z FROM p WINDOW o AS (
 c AS (SELECT *, count(*) OVER (PARTITION BY source, text, x, y, z) AS k FROM g WHERE z IS NOT NULL),
 r AS (SELECT source, text, count(DISTINCT i + j) AS rep FROM c, (SELECT unnest(range(3)) AS j) WHERE k > 1 GROUP BY ALL),
 raw AS (SELECT source, text, unnest(string_split(text, chr(10))) AS l FROM u),
-lines AS (SELECT source, text, l, trim(l, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS t FROM raw),
+lines AS (SELECT source, text, l, translate(trim(regexp_replace(l, '[\\x20\\x09-\\x0D]+', ' ', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM raw),
 dup AS (SELECT source, text, count(*) - count(DISTINCT l) AS dups FROM lines WHERE t <> '' GROUP BY ALL),
 once AS (SELECT DISTINCT source, text, t, len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS n FROM lines WHERE t <> ''),
 hosts AS (SELECT source, count(DISTINCT text) AS docs FROM once GROUP BY ALL),

@@ -34,17 +34,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, map_rows, slices
+from .common import LOWER, cut, fresh, map_rows, slices
 
 WORDS, RADIUS, BUCKET = 3, 2, 32
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
     """Majority bits of the shingles' XXH64 values (seed 42), unsigned."""
     import xxhash
 
-    w = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    w = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not w:
         return 0
     grams = map(b" ".join, zip(*(w[i:] for i in range(words)))) if len(w) >= words else iter([b" ".join(w)])

@@ -447,8 +447,44 @@ def test_shared_lines_are_removed_and_copies_count_once(spark):
     assert all(out[k].kept and out[k].n_removed_words == 30 for k in range(40))
     assert out[100].n_removed_words == 30 and not out[100].kept
     assert all(out[200 + k].kept and not out[200 + k].n_removed_words for k in range(60))
-    kept = line_quality.keep(spark.createDataFrame(rows, SCHEMA))
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k, r in out.items() if r.kept)
+    cleaned = {r.doc_id: r for r in line_quality.clean(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert sorted(cleaned) == sorted(k for k, r in out.items() if r.kept)
+    assert all(cleaned[k].text == body(k) and cleaned[k].n_chars == len(body(k)) for k in range(40))
+    assert all(cleaned[200 + k].text == body(999) for k in range(60))
+
+
+def test_removed_lines_against_plain_counting(spark):
+    rng = random.Random(3)
+    pool = [" ".join(f"{rng.choice(('é', 'Word', 'x'))}{rng.randrange(50)}" for _ in range(8)) for _ in range(12)]
+
+    def disguised(line):
+        return rng.choice(("", " ", "\t")) + rng.choice((line, line.upper().replace("É", "é"), line.replace(" ", "  "))) + rng.choice(("", "\r", "\x0b"))
+
+    rows = []
+    for k in range(240):
+        own = [" ".join(f"own{k}l{i}w{j}" for j in range(9)) for i in range(rng.randrange(1, 9))]
+        lines = own + [disguised(x) for x in rng.choices(pool, weights=range(1, 13), k=rng.randrange(6))] + [""] * rng.randrange(3)
+        rng.shuffle(lines)
+        rows.append((k, "\n".join(lines), "en", rng.choice(("a", "b", None)), 0))
+    rows += [(1000 + k, rows[k % 3][1], "en", rows[k % 3][3], 0) for k in range(90)]
+    form = lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", x).strip(" ").translate({c: c + 32 for c in range(65, 91)})
+    held, texts = defaultdict(set), defaultdict(set)
+    for _, text, _, host, _ in rows:
+        texts[host].add(text)
+        for x in text.split("\n"):
+            held[host, form(x)].add(text)
+    often = {k for k, v in held.items() if k[1] and len(v) > line_quality.MIN_DOCS and len(v) > line_quality.SHARE * len(texts[k[0]])}
+    want = []
+    for k, text, _, host, _ in rows:
+        distinct = {form(x) for x in text.split("\n")} - {""}
+        size = sum(len(x.split(" ")) for x in distinct)
+        rest = sum(len(x.split(" ")) for x in distinct if (host, x) not in often)
+        if not line_quality.base_counts(text)[5] and rest >= line_quality.REST * size:
+            want.append((k, "\n".join(x for x in text.split("\n") if (host, form(x)) not in often)))
+    got = line_quality.clean(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert often and any(t != rows[k][1] for k, t in want if k < 240)
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(want)
+    assert all(r.n_chars == len(r.text) for r in got)
 
 
 # --- classifiers ---
@@ -465,6 +501,10 @@ def test_language_model_learns_no_held_out_row_and_predicts(spark):
     assert sorted(map(str, rows)) == sorted(map(str, language_id.query(swapped).collect()))
 
 
+def test_texts_without_a_letter_are_undetermined():
+    assert language_id.words_of("½ ² Ⅷ 12 _ ٣ ...") == [] and language_id.words_of("½a 一 x²") == ["½a", "一", "x²"]
+
+
 def test_unseen_words_back_off_to_shorter_grams():
     np = language_id.np
     a, b = np.array([0.0, -5.0]), np.array([-5.0, 0.0])
