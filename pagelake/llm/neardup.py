@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +49,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     grams = map(b" ".join, zip(*(w[i:] for i in range(words)))) if len(w) >= words else iter([b" ".join(w)])
     votes, n, digest = np.zeros(64, np.int64), 0, xxhash.xxh64_intdigest
     while True:
-        h = np.fromiter((digest(g, 42) for g, _ in zip(grams, range(1 << 16))), dtype="<u8")
+        h = np.fromiter((digest(g, 42) for g in islice(grams, 1 << 16)), dtype="<u8")
         if not h.size:
             break
         votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)

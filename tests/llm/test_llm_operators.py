@@ -311,6 +311,12 @@ def slow_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def test_every_shingle_of_a_very_long_text_votes():
+    rng = random.Random(21)
+    text = " ".join(f"w{rng.randrange(900)}" for _ in range(200_000))
+    assert neardup.fingerprint(text) == slow_fingerprint(text)
+
+
 def test_near_dedup_query_and_stage(spark, docs):
     rows = neardup.query(docs).collect()
     texts = {r.doc_id: r.text for r in docs.collect()}
