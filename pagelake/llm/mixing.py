@@ -72,7 +72,7 @@ def _duel(acc: Column, y: Column) -> Column:
 
 
 def _settle(acc: Column, y: Column) -> Column:
-    """Flip a decision of the last bucket if that brings its source nearer to the target."""
+    """Flip a decision of a source's last bucket if that brings its source nearer to the target."""
     step = F.when(y["x"] > 0.5, -y["size"]).otherwise(y["size"])
     flip = F.abs(acc["err"] + step) < F.abs(acc["err"])
     return F.struct(F.when(flip, acc["err"] + step).otherwise(acc["err"]).alias("err"),
@@ -106,23 +106,23 @@ def decide(sized: DataFrame, targets: DataFrame, fan: int = FAN, seed: int = 1)
                                       F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     depth = 0
     while most:
-        last = most <= fan
         buckets = F.ceil(F.col("m") / fan)
         groups = (level.withColumn("b", F.pmod(F.xxhash64("h", F.lit(depth)), buckets)).groupBy("source", "b")
                   .agg(F.sort_array(F.collect_list(F.struct(*ENTRY))).alias("e"), F.max(buckets).alias("m")))
         fold = F.aggregate(F.slice("e", 2, F.size("e")), F.struct(F.col("e")[0].alias("open"), F.filter("e", lambda _: F.lit(False)).alias("out")), _duel)
         groups = groups.select("source", "m", fold.alias("f"))
-        if last:
-            left = F.col("f.open")
-            near = F.round(left["x"])
-            whole = F.concat("f.out", F.array(left.withField("x", near)))
-            zero = F.struct((left["size"] * (near - left["x"])).alias("err"), F.filter("f.out", lambda _: F.lit(False)).alias("out"))
-            groups = groups.select("source", F.aggregate(F.reverse(F.array_sort(whole)), zero, _settle)["out"].alias("out"))
-            done.append(cut(groups).select("source", F.explode("out").alias("e")).select("source", "e.*"))
-            break
-        groups = cut(groups.select("source", "m", F.col("f.open").alias("open"), F.col("f.out").alias("out")))
+        left = F.col("f.open")
+        near = F.round(left["x"])
+        whole = F.concat("f.out", F.array(left.withField("x", near)))
+        zero = F.struct((left["size"] * (near - left["x"])).alias("err"), F.filter("f.out", lambda _: F.lit(False)).alias("out"))
+        settled = F.aggregate(F.reverse(F.array_sort(whole)), zero, _settle)["out"]
+        # a source ends at the level where its rows fit one bucket, whatever other sources there are
+        out = F.when(F.col("m") == 1, settled).otherwise(F.col("f.out"))
+        groups = cut(groups.select("source", "m", left.alias("open"), out.alias("out")))
         done.append(groups.select("source", F.explode("out").alias("e")).select("source", "e.*"))
-        rest = groups.select("source", "m", "open.*")
+        if most <= fan:
+            break
+        rest = groups.where("m > 1").select("source", "m", "open.*")
         done.append(rest.where(~open_).select("source", *ENTRY))
         level, most, depth = rest.where(open_), -(-most // fan), depth + 1
     out = done[0]

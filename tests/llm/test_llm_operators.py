@@ -161,6 +161,16 @@ def test_rounding_keeps_the_expectation(spark):
         assert total[s] / 12 == pytest.approx(rate[s] * words, abs=7)
 
 
+def test_a_source_is_settled_alike_beside_a_hot_one(spark):
+    sizes = [(f"s{k}", i, 2000 if i == 7 else 20 + 7 * i + k) for k in range(30) for i in range(8)]
+    hot = [("hot", i, 1 + i % 50) for i in range(3000)]
+    small, both = (spark.createDataFrame([(s, i, i, n) for s, i, n in x], "source string, doc_id long, th long, size long") for x in (sizes, sizes + hot))
+    targets = both.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("target", 0.5 * F.col("source_size"))
+    alone, beside = (sorted(map(tuple, mixing.decide(x, targets, fan=8).where("source <> 'hot'").collect())) for x in (small, both))
+    assert alone == beside and len(beside) == len(sizes)
+    assert mixing.decide(both, targets, fan=8).count() == len(sizes) + len(hot)
+
+
 # --- secrets ---
 
 
