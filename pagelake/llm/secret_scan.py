@@ -3,10 +3,12 @@
 Base kinds (assignments, access keys, long hex runs) stand by themselves.
 Other finds are weak: an access identifier, a secret value or an endpoint
 alone is ordinary text.  Within each scope (a block of lines between blank
-lines) the three kinds of weak parts are joined by intervals: an
-identifier and a secret are reported when each lies within ``REACH`` code
-points of a part that completes it, an endpoint when it lies that near to a
-reported pair's parts.  The interval join works on sorted positions with
+lines) the three kinds of weak parts are joined by intervals: a secret is
+completed by an identifier or an endpoint within ``REACH`` code points, and
+both are reported; an identifier and an endpoint alone are not.  A secret
+inside an endpoint is part of that address: only an identifier completes it,
+and another endpoint is reported when it lies near the two.
+The interval join works on sorted positions with
 binary search (the nearest part before and after), so a text with very many
 parts costs n log n and makes no pairs.
 
@@ -40,8 +42,6 @@ WEAK_ID = re.compile(r"""(?:user(?:_?name|_?id)?|login|account(?:_?id)?|client_?
 WEAK_SECRET = re.compile(r"""(?:pwd|pass(?:phrase|word|wd)?|secret|token|api_?key|client_?secret|private_?key|auth)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}|(?-i:(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{24,}={0,2})""", re.I | re.A)
 ENDPOINT = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]+|(?:host|server|endpoint|url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:/-]{3,}""", re.I | re.A)
 BLANK = re.compile(r"\n[ \t\r]*\n")
-# a text without any of these has no weak part that could be completed
-HINT = re.compile(r"[:=]")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -70,10 +70,10 @@ def _near(a: np.ndarray, b: np.ndarray, reach: int) -> np.ndarray:
 
 def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH) -> list[tuple[int, int, int]]:
     """Weak parts that complete each other; strong base finds serve as partners but are not reported again."""
-    ids = list(WEAK_ID.finditer(text))
-    if not ids and not any(k == 1 for _, k, _ in base):
-        return []  # without an identifier nothing can be linked
-    secrets, ends = list(WEAK_SECRET.finditer(text)), list(ENDPOINT.finditer(text))
+    ids, ends = list(WEAK_ID.finditer(text)), list(ENDPOINT.finditer(text))
+    if not ids and not ends and not any(k == 1 for _, k, _ in base):
+        return []  # without an identifier or an endpoint nothing can be linked
+    secrets = list(WEAK_SECRET.finditer(text))
     cuts = np.array([m.start() for m in BLANK.finditer(text)], np.int64)
 
     def table(found, strong):
@@ -87,8 +87,12 @@ def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH
         return np.column_stack([np.searchsorted(cuts, x[:, 0]), x]) if len(x) else np.zeros((0, 3), np.int64)
 
     i, s, p = table(ids, (1,)), table(secrets, (0, 2)), table(ends, ())
+    # endpoints don't overlap each other: a secret is apart from all where as many start before its end as end by its start
+    free = s[np.searchsorted(p[:, 1], s[:, 2], side="left") == np.searchsorted(p[:, 2], s[:, 1], side="right")]
+    by_end = free[_near(free, p, reach)]
     i, s = i[_near(i, s, reach)], s[_near(s, i, reach)]
-    p = p[_near(p, i, reach) & _near(p, s, reach)]
+    p = p[_near(p, free, reach) | _near(p, i, reach) & _near(p, s, reach)]
+    s = np.unique(np.concatenate([s, by_end]), axis=0)
     known = {(a, b) for a, _, b in base}
     return [(int(a), k, int(b)) for k, x in ((3, i), (4, s), (5, p)) for _, a, b in x if (int(a), int(b)) not in known]
 
@@ -96,7 +100,7 @@ def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH
 def all_spans(text: str | None, reach: int = REACH) -> tuple[list, list]:
     text = text or ""
     base = base_spans(text)
-    return base, sorted(base + (linked_spans(text, base, reach) if HINT.search(text) or base else []))
+    return base, sorted(base + (linked_spans(text, base, reach)))
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

@@ -214,6 +214,14 @@ def test_weak_parts_are_reported_only_together():
     assert kinds("user = alice\nhttps://db.example.org") == []
 
 
+def test_an_endpoint_completes_a_secret_and_no_sign_is_needed():
+    kinds = lambda t: [secret_scan.KINDS[k] for _, k, _ in secret_scan.all_spans(t)[1]]
+    assert kinds("host = db.example.org\npwd = hunter22") == ["linked_endpoint", "linked_secret"]
+    assert kinds("pwd = hunter22\n\nhost = db.example.org") == []
+    assert kinds("AKIAABCD1234EFGH\nQx7LmPz2VbN4cRt8KsW1yHd5Jg") == ["linked_id", "linked_secret"]
+    assert kinds("https://a.example/x https://b.example/Qx7LmPz2VbN4cRt8KsW1yHd5Jg") == []  # part of an address
+
+
 def test_nearest_parts_against_all_pairs():
     np, rng = secret_scan.np, random.Random(5)
     for _ in range(300):
