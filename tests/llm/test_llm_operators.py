@@ -566,6 +566,22 @@ def test_rare_expressions_say_little():
     assert r[0] > 4 > 1 > r[1] > 0 and abs(r[2]) < 1e-9 and abs(r[3]) < 1e-9
 
 
+def test_rare_toxic_pairs_count_and_no_table_size_changes_a_score(spark):
+    rng = random.Random(4)
+    plain = lambda: " ".join(f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(3))}" for _ in range(30))
+    rows = [(k, plain() + (" wooden spoon " + plain() if 300 <= k < 308 else " wooden " + plain() + " spoon"), "en", "x", 9) for k in range(600)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(k, int(300 <= k < 340)) for k in range(600)], "doc_id long, toxic int")
+    whole, none_left = toxicity.fit(docs, labels, curve_rows=60)
+    small, rest = toxicity.fit(docs, labels, words=5, pairs=7, curve_rows=60)
+    assert none_left.count() == 0 and rest.count() > 100
+    one, other = ({r.doc_id: (round(r.mean, 9), round(r.peak, 9), round(r.score, 6)) for r in toxicity.score(docs, *x).collect()} for x in ((whole, none_left), (small, rest)))
+    assert one == other
+    probe = spark.createDataFrame([(1, "wooden spoon"), (2, "spoon wooden")], "doc_id long, text string")
+    got = {r.doc_id: r.peak for r in toxicity.score(probe, small, rest).collect()}
+    assert got[1] > got[2] + 1
+
+
 # --- pipeline ---
 
 
