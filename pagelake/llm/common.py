@@ -31,6 +31,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def fresh(taken: Iterable[str], *names: str) -> list[str]:
     """Each name, with underscores put before it until no column has it."""
     used = {c.lower() for c in taken}
