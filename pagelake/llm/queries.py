@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, line_quality, mixing, nbsvm, neardup, packing, prefix_trie, secret_scan, sharding, simhash_index, toxicity, warc_store
+from . import collocations, language_id, line_quality, mixing, nbsvm, neardup, packing, prefix_trie, secret_scan, sharding, simhash_index, toxicity, warc_store
 from .common import documents, labels, table
 
 
@@ -29,9 +29,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": _over_documents(line_quality.query),
     "op9_quality_classifier": _over_labels(nbsvm.query),
     "op10_toxicity": _over_labels(toxicity.query),
+    "op11_collocations": _over_documents(collocations.query),
     "op12_warc": lambda spark, sf_dir: warc_store.query(table(spark, sf_dir, "pages")),
     "op13_prefix_trie": lambda spark, sf_dir: prefix_trie.query(table(spark, sf_dir, "conversations")),
 }
 
 # where SQL can't express the operator, tests/llm holds it against a brute-force form
-ORACLES: dict[str, str] = {"op8_quality_rules": line_quality.SQL, "op12_warc": warc_store.SQL, "op13_prefix_trie": prefix_trie.SQL}
+ORACLES: dict[str, str] = {"op8_quality_rules": line_quality.SQL, "op11_collocations": collocations.SQL, "op12_warc": warc_store.SQL, "op13_prefix_trie": prefix_trie.SQL}

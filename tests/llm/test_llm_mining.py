@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from pagelake.llm import prefix_trie, warc_store
+from pagelake.llm import collocations, prefix_trie, warc_store
 from pagelake.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +20,7 @@ def rows_of(df):
     return Counter(tuple(r) for r in df.select(*sorted(df.columns)).collect())
 
 
-@pytest.mark.parametrize("name, table", [("op12_warc", "pages"), ("op13_prefix_trie", "conversations")])
+@pytest.mark.parametrize("name, table", [("op11_collocations", "documents"), ("op12_warc", "pages"), ("op13_prefix_trie", "conversations")])
 def test_query_equals_its_sql(spark, name, table):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
@@ -184,3 +185,76 @@ def test_archive_tells_a_changed_payload(spark, tmp_path):
     with pytest.raises(Exception, match="payload differs from its digest"):
         warc_store.records(spark, str(tmp_path / "b")).count()
         warc_store.records(spark, str(tmp_path / "b")).select("record").collect()
+
+
+# ---------------------------------------------------------------- phrases
+DOCS = "doc_id long, text string, lang string, source string"
+
+
+def plain_collocations(docs, least, top=collocations.TOP, cover=collocations.COVER):
+    """Counts of all phrases by listing them; docs: (text, lang)."""
+    f, total = Counter(), Counter()
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for text, lang in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\\x0a-\\x0d]", (text or "").translate(fold)):
+            w = re.findall("[^ \\t]+", piece)
+            total[lang] += len(w)
+            f.update((lang, *w[i : i + k]) for k in range(1, 5) for i in range(len(w) - k + 1))
+    out = []
+    cand = {p: a for p, a in f.items() if a >= least and len(p) > 2}
+    longer = Counter()
+    for (lang, *p), a in cand.items():
+        for m in range(2, len(p)):
+            for i in range(len(p) - m + 1):
+                key = (lang, *p[i : i + m])
+                longer[key] = max(longer[key], a)
+    for (lang, *p), a in cand.items():
+        score, _, l, r = min((2_000_000 * a // (f[(lang, *p[:k])] + f[(lang, *p[k:])]), k, f[(lang, *p[:k])], f[(lang, *p[k:])]) for k in range(1, len(p)))
+        if 100 * longer[(lang, *p)] < cover * a:
+            out.append((lang, " ".join(p), a, l, r, total[lang], score))
+    rows = []
+    for lang in {x[0] for x in out}:
+        some = sorted((x for x in out if x[0] == lang), key=lambda x: (-x[6], -x[2], x[1].encode()))[:top]
+        rows += [(x[0], k + 1, *x[1:]) for k, x in enumerate(some)]
+    return Counter(rows)
+
+
+def as_phrases(df):
+    return Counter(tuple(r) for r in df.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
+
+
+def phrase_docs(seed, n=120):
+    rnd = random.Random(seed)
+    words = "the The a of é \U0001f600 x\u00a0y new york city b-c 12 #".split(" ")
+    text = lambda: "".join(rnd.choice(words) + rnd.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\r\n", ";", "\v", "? "]) for _ in range(rnd.randint(0, 120)))
+    return [(text(), rnd.choice(["en", "en", "fr", None, "und", ""])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("least, keys, block", [(2, 1 << 20, 1 << 20), (5, 0, 1 << 20), (3, 0, 300), (30, 5, 2_000)])
+def test_collocations_against_all_phrases(spark, least, keys, block, monkeypatch):
+    docs = phrase_docs(least) + [(None, "en"), ("", None), ("new york city " * 400, "en"), ("new york city, " * 50, "en")]
+    df = spark.createDataFrame([(k, t, lang, None) for k, (t, lang) in enumerate(docs)], DOCS)
+    monkeypatch.setattr(collocations, "BLOCK", block)
+    got = as_phrases(collocations.collocations(df, least=least, keys=keys))
+    assert got and got == plain_collocations(docs, least)
+
+
+def test_collocations_top_and_defined_cases(spark):
+    docs = phrase_docs(9, 60)
+    df = spark.createDataFrame([(None, t, lang, None) for t, lang in docs], DOCS)
+    assert as_phrases(collocations.collocations(df, least=2, top=7)) == plain_collocations(docs, 2, top=7)
+    clash = df.select("*", *[F.lit(k).alias(c) for k, c in enumerate("block words hashes codes at w1 w2 a l r n score rank phrase longer key known".split())])
+    assert as_phrases(collocations.collocations(clash, least=2, top=7)) == plain_collocations(docs, 2, top=7)
+    assert collocations.query(spark.createDataFrame([], DOCS)).count() == 0
+    assert collocations.query(spark.createDataFrame([(1, None, None, None), (2, " \t. ", "en", None), (3, "one", None, None)], DOCS)).count() == 0
+    many = [("to be or not to be " * 10_000, "en")] * 2  # a long text, repeated
+    df = spark.createDataFrame([(1, t, lang, None) for t, lang in many], DOCS)
+    assert as_phrases(collocations.query(df)) == plain_collocations(many, 30)
+
+
+def test_score_is_exact_beyond_64_bits(spark):
+    big = 1 << 60
+    counts = [spark.createDataFrame([("en", 1, big + 1), ("en", 2, big + 3)], "lang string, w1 long, a long"),
+              spark.createDataFrame([("en", 1, 2, big)], "lang string, w1 long, w2 long, a long")]
+    assert collocations.scored(counts, 2).first().score == 2_000_000 * big // (2 * big + 4)
