@@ -34,72 +34,128 @@ from .common import cut, map_rows, slices
 SIZE = 2048
 VOCABULARY = "byte_bpe_50k.json"
 SLICES = 4096  # slices beyond one per length, in all
-MEMO = 500_000  # words, and word parts, that a worker keeps encoded
+MEMO, STORED = 60_000, 1_000_000  # words at hand, and words of a stored generation, that a worker keeps encoded
 
 
-#: fixed values: the splitting pattern that the byte-level pre-tokenizer of the public vocabulary names by ``use_regex``
-BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+class Store:
+    """Tokens of words by 64-bit hash, in arrays: about 30 bytes a word."""
+
+    def __init__(self):
+        self.keys, self.start, self.size, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def add(self, keys: np.ndarray, tokens: list[bytes]) -> None:
+        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        start = np.cumsum(size) - size + len(self.pool)
+        keys, first = np.unique(keys, return_index=True)
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.start, self.size = np.insert(self.keys, at, keys), np.insert(self.start, at, start[first]), np.insert(self.size, at, size[first])
+        self.pool = np.append(self.pool, np.frombuffer(b"".join(tokens), np.uint8))
+
+    def find(self, keys: np.ndarray) -> list[bytes | None]:
+        if not len(self.keys):
+            return [None] * len(keys)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        raw = memoryview(self.pool)
+        return [bytes(raw[s : s + n]) if yes else None for yes, s, n in zip((self.keys[at] == keys).tolist(), self.start[at].tolist(), self.size[at].tolist())]
 
 
 class Encoder:
-    """Token ids of texts as little-endian bytes, with bounded memories of encoded words and word parts.
+    """Token ids of texts as little-endian bytes, with a bounded memory of encoded words.
 
-    A byte-level vocabulary never joins across a single space between two other
-    characters, nor across the parts that its pattern cuts. So a text is looked up word by
-    word (each with the space before it), a new word part by part, and a new part goes
-    through the vocabulary's merges once.  Texts with two white-space characters in a row, and
+    A byte-level vocabulary never joins across the parts that its pattern cuts. In a run of white space the last character
+    goes with the word after it if it is a space, and stands alone otherwise; the run's others are one part. So where no run is longer
+    than two (one at the text's end), a text is cut at line ends and spaces, and each word is looked up with the space before it.
+    The new words of some texts go through the tokenizer together, a line each: the token of the line end tells them apart.  Other texts, and
     vocabularies of another kind, are encoded whole.
+
+    A worker keeps ``MEMO`` words at hand and two generations of ``STORED`` words in compact arrays (together about 80 MB at most): a
+    word asked for again is handed on, the others go with their generation.
     """
 
     def __init__(self, path: str):
         import json
         import re
 
-        import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.uneven = re.compile(r"\s\s").search
-        self.find = regex.compile(BYTE_LEVEL).findall
-        # printable Latin-1 stands for its own byte, the other bytes follow from 256 on
-        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in plain)}
+        self.near: dict[str, bytes] = {}  # words at hand
+        self.fresh: list[tuple[np.ndarray, list[bytes]]] = []  # words at hand that the store doesn't have
+        self.store, self.older = Store(), Store()
+        self.uneven = re.compile(r"\s\s(?:\s|\Z)").search
+        self.end = self._ids("\n")
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec["pre_tokenizer"] or {}
-        self.by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and spec["normalizer"] is None and spec["post_processor"] is None
+        self.by_word = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+                        and spec["normalizer"] is None and spec["post_processor"] is None and len(self.end) == 1)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
-        split = {k: t.split(" ") for k, t in enumerate(texts) if self.by_word and not self.uneven(t)}
-        words = self.words
-        if len(words) > MEMO:
-            words.clear()
-        if len(self.parts) > MEMO:
-            self.parts.clear()
-        new = set()
-        for w in split.values():
-            new.update(w[1:])
-        for w in new.difference(words):
-            words[w] = self._word(" " + w)
-        for k, w in split.items():
-            out[k] = (self._word(w[0]) if w[0] else b"") + b"".join(map(words.__getitem__, w[1:]))
-        whole = [k for k in range(len(texts)) if k not in split]
+        whole, cut, asked = [], {}, set()
+        for k, t in enumerate(texts):
+            if not self.by_word or self.uneven(t):
+                whole.append(k)
+                continue
+            # a word at the start of a line is kept with the line end before it, any other is kept bare
+            words = t.replace("\n", " \n").split(" ")
+            words[0] = "\n" + words[0]
+            cut[k] = words
+            asked.update(words)
+        self._learn(asked)
+        look, first = self.near.__getitem__, len(self.end) * 4
+        for k, words in cut.items():
+            out[k] = b"".join(map(look, words))[first:]
         for lo in range(0, len(whole), 16):
             some = whole[lo : lo + 16]
             for k, e in zip(some, self.tok.encode_batch_fast([texts[k] for k in some], add_special_tokens=False)):
                 out[k] = np.array(e.ids, "<u4").tobytes()
         return out
 
-    def _word(self, word: str) -> bytes:
-        found, parts = self.find(word), self.parts
-        for p in found:
-            if p not in parts:
-                parts[p] = b"".join([t.id.to_bytes(4, "little") for t in self.tok.model.tokenize(p.encode().decode("latin-1").translate(self.letters))])
-        return b"".join([parts[p] for p in found])
+    def _learn(self, asked: set[str]) -> None:
+        """All words of ``asked`` to hand."""
+        import xxhash
+
+        if len(self.near) > MEMO:
+            for keys, tokens in self.fresh:
+                self.store.add(keys, tokens)
+            self.near, self.fresh = {"\n": self.end.tobytes()}, []
+            if len(self.store.keys) > STORED:
+                self.store, self.older = Store(), self.store
+        missing = list(asked.difference(self.near))
+        keys = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in missing), np.uint64, len(missing))
+        found = self.store.find(keys)
+        lost = [k for k, x in enumerate(found) if x is None]
+        for k, x in zip(lost, self.older.find(keys[lost])):
+            found[k] = x
+        new = [k for k in lost if found[k] is None]
+        for k, x in zip(new, self._encoded([missing[k] for k in new])):
+            found[k] = x
+        self.near.update(zip(missing, found))
+        if lost:
+            self.fresh.append((keys[lost], [found[k] for k in lost]))
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Tokens of " word" or, at the start of a line, of the line end and "word"."""
+        head, out = self.end.tobytes(), []
+        # white space in a word is a run with what stands around it
+        alone = {k for k, w in enumerate(words) if len(w.split()) != 1 or w[-1].isspace() or w[1:2].isspace() or (w[0] != "\n" and w[0].isspace())}
+        for lo in range(0, len(words), 4096):
+            some = [w for k, w in enumerate(words[lo : lo + 4096], lo) if k not in alone]
+            ids = self._ids("".join([w[1:] + "\n" if w[0] == "\n" else f" {w}\n" for w in some]))
+            ends = (4 * np.flatnonzero(ids == self.end[0])).tolist()  # the one token that no word has
+            raw = ids.tobytes()
+            lines = iter([raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends)])
+            for k, w in enumerate(words[lo : lo + 4096], lo):
+                if k in alone:
+                    out.append(head + self._ids(w[1:]).tobytes() if w[:1] == "\n" else self._ids(" " + w).tobytes())
+                else:
+                    out.append(head + next(lines) if w[0] == "\n" else next(lines))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
