@@ -35,7 +35,7 @@ from .common import broadcast_if_small, cut, map_rows
 MIN, LONGEST, COVER, TOP = 30, 4, 80, 2000
 PARTS = 64  # parts of a language's phrases, each ranked on its own first
 KEYS = 4 << 20  # frequent groups whose keys are broadcast at most, 8 bytes each
-BLOCK = 4 << 20  # bytes of text in a block, about
+BLOCK = 1 << 20  # bytes of text in a block, about
 #: A-Z in lower case; a piece's end becomes a byte that UTF-8 never has
 FOLD = bytes(0xFF if chr(b) in ".,;:!?\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 END = b"\xff"
@@ -58,6 +58,16 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(FOLD).replace(END, b" \xff ").split() + [END]
 
 
+def packed(x: np.ndarray) -> bytes:
+    """An array's bytes, compressed: blocks cross between Spark and Python several times."""
+    raw = x.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(x: bytes, kind) -> np.ndarray:
+    return np.frombuffer(pa.decompress(x[8:], int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True), kind)
+
+
 def _key(words: np.ndarray) -> np.ndarray:
     """A 64-bit key of each row of word hashes."""
     h = words[:, 0].copy()
@@ -85,7 +95,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
                 seed = xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass"))
                 known = [w for w in codes if w != END]
                 hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in known), np.uint64, len(known))
-                rows.append((number, lang, b" ".join(known), hashes.tobytes(), np.concatenate(parts).tobytes()))
+                rows.append((number, lang, b" ".join(known), packed(hashes), packed(np.concatenate(parts))))
                 number += 1
             kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["block", "lang", "words", "hashes", "codes"])
@@ -120,20 +130,34 @@ def _written(df: DataFrame, root: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}")
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows one at a time: a block is large, so no more than one is unpacked."""
+    for b in batches:
+        for k in range(b.num_rows):
+            yield tuple(c[k].as_py() for c in b.columns)
+
+
+def lang_key(lang: str) -> int:
+    import xxhash
+
+    return int(np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))).view(np.int64))
+
+
 def word_counts(blocks: DataFrame) -> DataFrame:
-    """lang, w1 (hash), word, a of every word; fails where two words of a language share a hash."""
+    """lk (the language's key), lang, w1 (hash), word, a of every word; fails where two words, or languages, share a hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lang, words, hashes, codes in zip(*(b.column(k).to_pylist() for k in range(4))):
-                h = np.frombuffer(hashes, np.int64)
-                n = np.bincount(np.frombuffer(codes, np.int32), minlength=len(h) + 1)[1:]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h), pa.array([w.decode("utf-8", "replace") for w in words.split(b" ")] if len(h) else [], pa.string()), pa.array(n.astype(np.int64))], ["lang", "w1", "word", "n"])
+        for lang, words, hashes, codes in _rows(batches):
+            h = unpacked(hashes, np.int64)
+            n = np.bincount(unpacked(codes, np.int32), minlength=len(h) + 1)[1:].astype(np.int64)
+            words = [w.decode("utf-8", "replace") for w in words.split(b" ")] if len(h) else []
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), lang_key(lang))), pa.array([lang] * len(h), pa.string()), pa.array(h), pa.array(words, pa.string()), pa.array(n)], ["lk", "lang", "w1", "word", "n"])
 
-    counted = map_rows(blocks.select("lang", "words", "hashes", "codes"), run, "lang string, w1 long, word string, n long")
-    met = counted.groupBy("lang", "w1").agg(F.min("word").alias("word"), F.max("word").alias("most"), F.sum("n").alias("a"))
-    word = F.when(F.col("word") == F.col("most"), F.col("word")).otherwise(F.raise_error(F.concat(F.lit("two words share a hash: "), "word", F.lit(" "), "most")).cast("string"))
-    return met.select("lang", "w1", word.alias("word"), "a")
+    counted = map_rows(blocks.select("lang", "words", "hashes", "codes"), run, "lk long, lang string, w1 long, word string, n long")
+    both = F.struct("word", "lang")
+    met = counted.groupBy("lk", "w1").agg(F.min(both).alias("least"), F.max(both).alias("most"), F.sum("n").alias("a"))
+    word = F.when(F.col("least") == F.col("most"), F.col("least.word")).otherwise(F.raise_error(F.concat(F.lit("two words share a hash: "), "least.word", F.lit(" "), "most.word")).cast("string"))
+    return met.select("lk", F.col("least.lang").alias("lang"), "w1", word.alias("word"), "a")
 
 
 def groups(codes: np.ndarray, hashes: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,8 +177,8 @@ def groups(codes: np.ndarray, hashes: np.ndarray, at: np.ndarray, k: int) -> tup
 def _block(row: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """hashes, codes and positions of the frequent groups of a block; without positions, all words."""
     hashes, codes, at = row
-    codes = np.frombuffer(codes, np.int32)
-    return np.frombuffer(hashes, np.uint64), codes, np.frombuffer(at, np.int32).astype(np.int64) if at is not None else np.flatnonzero(codes)
+    codes = unpacked(codes, np.int32)
+    return unpacked(hashes, np.uint64), codes, unpacked(at, np.int32).astype(np.int64) if at is not None else np.flatnonzero(codes)
 
 
 def _member(key: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -180,11 +204,10 @@ def frequent_only(blocks: DataFrame, counts: DataFrame, k: int, keys: int = KEYS
         src = blocks.select(cols)
     else:
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for block, *row in zip(*(b.column(j).to_pylist() for j in range(4))):
-                    hashes, codes, at = _block(row)
-                    key = np.unique(_key(groups(codes, hashes, at, k)[1])).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), block)), pa.array(key)], ["block", "key"])
+            for block, *row in _rows(batches):
+                hashes, codes, at = _block(row)
+                key = np.unique(_key(groups(codes, hashes, at, k)[1])).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), block)), pa.array(key)], ["block", "key"])
 
         def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -197,57 +220,49 @@ def frequent_only(blocks: DataFrame, counts: DataFrame, k: int, keys: int = KEYS
         src = blocks.select(cols).join(found, "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for block, lang, *row in zip(*(b.column(j).to_pylist() for j in range(5))):
-                hashes, codes, at = _block(row)
-                known = shared.value if shared is not None else np.sort(np.array(b.column(5)[len(out)].as_py(), np.int64).view(np.uint64))
-                at, rows, of = groups(codes, hashes, at, k)
-                at = at[_member(_key(rows), known)[of]] if len(at) else at
-                # what is reached: the group and the words it may still grow by
-                near = np.zeros(len(codes), np.int32)
-                near[at] += 1
-                past = at + (LONGEST if k > 1 else 1)  # an infrequent word ends every group
-                near[past[past < len(codes)]] -= 1
-                kept = np.cumsum(near) > 0
-                gap = kept & np.append(False, ~kept[:-1])  # a gap that is left out ends a piece
-                slot = np.cumsum(kept.astype(np.int64) + gap) - 1
-                new = np.zeros(int(slot[-1]) + 1 if len(slot) else 0, np.int32)
-                new[slot[kept]] = codes[kept]
-                used, back = np.unique(new, return_inverse=True)
-                if len(used) and used[0] != 0:
-                    used, back = np.append(0, used), back + 1
-                out.append((block, lang, hashes[used[1:] - 1].tobytes(), back.astype(np.int32).tobytes(), slot[at].astype(np.int32).tobytes()))
-            if out:
-                kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], cols)
+        for block, lang, *row in _rows(batches):
+            hashes, codes, at = _block(row[:3])
+            known = shared.value if shared is not None else np.sort(np.array(row[3], np.int64).view(np.uint64))
+            at, rows, of = groups(codes, hashes, at, k)
+            at = at[_member(_key(rows), known)[of]] if len(at) else at
+            # what is reached: the group and the words it may still grow by
+            near = np.zeros(len(codes), np.int32)
+            near[at] += 1
+            past = at + (LONGEST if k > 1 else 1)  # an infrequent word ends every group
+            near[past[past < len(codes)]] -= 1
+            kept = np.cumsum(near) > 0
+            gap = kept & np.append(False, ~kept[:-1])  # a gap that is left out ends a piece
+            slot = np.cumsum(kept.astype(np.int64) + gap) - 1
+            new = np.zeros(int(slot[-1]) + 1 if len(slot) else 0, np.int32)
+            new[slot[kept]] = codes[kept]
+            used, back = np.unique(np.append(0, new), return_inverse=True)
+            out = packed(hashes[used[1:] - 1]), packed(back[1:].astype(np.int32)), packed(slot[at].astype(np.int32)) if k > 1 else None
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([lang], pa.string()), *(pa.array([x], pa.binary()) for x in out)], cols)
 
     return map_rows(src, run, "block long, lang string, hashes binary, codes binary, at binary")
 
 
 def group_counts(blocks: DataFrame, k: int, least: int) -> DataFrame:
-    """lang, w1 to wk, a of the k-word groups with at least ``least`` occurrences; blocks have the frequent (k-1)-word groups."""
-    names = NAMES[:k]
+    """lk, w1 to wk, a of the k-word groups with at least ``least`` occurrences; blocks have the frequent (k-1)-word groups."""
+    names = ["lk", *NAMES[:k]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lang, *row in zip(*(b.column(j).to_pylist() for j in range(4))):
-                hashes, codes, at = _block(row)
-                _, rows, of = groups(codes, hashes, at, k)
-                if len(rows):
-                    n = np.bincount(of, minlength=len(rows)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(n), np.int32)), pa.array([lang], pa.string())).dictionary_decode(), *(pa.array(rows[:, j].view(np.int64)) for j in range(k)), pa.array(n)], ["lang", *names, "n"])
+        for lang, *row in _rows(batches):
+            hashes, codes, at = _block(row)
+            _, rows, of = groups(codes, hashes, at, k)
+            n = np.bincount(of, minlength=len(rows)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), lang_key(lang))), *(pa.array(rows[:, j].view(np.int64)) for j in range(k)), pa.array(n)], [*names, "n"])
 
-    counted = map_rows(blocks.select("lang", "hashes", "codes", "at"), run, "lang string, " + ", ".join(f"{n} long" for n in names) + ", n long")
-    return counted.groupBy("lang", *names).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    counted = map_rows(blocks.select("lang", "hashes", "codes", "at"), run, ", ".join(f"{n} long" for n in names) + ", n long")
+    return counted.groupBy(*names).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
 
 
 def frequent(docs: DataFrame, least: int = MIN, keys: int = KEYS, root: str | None = None) -> tuple[DataFrame, list[DataFrame]]:
-    """Counts of all words (lang, w1, word, a), and of the frequent phrases of 1 to ``LONGEST`` words (lang, w1, ..., a)."""
+    """Counts of all words (lk, lang, w1, word, a), and of the frequent phrases of 1 to ``LONGEST`` words (lk, w1, ..., a)."""
     root = root or scratch_dir(docs.sparkSession, "collocations")
     relation = _written(occurrences(docs.select("lang", "text")), root, "occurrences-1")
     words = _written(word_counts(relation), root, "counts-1")
-    out = [words.where(F.col("a") >= least).select("lang", "w1", "a")]
+    out = [words.where(F.col("a") >= least).select("lk", "w1", "a")]
     relation = relation.withColumn("at", F.lit(None).cast("binary"))
     for k in range(2, LONGEST + 1):
         relation = _written(frequent_only(relation, out[-1], k - 1, keys), root, f"occurrences-{k}")
@@ -257,7 +272,7 @@ def frequent(docs: DataFrame, least: int = MIN, keys: int = KEYS, root: str | No
 
 def _as(df: DataFrame, names: list[str], count: str) -> DataFrame:
     """A count table keyed by the words ``names`` of a phrase from the first on."""
-    return df.select("lang", *[F.col(f"w{j + 1}").alias(n) for j, n in enumerate(names)], F.col("a").alias(count))
+    return df.select("lk", *[F.col(f"w{j + 1}").alias(n) for j, n in enumerate(names)], F.col("a").alias(count))
 
 
 def _wide(n: Column, by: int) -> Column:
@@ -269,13 +284,13 @@ def scored(counts: list[DataFrame], k: int) -> DataFrame:
     names, df = NAMES[:k], counts[k - 1]
     cuts = []
     for j in range(1, k):
-        df = df.join(broadcast_if_small(_as(counts[j - 1], names[:j], f"l{j}")), ["lang", *names[:j]])
-        df = df.join(broadcast_if_small(_as(counts[k - j - 1], names[j:], f"r{j}")), ["lang", *names[j:]])
+        df = df.join(broadcast_if_small(_as(counts[j - 1], names[:j], f"l{j}")), ["lk", *names[:j]])
+        df = df.join(broadcast_if_small(_as(counts[k - j - 1], names[j:], f"r{j}")), ["lk", *names[j:]])
         score = F.call_function("div", _wide(F.col("a"), 2_000_000), (F.col(f"l{j}").cast("decimal(20,0)") + F.col(f"r{j}").cast("decimal(20,0)")))
         cuts.append(F.struct(score.alias("score"), F.lit(j).alias("cut"), F.col(f"l{j}").alias("l"), F.col(f"r{j}").alias("r")))
     best = F.least(*cuts) if len(cuts) > 1 else cuts[0]
     missing = [F.lit(None).cast("long").alias(n) for n in NAMES[k:]]
-    return df.select("lang", *names, *missing, "a", best.alias("best")).select("lang", *NAMES, "a", "best.l", "best.r", "best.score")
+    return df.select("lk", *names, *missing, "a", best.alias("best")).select("lk", *NAMES, "a", "best.l", "best.r", "best.score")
 
 
 def collocations(docs: DataFrame, least: int = MIN, top: int = TOP, cover: int = COVER, keys: int = KEYS) -> DataFrame:
@@ -290,26 +305,26 @@ def collocations(docs: DataFrame, least: int = MIN, top: int = TOP, cover: int =
         for m in range(2, k):
             for j in range(k - m + 1):
                 part = [F.col(NAMES[j + i]).alias(NAMES[i]) if i < m else F.lit(None).cast("long").alias(NAMES[i]) for i in range(LONGEST)]
-                some = counts[k - 1].select("lang", *part, F.col("a").alias("longer"))
+                some = counts[k - 1].select("lk", *part, F.col("a").alias("longer"))
                 inside = some if inside is None else inside.unionByName(some)
     # a missing word is null on both sides
-    fill = lambda df: df.select("lang", *[F.coalesce(n, F.lit(0)).alias(n) for n in NAMES], *[F.isnull(NAMES[j]).cast("int").alias(f"no{j}") for j in (2, 3)], *[c for c in df.columns if c not in ("lang", *NAMES)])
-    on = ["lang", *NAMES, "no2", "no3"]
+    fill = lambda df: df.select("lk", *[F.coalesce(n, F.lit(0)).alias(n) for n in NAMES], *[F.isnull(NAMES[j]).cast("int").alias(f"no{j}") for j in (2, 3)], *[c for c in df.columns if c not in ("lk", *NAMES)])
+    on = ["lk", *NAMES, "no2", "no3"]
     longer = fill(inside).groupBy(*on).agg(F.max("longer").alias("longer"))
     kept = fill(every).join(longer, on, "left").where(F.isnull("longer") | (_wide(F.col("longer"), 100) < _wide(F.col("a"), cover)))
-    kept = kept.select("lang", *[F.when(F.col(f"no{j}") == 0, F.col(n)).alias(n) if j >= 2 else n for j, n in enumerate(NAMES)], "a", "l", "r", "score")
-    texts = cut(words.where(F.col("a") >= least).select("lang", "w1", "word"))
+    kept = kept.select("lk", *[F.when(F.col(f"no{j}") == 0, F.col(n)).alias(n) if j >= 2 else n for j, n in enumerate(NAMES)], "a", "l", "r", "score")
+    texts = words.where(F.col("a") >= least).select("lk", "w1", "word")
     for j, n in enumerate(NAMES):
-        kept = kept.join(broadcast_if_small(texts.select("lang", F.col("w1").alias(n), F.col("word").alias(f"t{j}"))), ["lang", n], "inner" if j < 2 else "left")
+        kept = kept.join(broadcast_if_small(texts.select("lk", F.col("w1").alias(n), F.col("word").alias(f"t{j}"))), ["lk", n], "inner" if j < 2 else "left")
     phrase = F.concat_ws(" ", *[f"t{j}" for j in range(LONGEST)])
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    first = kept.select("lang", phrase.alias("phrase"), "a", "l", "r", "score")
+    order = Window.partitionBy("lk").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    first = kept.select("lk", phrase.alias("phrase"), "a", "l", "r", "score")
     # the first of each part, then of these: a language's phrases don't meet in one task
-    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(F.desc("score"), F.desc("a"), "phrase")
+    parts = Window.partitionBy("lk", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(F.desc("score"), F.desc("a"), "phrase")
     first = first.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= top)
     first = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    n = words.groupBy("lang").agg(F.sum("a").alias("n"))
-    return first.join(n, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    n = words.groupBy("lk", "lang").agg(F.sum("a").alias("n"))
+    return first.join(n, "lk").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def query(docs: DataFrame) -> DataFrame:
