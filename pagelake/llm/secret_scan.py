@@ -4,12 +4,12 @@ Base kinds (assignments, access keys, long hex runs) stand by themselves.
 Other finds are weak: an access identifier, a secret value or an endpoint
 alone is ordinary text.  Within each scope (a block of lines between blank
 lines) the three kinds of weak parts are joined by intervals: a secret is
-completed by an identifier or an endpoint within ``REACH`` code points, and
+completed by an identifier or an endpoint anywhere in its scope, and
 both are reported; an identifier and an endpoint alone are not.  A secret
 inside an endpoint is part of that address: only an identifier completes it,
-and another endpoint is reported when it lies near the two.
+and another endpoint is reported when it is in the scope of the two.
 The interval join works on sorted positions with
-binary search (the nearest part before and after), so a text with very many
+binary search (the part before and after in the scope), so a text with very many
 parts costs n log n and makes no pairs.
 
 Each row is scanned by itself: nothing is shuffled, and a lost task is
@@ -30,8 +30,6 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, slices
 
-REACH = 200
-
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # 18 characters or more
 HEX = re.compile(r"[0-9a-f]{16,}")
@@ -53,8 +51,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _near(a: np.ndarray, b: np.ndarray, reach: int) -> np.ndarray:
-    """For each interval of ``a`` (scope, start, end): is one of ``b`` in its scope at most ``reach`` away and not overlapping it?
+def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each interval of ``a`` (scope, start, end): is one of ``b`` in its scope and not overlapping it?
 
     Intervals of one kind don't overlap each other, so starts and ends are sorted alike, and the last
     that ends before and the first that starts after decide.
@@ -63,12 +61,12 @@ def _near(a: np.ndarray, b: np.ndarray, reach: int) -> np.ndarray:
         return np.zeros(len(a), bool)
     prev = np.searchsorted(b[:, 2], a[:, 1], side="right") - 1
     nxt = np.searchsorted(b[:, 1], a[:, 2], side="left")
-    left = (prev >= 0) & (b[np.maximum(prev, 0), 0] == a[:, 0]) & (a[:, 1] - b[np.maximum(prev, 0), 2] <= reach)
-    right = (nxt < len(b)) & (b[np.minimum(nxt, len(b) - 1), 0] == a[:, 0]) & (b[np.minimum(nxt, len(b) - 1), 1] - a[:, 2] <= reach)
+    left = (prev >= 0) & (b[np.maximum(prev, 0), 0] == a[:, 0])
+    right = (nxt < len(b)) & (b[np.minimum(nxt, len(b) - 1), 0] == a[:, 0])
     return left | right
 
 
-def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH) -> list[tuple[int, int, int]]:
+def linked_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Weak parts that complete each other; strong base finds serve as partners but are not reported again."""
     ids, ends = list(WEAK_ID.finditer(text)), list(ENDPOINT.finditer(text))
     if not ids and not ends and not any(k == 1 for _, k, _ in base):
@@ -89,18 +87,18 @@ def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH
     i, s, p = table(ids, (1,)), table(secrets, (0, 2)), table(ends, ())
     # endpoints don't overlap each other: a secret is apart from all where as many start before its end as end by its start
     free = s[np.searchsorted(p[:, 1], s[:, 2], side="left") == np.searchsorted(p[:, 2], s[:, 1], side="right")]
-    by_end = free[_near(free, p, reach)]
-    i, s = i[_near(i, s, reach)], s[_near(s, i, reach)]
-    p = p[_near(p, free, reach) | _near(p, i, reach) & _near(p, s, reach)]
+    by_end = free[_near(free, p)]
+    i, s = i[_near(i, s)], s[_near(s, i)]
+    p = p[_near(p, free) | _near(p, i) & _near(p, s)]
     s = np.unique(np.concatenate([s, by_end]), axis=0)
     known = {(a, b) for a, _, b in base}
     return [(int(a), k, int(b)) for k, x in ((3, i), (4, s), (5, p)) for _, a, b in x if (int(a), int(b)) not in known]
 
 
-def all_spans(text: str | None, reach: int = REACH) -> tuple[list, list]:
+def all_spans(text: str | None) -> tuple[list, list]:
     text = text or ""
     base = base_spans(text)
-    return base, sorted(base + (linked_spans(text, base, reach)))
+    return base, sorted(base + (linked_spans(text, base)))
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -121,26 +119,26 @@ def redacted(text: str | None, spans: list[tuple[int, int, int]], mark: str = "[
     return "".join(out) + text[at:]
 
 
-def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """doc_id and spans (array of kind, start, end; by start, then kind as listed) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for b in slices(batches, 256):
-            found = [all_spans(t, reach)[1] for t in b.column(1).to_pylist()]
+            found = [all_spans(t)[1] for t in b.column(1).to_pylist()]
             spans = pa.array([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in x] for x in found], kind)
             yield pa.RecordBatch.from_arrays([b.column(0), spans], ["doc_id", "spans"])
 
     return map_rows(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, spans array<struct<kind:string,start:long,end:long>>")
 
 
-def redact(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with all finds replaced in the text; n_chars, where there is such a column, follows. All rows stay."""
     text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 256):
-            texts = pa.array([redacted(t, all_spans(t, reach)[1]) for t in b.column(text_at).to_pylist()], b.column(text_at).type)
+            texts = pa.array([redacted(t, all_spans(t)[1]) for t in b.column(text_at).to_pylist()], b.column(text_at).type)
             cols = [texts if k == text_at else b.column(k) for k in range(b.num_columns)]
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
 
