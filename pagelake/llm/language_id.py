@@ -5,9 +5,8 @@ An unseen word scores by its known character n-grams of the longest order that h
 from 4 down to 1 (word edges count as characters). A text's score is the mean over its words.
 
 The model is fitted on a bounded sample: about ``ROWS`` training rows per language,
-chosen by a hash of id and text, whole texts. Its tables keep the ``WORDS`` most frequent words and the
-``GRAMS`` most frequent n-grams of each order, so its size is bounded. Prediction is one pass over
-all rows without a shuffle.
+chosen by a hash of id and text, whole texts. That bounds its tables, which keep every word and
+n-gram of the sample. Prediction is one pass over all rows without a shuffle.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; a null id counts as the empty text for the
 split; without any training row everything is ``und``.
@@ -26,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, id_crc, map_rows, slices, uniform
 
-ROWS, WORDS, GRAMS, ORDER = 2_000, 200_000, 40_000, 4
-MEMO = 200_000  # unseen words a worker remembers
+ROWS, ORDER = 2_000, 4
+MEMO = 50_000  # unseen words a worker remembers
 WORD_RUN = re.compile(r"[^\W\d_]+")
 
 
@@ -41,35 +40,45 @@ def grams(word: str, n: int) -> list[str]:
     return [w[k : k + n] for k in range(len(w) - n + 1)]
 
 
-def _top(df: DataFrame, name: str, k: int, langs: list[str]) -> dict[str, np.ndarray]:
-    """Log frequencies by language of the k most frequent values (ties by value)."""
+class Table(dict):
+    """Log frequencies by language: value -> row of ``logs``."""
+
+    def __init__(self, values: list[str], logs: np.ndarray):
+        super().__init__(zip(values, range(len(values))))
+        self.logs = logs
+
+    def __reduce__(self):
+        return Table, (list(self), self.logs)
+
+
+def _table(df: DataFrame, name: str, langs: list[str]) -> Table:
+    """Log frequencies by language of all values of the sample."""
     per = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).cast("double").alias(f"n{i}") for i, x in enumerate(langs)]
-    got = df.groupBy(name).agg(F.sum("n").alias("n"), *per).orderBy(F.desc("n"), name).limit(k).toArrow()
-    if not got.num_rows:
-        return {}
+    got = df.groupBy(name).agg(*per).orderBy(name).toArrow()  # bounded by the sample
     counts = np.column_stack([got.column(f"n{i}").to_numpy() for i in range(len(langs))]) + 0.1
-    return dict(zip(got.column(name).to_pylist(), np.log(counts / counts.sum(0))))
+    return Table(got.column(name).to_pylist(), np.log(counts / np.maximum(counts.sum(0), 0.1)).astype(np.float32))
 
 
 class Model:
     """Log frequencies by language for words and for n-grams of each order."""
 
-    def __init__(self, langs: list[str], words: dict[str, np.ndarray], orders: list[dict[str, np.ndarray]]):
+    def __init__(self, langs: list[str], words: Table, orders: list[Table]):
         self.langs, self.words, self.orders, self.memo = langs, words, orders, {}
 
     def __getstate__(self):
         return {"langs": self.langs, "words": self.words, "orders": self.orders, "memo": {}}
 
     def vector(self, word: str) -> np.ndarray:
-        v = self.words.get(word)
-        if v is None:
-            v = self.memo.get(word)
+        at = self.words.get(word)
+        if at is not None:
+            return self.words.logs[at]
+        v = self.memo.get(word)
         if v is None:
-            v = np.zeros(len(self.langs))
+            v = np.zeros(len(self.langs), np.float32)
             for n, table in zip(range(len(self.orders), 0, -1), reversed(self.orders)):
                 known = [table[g] for g in grams(word, n) if g in table]
                 if known:
-                    v = np.mean(known, axis=0)
+                    v = table.logs[known].mean(axis=0, dtype=np.float64).astype(np.float32)
                     break
             if len(self.memo) >= MEMO:
                 self.memo.clear()
@@ -81,19 +90,19 @@ class Model:
         if not count or not self.langs:
             return "und", 0.0
         n = np.fromiter(count.values(), float, len(count))
-        mean = n @ np.array([self.vector(w) for w in count]) / n.sum()
+        mean = n @ np.array([self.vector(w) for w in count], float) / n.sum()
         e = np.exp((mean - mean.max()) * min(n.sum(), 10.0))  # the likelihood of ten words at most: a score that long texts don't push to 1
         best = int(mean.argmax())
         return self.langs[best], float(e[best] / e.sum())
 
 
-def fit(docs: DataFrame, rows: int = ROWS, words: int = WORDS, n_grams: int = GRAMS) -> Model:
+def fit(docs: DataFrame, rows: int = ROWS) -> Model:
     """Model of the rows with a non-null text and lang; about ``rows`` of each language."""
     known = docs.where("lang is not null and text is not null")
     per = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(per)
     if not langs:
-        return Model([], {}, [])
+        return Model([], Table([], np.zeros((0, 0))), [])
     part = F.create_map(*[F.lit(x) for k in langs for x in (k, rows / per[k])])[F.col("lang")]
     sample = known.where(uniform(F.lit("language"), F.col("doc_id"), F.col("text")) < part)
 
@@ -111,8 +120,8 @@ def fit(docs: DataFrame, rows: int = ROWS, words: int = WORDS, n_grams: int = GR
         edged = seen.withColumn("word", F.concat(F.lit(" "), "word", F.lit(" "))) if n > 1 else seen
         at = edged.where(F.length("word") >= n).select("lang", "word", "n", F.explode(F.sequence(F.lit(1), F.length("word") - (n - 1))).alias("k"))
         table = at.groupBy("lang", F.substring("word", F.col("k"), F.lit(n)).alias("gram")).agg(F.sum("n").alias("n"))
-        orders.append(_top(table, "gram", n_grams, langs))
-    return Model(langs, _top(seen, "word", words, langs), orders)
+        orders.append(_table(table, "gram", langs))
+    return Model(langs, _table(seen, "word", langs), orders)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
