@@ -128,27 +128,28 @@ def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, sh
             .withColumn("kept", ~F.col("base_failed") & (F.col("line_words") - F.col("n_removed_words") >= F.lit(rest) * F.col("line_words"))))
 
 
-def clean(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
-    """The rows of ``docs`` that pass, without their removed lines; n_chars, where there is such a column, follows.
+def clean(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, rest: float = REST) -> DataFrame:
+    """The rows of ``docs`` that pass (see ``verdicts``), without their removed lines; n_chars, where there is such a column, follows.
 
-    One join brings verdict and lines to the texts that lose any; base rules and removal are one pass over the rows.
+    One join brings the removed lines to the texts that have any; verdict and removal are one pass over the rows.
     """
-    key, kept, lines = fresh(docs.columns, "key", "kept", "lines")
-    losing = verdicts(docs, host, **limits).where(~F.col("base_failed") & (F.col("n_removed_lines") > 0))
-    losing = cut(losing.groupBy("key").agg(F.first("kept").alias("kept"), F.first("lines").alias("lines")).select(F.col("key").alias(key), F.col("kept").alias(kept), F.when(F.col("kept"), F.col("lines")).alias(lines)))
-    joined = docs.withColumn(key, _key(F.col(host), F.col("text"))).join(broadcast_if_small(losing), key, "left")
-    joined = joined.where(F.coalesce(kept, F.lit(True))).select(*docs.columns, lines)
+    key, words, lines = fresh(docs.columns, "key", "words", "lines")
+    lost = cut(lost_lines(docs, host, min_docs, share).select(F.col("key").alias(key), F.col("n_removed_words").alias(words), F.col("lines").alias(lines)))
+    joined = docs.withColumn(key, _key(F.col(host), F.col("text"))).join(broadcast_if_small(lost), key, "left").select(*docs.columns, words, lines)
     text_at, host_at = docs.columns.index("text"), docs.columns.index(host)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 512):
-            texts, gone = b.column(text_at), b.column(b.num_columns - 1)
-            passed = pa.array([not base_counts(t)[5] for t in texts.to_pylist()], pa.bool_())
+            texts, gone, passed, kept = b.column(text_at), b.column(b.num_columns - 1), [], []
+            hosts = b.column(host_at).to_pylist() if gone.null_count < b.num_rows else [None] * b.num_rows
+            for t, h, n, x in zip(texts.to_pylist(), hosts, b.column(b.num_columns - 2).to_pylist(), gone.to_pylist()):
+                *_, failed, total = base_counts(t)
+                passed.append(not failed and total - (n or 0) >= rest * total)
+                kept.append(without_lines(t, h, set(x)) if x and passed[-1] else t)
             if gone.null_count < b.num_rows:
-                hosts = b.column(host_at).to_pylist()
-                texts = pa.array([without_lines(t, h, set(x)) if x else t for t, h, x in zip(texts.to_pylist(), hosts, gone.to_pylist())], texts.type)
-            cols = [texts if k == text_at else b.column(k) for k in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1]).filter(passed)
+                texts = pa.array(kept, texts.type)
+            cols = [texts if k == text_at else b.column(k) for k in range(b.num_columns - 2)]
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-2]).filter(pa.array(passed, pa.bool_()))
 
     out = map_rows(joined, run, docs.schema)
     if "n_chars" not in docs.columns:
