@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -209,11 +210,28 @@ def test_weak_parts_are_reported_only_together():
     assert kinds("user = alice") == [] and kinds("pwd = hunter22") == [] and kinds("see https://db.example.org/x") == []
     assert kinds("user = alice\npwd = hunter22") == ["linked_id", "linked_secret"]
     assert kinds("host = db.example.org\nuser = alice\npwd = hunter22") == ["linked_endpoint", "linked_id", "linked_secret"]
-    assert kinds("user = alice" + " x" * 200 + " pwd = hunter22") == []  # out of reach
+    assert kinds("user = alice" + " x" * 2500 + " pwd = hunter22") == ["linked_id", "linked_secret"]  # far apart in one scope
     assert kinds("user = alice\n\npwd = hunter22") == []  # another scope
     assert kinds("user = alice\nhttps://db.example.org") == []
 
 
+def test_linking_against_all_pairs():
+    """A weak part is reported if and only if a part of a completing kind is in its scope, by looking at all pairs."""
+    rng = random.Random(21)
+    parts = {"user = alice": 3, "login: bobby": 3, "pwd = hunter22": 4, "auth: zzzzzzzz": 4, "host = db.example.org": 5, "word": None, "other words": None}
+    for _ in range(800):
+        text, at, scope, found = "", 0, 0, []
+        for _ in range(rng.randrange(1, 9)):
+            part = rng.choice(list(parts))
+            if parts[part] is not None:
+                found.append((scope, len(text), len(text) + len(part), parts[part]))
+            gap = rng.choice([" ; ", "\n", "\n\n", " " + "x " * 150])
+            text, scope = text + part + gap, scope + (gap == "\n\n")
+        has = lambda s, k: any(x[0] == s and x[3] == k for x in found)
+        want = [(a, k, b) for s, a, b, k in found if (k == 3 and has(s, 4)) or (k == 4 and (has(s, 3) or has(s, 5))) or (k == 5 and has(s, 4))]
+        assert secret_scan.all_spans(text)[1] == sorted(want), text
+
+
 def test_an_endpoint_completes_a_secret_and_no_sign_is_needed():
     kinds = lambda t: [secret_scan.KINDS[k] for _, k, _ in secret_scan.all_spans(t)[1]]
     assert kinds("host = db.example.org\npwd = hunter22") == ["linked_endpoint", "linked_secret"]
@@ -445,6 +463,19 @@ def test_word_by_word_encoding_is_exact():
     assert e.encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in e.tok.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_encoder_memory_hands_words_on(monkeypatch):
+    import numpy as np
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "MEMO", 30)
+    monkeypatch.setattr(packing, "STORED", 60)
+    e, rng = packing.Encoder(public_tokenizers.path(packing.VOCABULARY)), random.Random(7)
+    for _ in range(60):
+        texts = [" ".join(f"w{min(rng.randrange(400), rng.randrange(400))}" for _ in range(20)) + "\nend" for _ in range(4)]
+        assert e.encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in e.tok.encode_batch(texts, add_special_tokens=False)]
+    assert len(e.older.keys) and len(e.store.keys) + len(e.older.keys) < 300
+
+
 # --- quality rules ---
 
 
@@ -529,10 +560,54 @@ def test_texts_without_a_letter_are_undetermined():
     assert language_id.words_of("½ ² Ⅷ 12 _ ٣ ...") == [] and language_id.words_of("½a 一 x²") == ["½a", "一", "x²"]
 
 
+def test_language_frequencies_against_plain_counts(spark):
+    """Every sampled word and n-gram is known, and each text takes the language that plain counts give."""
+    rng = random.Random(12)
+    signs = {"xx": "abcde", "yy": "cdefg", "zz": "一二三abc"}
+    text = lambda k: " ".join("".join(rng.choice(signs[k]) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 12)))
+    rows = [(k, text(x), x, None, None) for k in range(150) for x in [rng.choice(list(signs))]]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = language_id.fit(docs)  # fewer rows than the sample's bound: all are taken
+    grams = [defaultdict(Counter) for _ in range(5)]  # by order, words at 0
+    for _, t, lang, _, _ in rows:
+        for w in t.split():
+            grams[0][lang][w] += 1
+            for n in range(1, 5):
+                e = f" {w} " if n > 1 else w
+                grams[n][lang].update(e[i : i + n] for i in range(len(e) - n + 1))
+    assert set(model.words) == {w for c in grams[0].values() for w in c}
+    assert [set(t) for t in model.orders] == [{g for c in grams[n].values() for g in c} for n in range(1, 5)]
+    langs = sorted(signs)
+
+    def logs(n, x):
+        values = {g for c in grams[n].values() for g in c}
+        return [math.log((grams[n][k][x] + 0.1) / (sum(grams[n][k].values()) + 0.1 * len(values))) for k in langs]
+
+    def plain(word):
+        if any(word in c for c in grams[0].values()):
+            return logs(0, word)
+        for n in range(4, 0, -1):
+            e = f" {word} " if n > 1 else word
+            known = [logs(n, g) for g in (e[i : i + n] for i in range(len(e) - n + 1)) if any(g in c for c in grams[n].values())]
+            if known:
+                return [sum(x) / len(x) for x in zip(*known)]
+        return [0.0] * len(langs)
+
+    probes = [(k, text(rng.choice(langs)) + " bcx 二q", None, None, None) for k in range(60)]
+    got = {r.doc_id: r for r in language_id.identify(spark.createDataFrame(probes, SCHEMA), model).collect()}
+    for k, t, *_ in probes:
+        w = t.split()
+        mean = [sum(x) / len(w) for x in zip(*map(plain, w))]
+        top = max(range(3), key=lambda i: mean[i])
+        e = [math.exp((m - mean[top]) * min(len(w), 10)) for m in mean]
+        assert got[k].lang_pred == langs[top] and got[k].score == pytest.approx(e[top] / sum(e), abs=1e-4)
+
+
 def test_unseen_words_back_off_to_shorter_grams():
     np = language_id.np
     a, b = np.array([0.0, -5.0]), np.array([-5.0, 0.0])
-    m = language_id.Model(["p", "q"], {"known": a}, [{"z": b}, {}, {"zab": a}, {}])
+    table = lambda **x: language_id.Table(list(x), np.array(list(x.values())).reshape(-1, 2))
+    m = language_id.Model(["p", "q"], table(known=a), [table(z=b), table(), table(zab=a), table()])
     assert m.vector("known").tolist() == a.tolist() and m.vector("zab").tolist() == a.tolist() and m.vector("zoo").tolist() == b.tolist()
     assert m.predict("123 !") == ("und", 0.0) and m.predict("known known zoo")[0] == "p"
 
@@ -573,7 +648,7 @@ def test_rare_toxic_pairs_count_and_no_table_size_changes_a_score(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     labels = spark.createDataFrame([(k, int(300 <= k < 340)) for k in range(600)], "doc_id long, toxic int")
     whole, none_left = toxicity.fit(docs, labels, curve_rows=60)
-    small, rest = toxicity.fit(docs, labels, words=5, pairs=7, curve_rows=60)
+    small, rest = toxicity.fit(docs, labels, keys=12, curve_rows=60)
     assert none_left.count() == 0 and rest.count() > 100
     one, other = ({r.doc_id: (round(r.mean, 9), round(r.peak, 9), round(r.score, 6)) for r in toxicity.score(docs, *x).collect()} for x in ((whole, none_left), (small, rest)))
     assert one == other
@@ -582,6 +657,42 @@ def test_rare_toxic_pairs_count_and_no_table_size_changes_a_score(spark):
     assert got[1] > got[2] + 1
 
 
+def test_toxicity_ratios_against_plain_counts(spark):
+    """Mean and highest ratio of every text, from plain dictionaries of documents by word and pair."""
+    rng = random.Random(8)
+    vocabulary = [f"w{c}" for c in "abcdefghijklmnopqrstuvwxyz"] + ["rage", "spite"]
+    texts = [" ".join(rng.choice(vocabulary[: 26 + 2 * (k % 9 == 0)]) for _ in range(rng.randint(0, 25))) for k in range(200)]
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t in enumerate(texts)], SCHEMA)
+    labels = spark.createDataFrame([(k, int(k % 9 == 0)) for k in range(200)], "doc_id long, toxic int")
+    model, rest = toxicity.fit(docs, labels, keys=9, curve_rows=40)
+    aside = {r.doc_id for r in labels.where(toxicity.uniform(F.lit("curve"), F.col("doc_id")) < min(0.2, 40 / sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(200)))).collect()}
+    used = [k for k in range(200) if zlib.crc32(str(k).encode()) % 5 and k not in aside]
+    count = {n: [Counter(), Counter()] for n in (1, 2)}
+    for k in used:
+        w = texts[k].split()
+        for n in (1, 2):
+            count[n][k % 9 == 0].update({tuple(w[i : i + n]) for i in range(len(w) - n + 1)})
+
+    def ratio(x):
+        tables = count[len(x)]
+        ordinary, toxic = (t[x] for t in tables)
+        if ordinary + toxic < 2:
+            if len(x) > 1:
+                return None
+            ordinary = toxic = 0
+        shared = max((ordinary > 0) + (toxic > 0), 0.5) / (len(tables[0]) + len(tables[1]))
+        logs = [math.log(max(c - 0.75, 0) / sum(t.values()) + 0.75 * len(t) / sum(t.values()) * shared) for c, t in ((ordinary, tables[0]), (toxic, tables[1]))]
+        return logs[1] - logs[0]
+
+    got = {r.doc_id: r for r in toxicity.score(docs, model, rest).collect()}
+    for k, text in enumerate(texts):
+        w = text.split()
+        want = [ratio((w[i],)) if i == 0 or ratio((w[i - 1], w[i])) is None else ratio((w[i - 1], w[i])) - ratio((w[i - 1],)) for i in range(len(w))]
+        assert got[k].mean == pytest.approx(sum(want) / len(want) if want else 0.0)
+        if want:
+            assert got[k].peak == pytest.approx(max(want))
+
+
 # --- pipeline ---
 
 
