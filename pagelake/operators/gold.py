@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from ..functions import is_valid_value, rate_pct
 from ..params import RunParams
-from ..schemas import COLLISION_PREFIX, GOLD_KEYS, GOLD_RESERVED, GOLD_STAMP, UNKNOWN_FIELD
+from ..schemas import COLLISION_PREFIX, GOLD_KEYS, GOLD_MAP, GOLD_RESERVED, GOLD_STAMP, UNKNOWN_FIELD
 from .silver import RECORD_KEYS, first_valid_per_name, parsed_fields, record_field_array
 
-MAP_COLUMN = "fields"
+MAP_COLUMN = GOLD_MAP
 
 
 def field_names(silver: DataFrame, limit: int | None = None) -> list[str]:

@@ -24,6 +24,8 @@ class TableNames:
     gold: str = "gold_curated_data"
     gold_summary: str = "gold_data_summary"
     run_log: str = "pipeline_run_log"
+    extracts: str = "page_extracts"  # of a run that has not landed yet
+    quarantine: str = "page_quarantine"
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,9 @@ one layer), and lets Spark prune to the run's files.
 
 Plan shape per layer (no driver collection except the gold field names):
 
-* bronze: scan pages -> mapInArrow parse -> project -> write.  No shuffle.
+* scrape: scan pages -> mapInArrow parse -> write records and errors.  No shuffle (pages that
+  occur twice are found by one count over their ids and urls).
+* bronze: scan the run's scrape table -> project -> write; errors -> quarantine and run log.
 * silver: scan bronze(run) -> parse/clean/dedup inside each row ->
   explode -> write.  No shuffle.
 * gold names: scan silver(run) [field_name, is_valid] -> distinct (partial
@@ -25,7 +27,7 @@ import logging
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
@@ -34,10 +36,10 @@ from ..operators.gold import column_plan, curated_map, curated_map_in_row, curat
 from ..operators.silver import SILVER_COLUMNS, to_silver
 from ..params import RunParams, mode_for
 from ..schemas import (
-    BRONZE_SCHEMA, GOLD_KEYS, GOLD_STAMP, SILVER_SCHEMA, SUMMARY_SCHEMA, column_names)
-from ..sources.extract import extract_records
+    BRONZE_SCHEMA, GOLD_KEYS, GOLD_STAMP, SILVER_SCHEMA, SUMMARY_SCHEMA, TAGGED_SCHEMA, column_names)
+from ..sources.extract import distinct_pages, extract_tagged, quarantined, records_only, stamp_records
 from ..sources.tables import TableStore
-from .runlog import RunLog
+from .runlog import RunLog, append_failed_pages
 
 log = logging.getLogger("pagelake.medallion")
 
@@ -53,30 +55,21 @@ class MedallionResult:
     field_names: list[str]
     counts: dict = field(default_factory=dict)
     seconds: dict = field(default_factory=dict)
+    quarantined: int = 0  # pages that gave no records because of an error
 
 
 def _guard(runlog: RunLog, layer: str, fn, seconds: dict):
-    """Run one layer; on failure write the log (with a ``failed`` row),
-    then re-raise.  In the bronze job an error raised by the page parser
-    (a Python worker error) is logged as a ``scrape`` failure."""
+    """Run one layer; on failure write the log (with a ``failed`` row), then re-raise."""
     try:
         t0 = time.time()
         out = fn()
         seconds[layer] = round(time.time() - t0, 3)
         return out
     except Exception as exc:  # noqa: BLE001 - logged and re-raised
-        runlog.failed(failed_layer(layer, exc), f"{type(exc).__name__}: {exc}")
+        runlog.failed(layer, f"{type(exc).__name__}: {exc}")
         raise
 
 
-def failed_layer(layer: str, exc: BaseException) -> str:
-    """Layer to blame: a Python worker error in the bronze job comes from
-    the page parser, i.e. the scrape step."""
-    if layer == "bronze" and "PythonException" in f"{type(exc).__name__} {exc}":
-        return "scrape"
-    return layer
-
-
 GOLD_FORMS = ("wide", "map")
 
 
@@ -101,9 +94,17 @@ def gold_schema(names: list[str]) -> StructType:
 
 def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, store: TableStore,
                   in_row_gold: bool = True, records: DataFrame | None = None,
-                  gold_form: str = "wide", parse_tasks: int | None = None) -> MedallionResult:
+                  gold_form: str = "wide", parse_tasks: int | None = None, max_page_chars: int | None = None,
+                  unique_pages: bool = False) -> MedallionResult:
     """Run all layers for ``pages`` (``page_id, url, html``).
 
+    Pages are parsed once, into a scrape table of the run: records and, for pages that can't be parsed (no HTML,
+    longer than ``max_page_chars``, beyond the parser), errors.  Records go on to bronze; errors go to the quarantine table, and each
+    of these pages gets a ``failed`` row in the run log under its url.  The others' run goes on.  The scrape table goes once both are written.
+
+    Pages whose (page_id, url) occurs more than once are told apart (``distinct_pages``), unless
+    ``unique_pages`` says that there are none.
+
     ``gold_form``: ``wide`` (one column per field name; raises above
     ``spark.sql.pivotMaxValues`` names) or ``map`` (one map column, no limit).
     Appending runs replace their own rows, so a retry leaves one copy.
@@ -121,10 +122,28 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     seconds: dict[str, float] = {}
     runlog = RunLog(store, params)
 
+    recs, n_bad = records, 0
+    if records is None:
+        def scrape():
+            src = pages if unique_pages else distinct_pages(pages)
+            tagged = extract_tagged(src, tasks=parse_tasks, max_chars=max_page_chars)
+            bad = Observation("quarantined")
+            store.write(tagged.observe(bad, F.count_if(F.col("error").isNotNull()).alias("n")), t.extracts, "replace_run", run_id=params.run_id)
+            return int(bad.get.get("n") or 0)
+
+        n_bad = _guard(runlog, "scrape", scrape, seconds)
+        tagged = store.read(t.extracts, run_id=params.run_id, columns=column_names(TAGGED_SCHEMA), schema=TAGGED_SCHEMA)
+        recs = stamp_records(records_only(tagged), params)
+
     def bronze_layer():
-        recs = records if records is not None else extract_records(pages, params, tasks=parse_tasks)
-        return store.write(to_bronze(recs, params), t.bronze, run_mode("bronze", params.load_mode),
-                           run_id=params.run_id)
+        n = store.write(to_bronze(recs, params), t.bronze, run_mode("bronze", params.load_mode), run_id=params.run_id)
+        if n_bad:
+            bad = quarantined(tagged, params)
+            store.write(bad, t.quarantine, "replace_run", run_id=params.run_id)
+            append_failed_pages(store, params, bad)
+        if records is None:
+            store.drop_run(t.extracts, params.run_id)
+        return n
 
     counts["bronze"] = _guard(runlog, "bronze", bronze_layer, seconds)
     if counts["bronze"] == 0:
@@ -163,4 +182,4 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
                       schema=gold_schema(names) if wide else None)
     summary = store.read(t.gold_summary, run_id=params.run_id, columns=column_names(SUMMARY_SCHEMA),
                          schema=SUMMARY_SCHEMA)
-    return MedallionResult(params, store, bronze, silver, gold, summary, names, counts, seconds)
+    return MedallionResult(params, store, bronze, silver, gold, summary, names, counts, seconds, n_bad)

@@ -301,6 +301,20 @@ def oracle_queries() -> dict[str, str]:
              CAST(row_index AS INTEGER) AS row_index, CAST(field_pos AS INTEGER) AS field_pos,
              field_key, field_value
       FROM ({EXTRACT_RULES})"""
+    long_page = "(page_id % 11 = 0 OR length(html) + CASE WHEN page_id % 5 = 0 THEN 13 ELSE 0 END > 150000)"
+    reason = f"CASE WHEN page_id % 7 = 0 OR html IS NULL THEN 'no html' WHEN {long_page} THEN 'longer than 150000 characters' END"
+    q["extract_quarantine"] = f"""
+      WITH told AS (SELECT page_id, url, html, {reason} AS error FROM pages),
+      pages AS (SELECT page_id, url, CASE WHEN error IS NULL THEN html END AS html FROM told)
+      SELECT 'quarantine' AS part, '{RUN}' AS run_id, url AS source_url, CAST(page_id AS VARCHAR) AS item, error AS detail, CAST(1 AS BIGINT) AS n FROM told WHERE error IS NOT NULL
+      UNION ALL SELECT 'log', '{RUN}', url, 'scrape', CAST(page_id AS VARCHAR) || ': ' || error, 1 FROM told WHERE error IS NOT NULL
+      UNION ALL SELECT 'records', '{RUN}', source_url, record_type, '', CAST(count(*) AS BIGINT)
+        FROM (SELECT DISTINCT page_id, source_url, record_type, row_index FROM ({PAGE_FIELDS})) GROUP BY source_url, record_type"""
+    every = f"SELECT source_url, CAST(2 * count(*) AS BIGINT) AS n FROM (SELECT DISTINCT page_id, source_url, record_type, row_index FROM ({PAGE_FIELDS})) GROUP BY source_url"
+    with_valid = f"SELECT source_url, CAST(2 * count(*) AS BIGINT) AS n FROM (SELECT DISTINCT record_id, source_url FROM ({page_silver_full}) WHERE is_valid) GROUP BY source_url"
+    q["repeated_pages_forms"] = " UNION ALL ".join(
+        f"SELECT '{form}' AS form, source_url, n FROM ({rows})" for form, rows in (
+            *((f, with_valid) for f in ("in_row", "pivot", "keys_join", "map", "relational_silver")), *((f, every) for f in ("summary_in_row", "summary_relational", "bronze_rows"))))
     q["records_union"] = f"""
       SELECT record_type, CAST(count(*) AS BIGINT) AS record_count
       FROM (SELECT DISTINCT page_id, record_type, row_index FROM ({PAGE_FIELDS})) GROUP BY record_type"""
@@ -403,6 +417,7 @@ def oracle_queries() -> dict[str, str]:
       UNION ALL
       SELECT 'run-0002', {cust_rid('batch-0002')}, {gold_value('c_name')}, CAST(NULL AS VARCHAR),
              {gold_value(dec2('c_acctbal'))} FROM customer"""
+    q["catalog_drift"] = q["sink_schema_drift"]
     n_rec = f"(SELECT count(*) FROM (SELECT DISTINCT page_id, record_type, row_index FROM ({PAGE_FIELDS})))"
     n_sil = f"(SELECT count(*) FROM ({PAGE_SILVER}))"
     n_gold = f"(SELECT count(*) FROM ({PAGE_GOLD}))"

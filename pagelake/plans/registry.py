@@ -19,7 +19,7 @@ from ..operators.silver import quality_counts, to_silver, to_silver_relational
 from ..params import RunParams
 from ..schemas import BRONZE_SCHEMA
 from ..session import scratch_dir
-from ..sources.extract import extract_raw, extract_records, payload_records
+from ..sources.extract import distinct_pages, extract_raw, extract_records, payload_records
 from ..sources.tables import TableStore, encode_complex, register_tables
 from .medallion import run_medallion
 from .runlog import read_log
@@ -177,6 +177,45 @@ def q_extract_rules(spark, sf_dir):
         F.col("col.content_values").alias("field_value"))
 
 
+BROKEN = "<![bad[ <p>x"  # a marked section that HTML doesn't know
+LONG_PAGE = 150_000
+
+
+def broken_pages(spark, sf_dir) -> DataFrame:
+    """The pages with every 7th without HTML, every 11th beyond the length limit, and every 5th of the others ending in broken markup."""
+    p, k = _t(spark, sf_dir, "pages"), F.col("page_id")
+    html = (F.when(k % 7 == 0, F.lit(None)).when(k % 11 == 0, F.concat("html", F.repeat(F.lit(" "), LONG_PAGE)))
+            .when(k % 5 == 0, F.concat("html", F.lit(BROKEN))).otherwise(F.col("html")))
+    return p.withColumn("html", html)
+
+
+def q_extract_quarantine(spark, sf_dir):
+    """A run over pages of which some can't be parsed: the quarantine, the run log's rows of it, and the others' records, unchanged."""
+    store = _store(spark, "quarantine")
+    res = run_medallion(spark, broken_pages(spark, sf_dir), P, store, max_page_chars=LONG_PAGE)
+    bad = store.read(P.tables.quarantine).select(F.lit("quarantine").alias("part"), "run_id", "source_url", F.col("page_key").alias("item"), F.col("error").alias("detail"), F.lit(1).cast("long").alias("n"))
+    log = read_log(store, P).where("status = 'failed'").select(F.lit("log").alias("part"), "run_id", "source_url", F.col("layer").alias("item"), F.col("message").alias("detail"), F.lit(1).cast("long").alias("n"))
+    kept = res.bronze.groupBy("run_id", "source_url", F.col("record_type").alias("item")).agg(F.count_distinct("record_id").alias("n"))
+    return bad.unionByName(log).unionByName(kept.select(F.lit("records").alias("part"), "run_id", "source_url", "item", F.lit("").alias("detail"), "n"))
+
+
+def q_repeated_pages_forms(spark, sf_dir):
+    """Every page given twice: records and gold rows of each url, by every form of gold and both summaries."""
+    pages = _t(spark, sf_dir, "pages")
+    b = _landed(spark, "repeated_pages", extract_records(distinct_pages(pages.unionByName(pages)), P))
+    s = to_silver(b, P)
+    names = G.field_names(s)
+    forms = [("in_row", G.curated_wide_in_row(b, P, names)), ("pivot", G.curated_wide(s, P, names)), ("keys_join", G.curated_wide_keys_join(s, P, names)),
+             ("map", G.curated_map(s, P)), ("relational_silver", to_silver_relational(b, P).where("is_valid"))]
+    parts = [g.groupBy("source_url").agg(F.count_distinct("record_id").alias("n")).select(F.lit(form).alias("form"), "source_url", "n") for form, g in forms]
+    parts += [x.select(F.lit(form).alias("form"), "source_url", F.col("total_records").alias("n")) for form, x in (("summary_in_row", G.run_summary_in_row(b, P)), ("summary_relational", G.run_summary(s, P)))]
+    parts += [b.groupBy("source_url").agg(F.count(F.lit(1)).alias("n")).select(F.lit("bronze_rows").alias("form"), "source_url", "n")]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def q_records_union(spark, sf_dir):
     recs = extract_records(_t(spark, sf_dir, "pages"), P)
     return V.record_type_counts(to_bronze(recs, P))
@@ -445,20 +484,40 @@ def q_sink_roundtrip(spark, sf_dir):
         "run_id", "record_id", "field_name", "field_value_clean", "field_value_numeric")
 
 
-def q_sink_schema_drift(spark, sf_dir):
-    """Two runs whose gold tables have different columns, appended to one
-    table and read back with schema merging."""
+def _drifting(spark, sf_dir, store: TableStore, after=lambda: None) -> None:
+    """Two runs whose gold tables have different columns, appended to one table."""
     c = _t(spark, sf_dir, "customer")
-    store = _store(spark, "sink_drift")
     p1 = F.create_map(F.lit("name"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment"))
     p2 = F.create_map(F.lit("name"), F.col("c_name"),
                       F.lit("acctbal"), F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
     for prm, pay in ((P, p1), (P2, p2)):
         s = to_silver(_landed(spark, "sink_drift_bronze", payload_records(c, prm, "c_custkey", pay, "customer", "row"), prm), prm)
         store.write(G.curated_wide(s, prm), "gold", "append", run_id=prm.run_id)
+        after()
+
+
+def q_sink_schema_drift(spark, sf_dir):
+    """Two runs of different columns, read back with schema merging."""
+    store = _store(spark, "sink_drift")
+    _drifting(spark, sf_dir, store)
     return store.read("gold", merge_schema=True).select("run_id", "record_id", "name", "segment", "acctbal")
 
 
+def _from_catalog(spark, name: str, database: str, statement: str) -> DataFrame:
+    """What a statement over a database's tables gives, written and read back; the database (not its files) goes."""
+    path = scratch_dir(spark, name)
+    spark.sql(statement).write.parquet(path)
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return spark.read.parquet(path)
+
+
+def q_catalog_drift(spark, sf_dir):
+    """The same two runs through the catalog, registered after each: the table has the columns of both."""
+    store, database = _store(spark, "catalog_drift"), f"pagelake_{uuid.uuid4().hex[:12]}"
+    _drifting(spark, sf_dir, store, lambda: register_tables(spark, store, database, {"gold": "gold"}))
+    return _from_catalog(spark, "catalog_drift_rows", database, f"SELECT run_id, record_id, name, segment, acctbal FROM `{database}`.gold")
+
+
 def _medallion(spark, sf_dir, name="medallion", params=P):
     store = _store(spark, name)
     return run_medallion(spark, _t(spark, sf_dir, "pages"), params, store)
@@ -502,7 +561,7 @@ def q_catalog_tables(spark, sf_dir):
     names = [P.tables.bronze, P.tables.silver, P.tables.gold, P.tables.gold_summary, P.tables.run_log]
     database = f"pagelake_{uuid.uuid4().hex[:12]}"
     register_tables(spark, res.store, database, dict(zip(names, names)))
-    return spark.sql(" UNION ALL ".join(
+    return _from_catalog(spark, "catalog_rows", database, " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, {len(spark.table(f'{database}.{n}').columns)} AS n_columns, count(*) AS row_count FROM `{database}`.`{n}`"
         for n in names))
 
@@ -591,6 +650,8 @@ QUERIES = {
     "extract_metadata": q_extract_metadata,
     "extract_table_rows": q_extract_table_rows,
     "extract_rules": q_extract_rules,
+    "extract_quarantine": q_extract_quarantine,
+    "repeated_pages_forms": q_repeated_pages_forms,
     "records_union": q_records_union,
     "bronze_land": q_bronze_land,
     "bronze_pages": q_bronze_pages,
@@ -624,6 +685,7 @@ QUERIES = {
     "run_log_failed": q_run_log_failed,
     "sink_append_twice": q_sink_append_twice,
     "catalog_tables": q_catalog_tables,
+    "catalog_drift": q_catalog_drift,
     "sink_mode_rules": q_sink_mode_rules,
     "end_to_end_gold": q_end_to_end_gold,
     "view_layer_stats": q_view_layer_stats,

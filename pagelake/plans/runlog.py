@@ -8,6 +8,7 @@ the failure), so the log never misses an event that happened.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..params import RunParams
 from ..schemas import LAYERS, RUN_LOG_SCHEMA
@@ -37,6 +38,13 @@ def append_log(store: TableStore, params: RunParams, events: list[tuple[str, str
     rows.coalesce(1).write.mode("append").format("parquet").save(store.path(params.tables.run_log))
 
 
+def append_failed_pages(store: TableStore, params: RunParams, bad: DataFrame) -> None:
+    """One ``failed`` scrape row per quarantined page, under the page's url; written where the pages are."""
+    rows = bad.select("run_id", F.lit(params.run_timestamp).alias("run_timestamp"), "source_url", F.lit("scrape").alias("layer"),
+                      F.lit("failed").alias("status"), F.lit(0).cast("long").alias("row_count"), F.concat_ws(": ", "page_key", "error").alias("message"))
+    rows.write.mode("append").format("parquet").save(store.path(params.tables.run_log))
+
+
 class RunLog:
     """Buffered audit rows of one run."""
 

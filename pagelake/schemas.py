@@ -32,6 +32,7 @@ COLLISION_PREFIX = "field_"
 RECORD_TYPES = ("table_row", "paragraph", "link", "metadata")
 # Layers written to the run log.
 LAYERS = ("scrape", "bronze", "silver", "gold")
+# The tables' columns in their order (RECORD_SCHEMA to RUN_LOG_SCHEMA, GOLD_KEYS, GOLD_STAMP below) are fixed values too.
 # ---------------------------------------------------------------------------
 
 PAYLOAD_MAP = MapType(StringType(), StringType())
@@ -48,6 +49,18 @@ EXTRACT_SCHEMA = StructType([
     StructField("content_values", ArrayType(StringType()), True),
 ])
 
+# The same with the error of a page that gives no records (all else but its key and url is null then).
+TAGGED_SCHEMA = StructType([*EXTRACT_SCHEMA.fields, StructField("error", StringType(), True)])
+
+# Pages that gave no records, and why.
+QUARANTINE_SCHEMA = StructType([
+    StructField("run_id", StringType(), True),
+    StructField("page_key", StringType(), True),
+    StructField("source_url", StringType(), True),
+    StructField("error", StringType(), True),
+    StructField("quarantined_at", TimestampType(), True),
+])
+
 RECORD_SCHEMA = StructType([
     StructField("record_id", StringType(), False),
     StructField("record_type", StringType(), True),
@@ -96,7 +109,9 @@ GOLD_KEYS = (
     "source_url", "scraped_at", "run_id",
 )
 GOLD_STAMP = "gold_loaded_at"
-GOLD_RESERVED = frozenset(GOLD_KEYS + (GOLD_STAMP,))
+# The map form's one column; reserved in the wide form too, so that runs of both forms can share a table.
+GOLD_MAP = "fields"
+GOLD_RESERVED = frozenset(GOLD_KEYS + (GOLD_STAMP, GOLD_MAP))
 
 SUMMARY_SCHEMA = StructType([
     StructField("run_id", StringType(), True),

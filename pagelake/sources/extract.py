@@ -2,7 +2,7 @@
 
 ``extract_records`` parses each page in a ``mapInArrow`` task (Arrow
 batches in and out, no pandas, no shuffle); everything after the parse is
-native.
+native.  A page that can't be parsed becomes a row with its error, beside the records of the others.
 ``payload_records`` turns any table with a JSON (or map/struct) payload
 into the same record shape, so every later layer works on both.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import record_id
 from ..params import RunParams
-from ..schemas import EXTRACT_SCHEMA, PAGES_SCHEMA, PAYLOAD_MAP, RECORD_TYPES, column_names
+from ..schemas import EXTRACT_SCHEMA, PAGES_SCHEMA, PAYLOAD_MAP, RECORD_TYPES, TAGGED_SCHEMA, column_names
 from ..session import ship_package
 
 log = logging.getLogger("pagelake.extract")
@@ -43,16 +43,17 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     raise ValueError(f"unknown pages format {fmt!r}")
 
 
-def _extract_batches(batches, kinds=RECORD_TYPES):
-    """Arrow batches of pages in, Arrow batches of records out (at most
+def _extract_batches(batches, kinds=RECORD_TYPES, max_chars=None):
+    """Arrow batches of pages in, Arrow batches of tagged records out (at most
     ``_OUT_BATCH`` records each, so output batches stay bounded however many
-    records the pages hold)."""
+    records the pages hold).  A page without HTML, longer than ``max_chars`` or beyond
+    the parser gives one row with the error instead of records."""
     import pyarrow as pa
 
     from .html_records import extract
 
     schema = _arrow_schema()
-    cols: list[list] = [[] for _ in _EXTRACT_COLS]
+    cols: list[list] = [[] for _ in schema.names]
 
     def flush():
         batch = pa.RecordBatch.from_arrays(
@@ -61,13 +62,25 @@ def _extract_batches(batches, kinds=RECORD_TYPES):
             c.clear()
         return batch
 
+    def rows_of(html):
+        if html is None:
+            return [], "no html"
+        if max_chars is not None and len(html) > max_chars:
+            return [], f"longer than {max_chars} characters"
+        try:
+            return extract(html, kinds), None
+        except Exception as exc:  # noqa: BLE001 - one page must not end the others' run
+            return [], f"{type(exc).__name__}: {exc}"
+
     for rb in batches:
         d = rb.to_pydict()
         for key, url, html in zip(d["page_key"], d["source_url"], d["html"]):
-            if html is None:
-                continue
-            for seq, (rtype, t_idx, r_idx, keys, values) in enumerate(extract(html, kinds)):
-                for c, v in zip(cols, (key, url, rtype, t_idx, r_idx, seq, keys, values)):
+            records, error = rows_of(html)
+            if error is not None:
+                records = [(None, None, None, None, None)]
+            for seq, record in enumerate(records):
+                rtype, t_idx, r_idx, keys, values = record
+                for c, v in zip(cols, (key, url, rtype, t_idx, r_idx, seq if error is None else None, keys, values, error)):
                     c.append(v)
                 if len(cols[0]) >= _OUT_BATCH:
                     yield flush()
@@ -81,18 +94,21 @@ def _arrow_schema():
     return pa.schema([
         ("page_key", pa.string()), ("source_url", pa.string()), ("record_type", pa.string()),
         ("table_index", pa.int32()), ("row_index", pa.int32()), ("extract_seq", pa.int32()),
-        ("content_keys", pa.list_(pa.string())), ("content_values", pa.list_(pa.string())),
+        ("content_keys", pa.list_(pa.string())), ("content_values", pa.list_(pa.string())), ("error", pa.string()),
     ])
 
 
-def extract_raw(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                html_col: str = "html", kinds=RECORD_TYPES, tasks: int | None = None) -> DataFrame:
-    """One row per extracted element, schema ``EXTRACT_SCHEMA``.
+def extract_tagged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+                   kinds=RECORD_TYPES, tasks: int | None = None, max_chars: int | None = None) -> DataFrame:
+    """One row per extracted element and one per page that gave none because of an error: ``TAGGED_SCHEMA``.
+
+    Write it before splitting it (``run_medallion`` does), so that every page is parsed once.
 
     ``kinds``: the record types to build; the others are neither built nor sent back.
     ``tasks``: parse in that many tasks after a round-robin shuffle of the pages, for a few small files that
     arrive in fewer splits than there are cores. By default every scan split is one parse task and nothing is
     shuffled; on a large table a lower ``spark.sql.files.maxPartitionBytes`` gives more tasks.
+    ``max_chars``: longer pages are errors.
     """
     src = pages.select(
         F.col(id_col).cast("string").alias("page_key"),
@@ -102,7 +118,23 @@ def extract_raw(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     ship_package(pages.sparkSession)
     src = src.repartition(tasks) if tasks else src
     kinds = tuple(kinds)
-    return src.mapInArrow(lambda batches: _extract_batches(batches, kinds), EXTRACT_SCHEMA)
+    return src.mapInArrow(lambda batches: _extract_batches(batches, kinds, max_chars), TAGGED_SCHEMA)
+
+
+def extract_raw(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
+                html_col: str = "html", kinds=RECORD_TYPES, tasks: int | None = None) -> DataFrame:
+    """One row per extracted element, schema ``EXTRACT_SCHEMA``; pages with an error give none (see ``extract_tagged``)."""
+    return records_only(extract_tagged(pages, id_col, url_col, html_col, kinds, tasks))
+
+
+def records_only(tagged: DataFrame) -> DataFrame:
+    return tagged.where("error is null").select(*_EXTRACT_COLS)
+
+
+def quarantined(tagged: DataFrame, params: RunParams) -> DataFrame:
+    """The pages that gave no records, with their errors (``QUARANTINE_SCHEMA``)."""
+    return tagged.where("error is not null").select(
+        F.lit(params.run_id).alias("run_id"), "page_key", "source_url", "error", params.run_ts_col().alias("quarantined_at"))
 
 
 def extract_records(pages: DataFrame, params: RunParams, id_col: str = "page_id",
@@ -110,8 +142,8 @@ def extract_records(pages: DataFrame, params: RunParams, id_col: str = "page_id"
     """Pages -> records ``(record_id, record_type, table_index, row_index,
     content map, source_url, scraped_at, batch_id)``.
 
-    Record ids hash ``(page_id, url)`` and the place in the page: ids are unique if those pairs are
-    (``repeated_pages`` lists the others).
+    Record ids hash the page id, the url and the place in the page: ids are unique if those pairs are
+    (``distinct_pages`` makes them so).
     """
     raw = extract_raw(pages, id_col, url_col, html_col, tasks=tasks)
     return stamp_records(raw, params)
@@ -122,6 +154,36 @@ def repeated_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     return pages.groupBy(id_col, url_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+COPIES = 256  # copies of a page that one row stands for at most
+
+
+def distinct_pages(pages: DataFrame, copies: int = COPIES) -> DataFrame:
+    """``pages`` (page_id, url, html) with ids that tell repeated pages apart, so that record ids are unique.
+
+    A page whose (page_id, url) occurs once keeps its id, as text.  Any other gets a content-addressed one:
+    ``<page_id>#<start of the SHA-256 of its html>#<occurrence>``.  Occurrences are numbered in two steps without a
+    window: equal pages fold on the map side into one row with their number; the row is split into runs of at most ``copies``, which are
+    dealt out evenly, and each run lists its occurrences.  So a page that makes up a third of the table is one
+    key of a partial count, and its copies are spread over all tasks.
+
+    One scan of the two key columns finds the repeated pairs; without any, the pages go on unchanged.
+    """
+    pages = pages.select("page_id", "url", "html")
+    again = repeated_pages(pages).drop("n")
+    single = pages.withColumn("page_id", F.col("page_id").cast("string"))
+    if again.isEmpty():
+        return single
+    same = F.expr("p.page_id <=> a.page_id and p.url <=> a.url")
+    met = pages.alias("p").join(again.alias("a"), same, "left_semi")
+    folded = met.groupBy("page_id", "url", F.sha2(F.coalesce("html", F.lit("")), 256).alias("sha"), F.isnull("html").alias("bare")).agg(F.first("html").alias("html"), F.count(F.lit(1)).alias("n"))
+    runs = folded.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(copies).cast("long"))))
+    spread = runs.repartition(met.sparkSession.sparkContext.defaultParallelism, "sha", "lo")
+    each = spread.withColumn("k", F.explode(F.sequence("lo", F.least(F.col("lo") + copies, F.col("n")) - 1)))
+    key = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("#"), F.when(F.col("bare"), "none").otherwise(F.substring("sha", 1, 16)), F.lit("#"), F.col("k").cast("string"))
+    rest = pages.alias("p").join(again.alias("a"), same, "left_anti").withColumn("page_id", F.col("page_id").cast("string"))
+    return rest.unionByName(each.select(key.alias("page_id"), "url", "html"))
+
+
 def stamp_records(raw: DataFrame, params: RunParams) -> DataFrame:
     batch = F.lit(params.batch_id)
     return raw.select(
@@ -196,6 +258,10 @@ def content_json(content: Column) -> Column:
 __all__ = [
     "PAYLOAD_MAP",
     "content_json",
+    "distinct_pages",
+    "extract_tagged",
+    "quarantined",
+    "records_only",
     "records_from_dicts",
     "extract_raw",
     "extract_records",

@@ -107,6 +107,11 @@ class TableStore:
             if child.getName().startswith(f"{PARTITION_COLUMN}=") and child.getName() != keep:
                 fs.delete(child, True)
 
+    def drop_run(self, name: str, run_id: str) -> None:
+        """Remove one run's partition folder."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.partition_path(name, run_id))
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def partition_path(self, name: str, run_id: str) -> str:
         esc = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog \
             .ExternalCatalogUtils.escapePathName(run_id)
@@ -150,19 +155,46 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
 
+def _ddl(field: StructField) -> str:
+    return f"`{field.name.replace('`', '``')}` {field.dataType.simpleString()}"
+
+
 def register_tables(spark: SparkSession, store: TableStore, database: str,
                     names: dict[str, str]) -> None:
-    """Expose layer folders as catalog tables (``CREATE TABLE ... USING
-    parquet LOCATION``) so BI SQL can query them by name."""
+    """Expose layer folders as catalog tables so BI SQL can query them by name.
+
+    Call it after every run: a table gets the columns of all its runs.  The first call creates it with the merged schema of its
+    files (``CREATE TABLE ... USING parquet LOCATION``); later calls compare that schema with the catalog's and add what is
+    missing (``ALTER TABLE ... ADD COLUMNS``), which null-fills the runs without it.  A column whose type changed raises.
+    """
     ensure_database(spark, database)
     for name in names.values():
-        if store.exists(name):
-            full = f"`{database}`.`{name}`"
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{store.path(name)}'")
-            cols = spark.catalog.listColumns(f"{database}.{name}")
-            if any(c.isPartition for c in cols):
-                spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
-            spark.sql(f"REFRESH TABLE {full}")
+        if not store.exists(name):
+            continue
+        full = f"`{database}`.`{name}`"
+        fields = store.read(name, merge_schema=True).schema.fields
+        parted = any(f.name == PARTITION_COLUMN for f in fields) and _partitioned(store, name)
+        if not spark.catalog.tableExists(f"{database}.{name}"):
+            by = f" PARTITIONED BY (`{PARTITION_COLUMN}`)" if parted else ""
+            spark.sql(f"CREATE TABLE {full} ({', '.join(map(_ddl, fields))}) USING parquet{by} LOCATION '{store.path(name)}'")
+        else:
+            known = {f.name.lower(): f.dataType for f in spark.table(full).schema.fields}
+            changed = [f.name for f in fields if known.get(f.name.lower(), f.dataType) != f.dataType]
+            if changed:
+                raise ValueError(f"table {full}: columns {changed} changed their type")
+            new = [f for f in fields if f.name.lower() not in known]
+            if new:
+                spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({', '.join(map(_ddl, new))})")
+        if parted:
+            spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+        spark.sql(f"REFRESH TABLE {full}")
+
+
+def _partitioned(store: TableStore, name: str) -> bool:
+    """Does the table have run folders?"""
+    root = store.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store.path(name))
+    fs = root.getFileSystem(store.spark.sparkContext._jsc.hadoopConfiguration())
+    return any(s.getPath().getName().startswith(f"{PARTITION_COLUMN}=") for s in fs.listStatus(root))
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,

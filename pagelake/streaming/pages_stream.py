@@ -10,6 +10,8 @@ attempt).  The checkpoint location must be on shared storage.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,7 +22,9 @@ from ..sources.tables import TableStore
 
 
 def batch_params(base: RunParams, batch_id: int) -> RunParams:
-    return base.with_(run_id=f"{base.run_id}-b{batch_id:06d}", batch_id=f"{base.batch_id}-b{batch_id:06d}")
+    """Ids and load stamp of a micro-batch: both follow from the batch id, so a replay repeats them and a later batch is a later load."""
+    return base.with_(run_id=f"{base.run_id}-b{batch_id:06d}", batch_id=f"{base.batch_id}-b{batch_id:06d}",
+                      run_ts=base.run_ts + timedelta(seconds=batch_id))
 
 
 def process_batch(batch: DataFrame, batch_id: int, base: RunParams, store: TableStore) -> None:
@@ -35,6 +39,8 @@ def start_pages_stream(spark: SparkSession, source_dir: str, store: TableStore,
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream.  ``available_now`` processes what is there and
     stops; otherwise ``processing_time`` (e.g. ``'1 minute'``) polls."""
+    if base.load_mode == "overwrite":
+        raise ValueError("a stream appends: with load_mode='overwrite' each micro-batch would delete the ones before")
     reader = spark.readStream.schema(PAGES_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -106,7 +106,7 @@ def test_failing_extraction_is_logged(spark, store):
     with pytest.raises(Exception):
         run_medallion(spark, bad, P1, store)
     rows = [(r.layer, r.status) for r in read_log(store, P1).collect()]
-    assert rows == [("bronze", "failed")]
+    assert rows == [("scrape", "failed")]
 
 
 def test_catalog_registration(spark, store, sample_pages):
@@ -188,18 +188,6 @@ def test_command_line(spark, tmp_path, capsys):
     assert store_root.exists()
 
 
-def test_failure_classification():
-    from pagelake.plans.medallion import failed_layer
-
-    class PythonException(Exception):
-        pass
-
-    assert failed_layer("bronze", PythonException("boom")) == "scrape"
-    assert failed_layer("bronze", RuntimeError("org.apache.spark.api.python.PythonException: x")) == "scrape"
-    assert failed_layer("bronze", RuntimeError("disk full")) == "bronze"
-    assert failed_layer("silver", PythonException("boom")) == "silver"
-
-
 def test_empty_input_runs_through(spark, store):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     res = run_medallion(spark, empty, P1, store)
