@@ -4,7 +4,7 @@ A text is cut into pieces and these into words.  The sorted occurrence relation
 to the shared folder once, in blocks: the words of some texts of one language in order, as codes into the block's own
 list of distinct words, zero between pieces.  Then, for each length k:
 
-* semi-join: occurrences whose (k-1)-word group is not frequent are dropped (words at k = 2);
+* semi-join: occurrences whose (k-1)-word group is not frequent are dropped (words at k = 2; the frequent ones go by small numbers from here on);
 * merge-join: an occurrence of a (k-1)-word group at a position meets the word k - 1 positions on, in the same piece;
 * group-count: Spark adds up the groups that the blocks count, and keeps those with at least ``MIN`` occurrences.
 
@@ -30,9 +30,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .common import broadcast_if_small, cut, map_rows
+from .common import BROADCAST_BYTES, broadcast_if_small, map_rows
 
 MIN, LONGEST, COVER, TOP = 30, 4, 80, 2000
+SMALL = 24 << 20  # bytes, measured, up to which the table of frequent words is broadcast to look up words
 PARTS = 64  # parts of a language's phrases, each ranked on its own first
 KEYS = 4 << 20  # frequent groups whose keys are broadcast at most, 8 bytes each
 BLOCK = 1 << 20  # bytes of text in a block, about
@@ -160,6 +161,18 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     return met.select("lk", F.col("least.lang").alias("lang"), "w1", word.alias("word"), "a")
 
 
+def numbered(words: DataFrame, least: int, root: str) -> DataFrame:
+    """lk, w1, word, a and id (from 1, without gaps) of the frequent words; an id belongs to one language's word."""
+    rows = _written(words.where(F.col("a") >= least).select("lk", "w1", "word", "a", F.monotonically_increasing_id().alias("at")), root, "frequent-words")
+    part = F.shiftright("at", 33)
+    per = sorted(tuple(r) for r in rows.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())  # a row for each written partition
+    if sum(n for _, n in per) >= 1 << 31:
+        raise ValueError("more frequent words than 31 bits can number")
+    before = rows.sparkSession.createDataFrame([(p, sum(n for _, n in per[:k])) for k, (p, _) in enumerate(per)], "p long, before long")
+    met = rows.join(F.broadcast(before), part == F.col("p"))
+    return met.select("lk", "w1", "word", "a", (F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("id"))
+
+
 def groups(codes: np.ndarray, hashes: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k-word groups that the (k-1)-word groups at ``at`` make with the word that follows them: where, as rows of hashes of
     the distinct ones, and which of these each occurrence is."""
@@ -192,15 +205,22 @@ def frequent_only(blocks: DataFrame, counts: DataFrame, k: int, keys: int = KEYS
     """The semi-join: the blocks (block, lang, hashes, codes, at) with the occurrences of frequent k-word groups.
 
     blocks: k = 1, all words; else the positions of frequent (k-1)-word groups. Words that no frequent group reaches leave the codes.
+    counts: k = 1, w1 and id of the frequent words, which go by their ids from here on; else w1 to wk, ids.
     """
     spark = blocks.sparkSession
     few = counts.count() <= keys
     cols = ["block", "lang", "hashes", "codes", "at"]
+    names = ["w1", "id"] if k == 1 else NAMES[:k]
     shared = None
+
+    def numbers(columns) -> list[np.ndarray]:
+        return [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]
+
     if few:
-        known = counts.select(*NAMES[:k]).toArrow()  # at most ``keys`` rows
-        words = np.stack([known.column(j).to_numpy().astype(np.int64).view(np.uint64) for j in range(k)], axis=1)
-        shared = spark.sparkContext.broadcast(np.sort(_key(words)))
+        found = numbers(c.combine_chunks() for c in counts.select(*names).toArrow().columns)  # at most ``keys`` rows
+        key = found[0] if k == 1 else _key(np.stack(found, axis=1).view(np.uint64)).view(np.int64)
+        order = np.argsort(key)
+        shared = spark.sparkContext.broadcast((key[order], found[1][order] if k == 1 else None))
         src = blocks.select(cols)
     else:
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,20 +231,21 @@ def frequent_only(blocks: DataFrame, counts: DataFrame, k: int, keys: int = KEYS
 
         def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                words = np.stack([b.column(j).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for j in range(k)], axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(_key(words).view(np.int64))], ["key"])
+                found = numbers(b.columns)
+                key = found[0] if k == 1 else _key(np.stack(found, axis=1).view(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(found[1])], ["key", "id"])
 
         asked = map_rows(blocks.select("block", "hashes", "codes", "at"), ask, "block long, key long")
-        there = map_rows(counts.select(*NAMES[:k]), keyed, "key long").distinct()
-        found = asked.join(there, "key").groupBy("block").agg(F.collect_list("key").alias("known"))  # a block's own groups at most
-        src = blocks.select(cols).join(found, "block")
+        there = map_rows(counts.select(*names), keyed, "key long, id long").groupBy("key").agg(F.max("id").alias("id"))
+        met = asked.join(there, "key").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("key", "id"))).alias("met"))  # a block's own groups at most
+        src = blocks.select(cols).join(met.select("block", F.col("met.key").alias("known"), F.col("met.id").alias("ids")), "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, lang, *row in _rows(batches):
             hashes, codes, at = _block(row[:3])
-            known = shared.value if shared is not None else np.sort(np.array(row[3], np.int64).view(np.uint64))
+            known, ids = shared.value if shared is not None else (np.array(row[3], np.int64), np.array(row[4], np.int64))
             at, rows, of = groups(codes, hashes, at, k)
-            at = at[_member(_key(rows), known)[of]] if len(at) else at
+            at = at[_member(_key(rows).view(np.int64), known)[of]] if len(at) else at
             # what is reached: the group and the words it may still grow by
             near = np.zeros(len(codes), np.int32)
             near[at] += 1
@@ -236,43 +257,55 @@ def frequent_only(blocks: DataFrame, counts: DataFrame, k: int, keys: int = KEYS
             new = np.zeros(int(slot[-1]) + 1 if len(slot) else 0, np.int32)
             new[slot[kept]] = codes[kept]
             used, back = np.unique(np.append(0, new), return_inverse=True)
-            out = packed(hashes[used[1:] - 1]), packed(back[1:].astype(np.int32)), packed(slot[at].astype(np.int32)) if k > 1 else None
+            name = hashes[used[1:] - 1]
+            if k == 1 and len(name):
+                name = ids[np.searchsorted(known, name.view(np.int64))].view(np.uint64)
+            out = packed(name), packed(back[1:].astype(np.int32)), packed(slot[at].astype(np.int32)) if k > 1 else None
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([lang], pa.string()), *(pa.array([x], pa.binary()) for x in out)], cols)
 
     return map_rows(src, run, "block long, lang string, hashes binary, codes binary, at binary")
 
 
 def group_counts(blocks: DataFrame, k: int, least: int) -> DataFrame:
-    """lk, w1 to wk, a of the k-word groups with at least ``least`` occurrences; blocks have the frequent (k-1)-word groups."""
-    names = ["lk", *NAMES[:k]]
+    """w1 to wk, a of the k-word groups with at least ``least`` occurrences; blocks have the frequent (k-1)-word groups.
+
+    A group crosses the exchange as one number for two words.
+    """
+    pairs = [f"p{j}" for j in range((k + 1) // 2)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, *row in _rows(batches):
+        for row in _rows(batches):
             hashes, codes, at = _block(row)
             _, rows, of = groups(codes, hashes, at, k)
+            rows = np.column_stack([rows, np.zeros((len(rows), k % 2), np.uint64)])
             n = np.bincount(of, minlength=len(rows)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), lang_key(lang))), *(pa.array(rows[:, j].view(np.int64)) for j in range(k)), pa.array(n)], [*names, "n"])
+            cols = [(rows[:, j] << np.uint64(32) | rows[:, j + 1]).view(np.int64) for j in range(0, rows.shape[1], 2)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(n)], [*pairs, "n"])
 
-    counted = map_rows(blocks.select("lang", "hashes", "codes", "at"), run, ", ".join(f"{n} long" for n in names) + ", n long")
-    return counted.groupBy(*names).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    counted = map_rows(blocks.select("hashes", "codes", "at"), run, ", ".join(f"{n} long" for n in pairs) + ", n long")
+    often = counted.groupBy(*pairs).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    word = [F.shiftright(f"p{j // 2}", 32) if j % 2 == 0 else F.col(f"p{j // 2}").bitwiseAND(F.lit((1 << 32) - 1)) for j in range(k)]
+    return often.select(*[w.alias(n) for w, n in zip(word, NAMES)], "a")
 
 
-def frequent(docs: DataFrame, least: int = MIN, keys: int = KEYS, root: str | None = None) -> tuple[DataFrame, list[DataFrame]]:
-    """Counts of all words (lk, lang, w1, word, a), and of the frequent phrases of 1 to ``LONGEST`` words (lk, w1, ..., a)."""
+def frequent(docs: DataFrame, least: int = MIN, keys: int = KEYS, root: str | None = None) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Counts of all words (lk, lang, w1, word, a), the frequent words with their ids, and the counts of the frequent phrases of 1 to
+    ``LONGEST`` words (w1, ..., a; words by id)."""
     root = root or scratch_dir(docs.sparkSession, "collocations")
     relation = _written(occurrences(docs.select("lang", "text")), root, "occurrences-1")
     words = _written(word_counts(relation), root, "counts-1")
-    out = [words.where(F.col("a") >= least).select("lk", "w1", "a")]
+    known = _written(numbered(words, least, root), root, "frequent-words-numbered")
+    out = [known.select(F.col("id").alias("w1"), "a")]
     relation = relation.withColumn("at", F.lit(None).cast("binary"))
     for k in range(2, LONGEST + 1):
-        relation = _written(frequent_only(relation, out[-1], k - 1, keys), root, f"occurrences-{k}")
+        relation = _written(frequent_only(relation, known if k == 2 else out[-1], k - 1, keys), root, f"occurrences-{k}")
         out.append(_written(group_counts(relation, k, least), root, f"counts-{k}"))
-    return words, out
+    return words, known, out
 
 
 def _as(df: DataFrame, names: list[str], count: str) -> DataFrame:
     """A count table keyed by the words ``names`` of a phrase from the first on."""
-    return df.select("lk", *[F.col(f"w{j + 1}").alias(n) for j, n in enumerate(names)], F.col("a").alias(count))
+    return df.select(*[F.col(f"w{j + 1}").alias(n) for j, n in enumerate(names)], F.col("a").alias(count))
 
 
 def _wide(n: Column, by: int) -> Column:
@@ -284,18 +317,18 @@ def scored(counts: list[DataFrame], k: int) -> DataFrame:
     names, df = NAMES[:k], counts[k - 1]
     cuts = []
     for j in range(1, k):
-        df = df.join(broadcast_if_small(_as(counts[j - 1], names[:j], f"l{j}")), ["lk", *names[:j]])
-        df = df.join(broadcast_if_small(_as(counts[k - j - 1], names[j:], f"r{j}")), ["lk", *names[j:]])
+        for part, of in ((names[:j], f"l{j}"), (names[j:], f"r{j}")):
+            df = df.join(broadcast_if_small(_as(counts[len(part) - 1], part, of), SMALL if len(part) == 1 else BROADCAST_BYTES), part)
         score = F.call_function("div", _wide(F.col("a"), 2_000_000), (F.col(f"l{j}").cast("decimal(20,0)") + F.col(f"r{j}").cast("decimal(20,0)")))
         cuts.append(F.struct(score.alias("score"), F.lit(j).alias("cut"), F.col(f"l{j}").alias("l"), F.col(f"r{j}").alias("r")))
     best = F.least(*cuts) if len(cuts) > 1 else cuts[0]
     missing = [F.lit(None).cast("long").alias(n) for n in NAMES[k:]]
-    return df.select("lk", *names, *missing, "a", best.alias("best")).select("lk", *NAMES, "a", "best.l", "best.r", "best.score")
+    return df.select(*names, *missing, "a", best.alias("best")).select(*NAMES, "a", "best.l", "best.r", "best.score")
 
 
 def collocations(docs: DataFrame, least: int = MIN, top: int = TOP, cover: int = COVER, keys: int = KEYS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first ``top`` phrases of 2 to ``LONGEST`` words."""
-    words, counts = frequent(docs, least, keys)
+    words, known, counts = frequent(docs, least, keys)
     every = None
     for k in range(2, LONGEST + 1):
         every = scored(counts, k) if every is None else every.unionByName(scored(counts, k))
@@ -305,17 +338,16 @@ def collocations(docs: DataFrame, least: int = MIN, top: int = TOP, cover: int =
         for m in range(2, k):
             for j in range(k - m + 1):
                 part = [F.col(NAMES[j + i]).alias(NAMES[i]) if i < m else F.lit(None).cast("long").alias(NAMES[i]) for i in range(LONGEST)]
-                some = counts[k - 1].select("lk", *part, F.col("a").alias("longer"))
+                some = counts[k - 1].select(*part, F.col("a").alias("longer"))
                 inside = some if inside is None else inside.unionByName(some)
-    # a missing word is null on both sides
-    fill = lambda df: df.select("lk", *[F.coalesce(n, F.lit(0)).alias(n) for n in NAMES], *[F.isnull(NAMES[j]).cast("int").alias(f"no{j}") for j in (2, 3)], *[c for c in df.columns if c not in ("lk", *NAMES)])
-    on = ["lk", *NAMES, "no2", "no3"]
-    longer = fill(inside).groupBy(*on).agg(F.max("longer").alias("longer"))
-    kept = fill(every).join(longer, on, "left").where(F.isnull("longer") | (_wide(F.col("longer"), 100) < _wide(F.col("a"), cover)))
-    kept = kept.select("lk", *[F.when(F.col(f"no{j}") == 0, F.col(n)).alias(n) if j >= 2 else n for j, n in enumerate(NAMES)], "a", "l", "r", "score")
-    texts = words.where(F.col("a") >= least).select("lk", "w1", "word")
+    # a missing word is zero on both sides, which is no word's id
+    fill = lambda df: df.select(*[F.coalesce(n, F.lit(0)).alias(n) for n in NAMES], *[c for c in df.columns if c not in NAMES])
+    longer = fill(inside).groupBy(*NAMES).agg(F.max("longer").alias("longer"))
+    kept = fill(every).join(longer, NAMES, "left").where(F.isnull("longer") | (_wide(F.col("longer"), 100) < _wide(F.col("a"), cover)))
+    texts = known.select("id", "lk", "word")
     for j, n in enumerate(NAMES):
-        kept = kept.join(broadcast_if_small(texts.select("lk", F.col("w1").alias(n), F.col("word").alias(f"t{j}"))), ["lk", n], "inner" if j < 2 else "left")
+        text = texts.select(F.col("id").alias(n), F.col("word").alias(f"t{j}"), *(["lk"] if j == 0 else []))
+        kept = kept.join(broadcast_if_small(text, SMALL), n, "inner" if j < 2 else "left")
     phrase = F.concat_ws(" ", *[f"t{j}" for j in range(LONGEST)])
     order = Window.partitionBy("lk").orderBy(F.desc("score"), F.desc("a"), "phrase")
     first = kept.select("lk", phrase.alias("phrase"), "a", "l", "r", "score")

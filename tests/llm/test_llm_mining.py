@@ -255,6 +255,6 @@ def test_collocations_top_and_defined_cases(spark):
 
 def test_score_is_exact_beyond_64_bits(spark):
     big = 1 << 60
-    counts = [spark.createDataFrame([(7, 1, big + 1), (7, 2, big + 3)], "lk long, w1 long, a long"),
-              spark.createDataFrame([(7, 1, 2, big)], "lk long, w1 long, w2 long, a long")]
+    counts = [spark.createDataFrame([(1, big + 1), (2, big + 3)], "w1 long, a long"),
+              spark.createDataFrame([(1, 2, big)], "w1 long, w2 long, a long")]
     assert collocations.scored(counts, 2).first().score == 2_000_000 * big // (2 * big + 4)
