@@ -24,10 +24,27 @@ def labelled_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(broadcast_if_small(cut(chosen)), "doc_id")
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 25, ridge: float = 1e-3) -> np.ndarray:
-    """Logistic regression of y on the columns of x and a constant, by Newton steps; flat where y has one class only."""
+def sampled_texts(docs: DataFrame, chosen: DataFrame, rows: int) -> DataFrame:
+    """``chosen`` (doc_id, y, ...) with the texts and n, how often this row occurs; equal rows once.
+
+    ``chosen`` holds about ``rows`` ids. Where an id repeats with many different texts, these are sampled by their hash: about twice
+    ``rows`` rows come back at most, however often an id occurs in either table.
+    """
+    names = chosen.columns
+    ids = cut(chosen.groupBy(*names).agg(F.count(F.lit(1)).alias("n")))
+    texts = docs.select("doc_id", "text").join(broadcast_if_small(ids), "doc_id").withColumn("text_hash", F.xxhash64("text"))
+    met = cut(texts.groupBy(*names, "text_hash").agg(F.sum("n").alias("n")))
+    few = met.where(uniform(F.lit("text"), F.col("doc_id"), F.col("text_hash")) < 2 * rows / max(met.count(), 1))
+    of = [*names, "text_hash"]
+    once = texts.drop("n").join(broadcast_if_small(few), of).dropDuplicates(of)
+    return once.select(*names, "text", "text_hash", "n")
+
+
+def calibrate(x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None, steps: int = 25, ridge: float = 1e-3) -> np.ndarray:
+    """Logistic regression of y on the columns of x and a constant, by Newton steps; row k counts n[k] times. Flat where y has one class only."""
     a = np.column_stack([x, np.ones(len(x))]) if len(x) else np.zeros((0, x.shape[1] + 1))
     w = np.zeros(a.shape[1])
+    n = np.ones(len(a)) if n is None else n
     if not len(a):
         return w
     if len(set(y.tolist())) < 2:
@@ -35,8 +52,8 @@ def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 25, ridge: float = 1e-3
         return w
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
-        w = w + np.linalg.solve(h, a.T @ (y - p) - ridge * w)
+        h = (a * (n * p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
+        w = w + np.linalg.solve(h, a.T @ (n * (y - p)) - ridge * w)
     return w
 
 

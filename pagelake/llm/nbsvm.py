@@ -1,13 +1,13 @@
 """Quality classifier: naive Bayes support vectors.
 
-A text's features are indicators of its token n-grams and of the n-grams of its token shapes
+A text's features are indicators of its token n-grams (1 to ``NGRAM`` tokens) and of the n-grams of its token shapes
 (lower, capitalised and upper-case words, digits, each punctuation run, repeats), hashed into ``SIZE``
 places.  Each indicator is scaled by its class log-count ratio; a linear hinge-loss model is
 fitted to the scaled rows by dual coordinate descent; a logistic curve over margins of rows that the fit
 did not see turns margins into scores.
 
-Fit on a bounded sample: about ``ROWS`` labelled rows, whole texts, by a hash of the id; the model is two
-arrays of ``SIZE`` numbers.  Scoring is one pass over all rows without a shuffle.
+Fit on a bounded sample: about ``ROWS`` labelled rows, whole texts, by a hash of the id; equal rows enter once with their number, and
+an id that repeats with many texts adds about ``ROWS`` more at most.  The model is two arrays of ``SIZE`` numbers.  Scoring is one pass over all rows without a shuffle.
 
 Defined cases: a null text is empty; an empty text has no feature and is scored by the model's constant; a label
 other than 0 or 1 is not learnt from; with labels of one class the score is flat; an empty table gives an empty result.
@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, slices
-from .labelled import calibrate, chance, held_out, labelled_texts, training_labels
+from .labelled import calibrate, chance, held_out, sampled_texts, training_labels
 
-ROWS, SIZE = 12_000, 1 << 18
+ROWS, SIZE = 12_000, 1 << 20
 SMOOTH, C, EPOCHS, NGRAM = 1.0, 1.0, 12, 3
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+|\n")
 
@@ -45,8 +45,11 @@ def features(text: str | None) -> np.ndarray:
     tokens = TOKEN.findall(text or "")
     if not tokens:
         return np.zeros(0, np.int32)
-    terms = {t.lower() for t in tokens}
+    words = [t.lower() for t in tokens]
+    terms = set(words)
     shapes = [_shape(t, p) for t, p in zip(tokens, ["", *tokens])]
+    for n in range(2, NGRAM + 1):
+        terms.update(map(" ".join, zip(*(words[k:] for k in range(n)))))
     for n in range(1, NGRAM + 1):
         terms.update(map("\x00".join, zip(*(shapes[k:] for k in range(n)))) if n > 1 else ("\x01" + s for s in set(shapes)))
     places = np.fromiter((zlib.crc32(t.encode("utf-8", "surrogatepass")) % SIZE for t in terms), np.int64, len(terms))
@@ -96,25 +99,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 256):
-            found = pa.array([features(t) for t in b.column(3).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), found], ["doc_id", "y", "curve", "places"])
-
-    texts = labelled_texts(docs, chosen).select("doc_id", "y", "curve", "text")
-    got = map_rows(texts, run, f"doc_id {dict(docs.dtypes)['doc_id']}, y int, curve boolean, places array<int>").toArrow().to_pandas()  # bounded by ``rows``
-    got = got.sort_values("doc_id", kind="stable")
-    places, y, curve = [np.asarray(p, np.int64) for p in got["places"]], got["y"].to_numpy(int), got["curve"].to_numpy(bool)
+            found = pa.array([features(t) for t in b.column("text").to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), found], [*kept, "places"])
+
+    kept = ["doc_id", "y", "curve", "text_hash", "n"]
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, y int, curve boolean, text_hash long, n long, places array<int>"
+    got = map_rows(sampled_texts(docs, chosen, rows), run, schema).toArrow().to_pandas()  # bounded by ``rows``
+    got = got.sort_values(["doc_id", "text_hash", "y"], kind="stable")
+    places, y, curve, n = list(got["places"]), got["y"].to_numpy(int), got["curve"].to_numpy(bool), got["n"].to_numpy(float)
     counts = np.zeros((2, SIZE))
-    for p, k in zip(places, y):
-        counts[k, p] += 1
+    for p, k, m in zip(places, y, n):
+        counts[k, p] += m
     counts += SMOOTH
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     learn = np.flatnonzero(~curve) if (~curve).any() else np.arange(len(y))
-    share = np.bincount(y[learn], minlength=2) / max(len(learn), 1)
-    cost = C * 0.5 / np.maximum(share[y[learn]], 1e-6) if len(learn) else np.zeros(0)
+    share = np.bincount(y[learn], n[learn], minlength=2) / max(n[learn].sum(), 1)
+    cost = C * 0.5 * n[learn] / np.maximum(share[y[learn]], 1e-6) if len(learn) else np.zeros(0)
     weight = dual_descent([(places[k], _row(places[k], ratio)) for k in learn], 2 * y[learn] - 1, SIZE, cost)
     model = Model(ratio, weight, np.zeros(2))
     test = np.flatnonzero(curve) if curve.any() else np.arange(len(y))
-    model.curve = calibrate(model.margins([places[k] for k in test]), y[test].astype(float))
+    model.curve = calibrate(model.margins([places[k] for k in test]), y[test].astype(float), n[test])
     return model
 
 
