@@ -53,10 +53,14 @@ class Table(dict):
 
 def _table(df: DataFrame, name: str, langs: list[str]) -> Table:
     """Log frequencies by language of all values of the sample."""
-    per = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).cast("double").alias(f"n{i}") for i, x in enumerate(langs)]
-    got = df.groupBy(name).agg(*per).orderBy(name).toArrow()  # bounded by the sample
-    counts = np.column_stack([got.column(f"n{i}").to_numpy() for i in range(len(langs))]) + 0.1
-    return Table(got.column(name).to_pylist(), np.log(counts / np.maximum(counts.sum(0), 0.1)).astype(np.float32))
+    got = df.groupBy(name, "lang").agg(F.sum("n").alias("n")).toArrow().combine_chunks()  # bounded by the sample
+    if not got.num_rows:
+        return Table([], np.zeros((0, len(langs)), np.float32))
+    value, lang = (got.column(c).chunk(0).dictionary_encode() for c in (name, "lang"))
+    counts = np.full((len(value.dictionary), len(langs)), 0.1)
+    column = np.array([langs.index(x) for x in lang.dictionary.to_pylist()])
+    counts[value.indices.to_numpy(), column[lang.indices.to_numpy()]] += got.column("n").to_numpy()
+    return Table(value.dictionary.to_pylist(), np.log(counts / np.maximum(counts.sum(0), 0.1)).astype(np.float32))
 
 
 class Model:
