@@ -712,3 +712,66 @@ def test_pipeline_runs_its_stages_in_order(spark, docs):
         kept = spark.createDataFrame(out, docs.schema)
     last = Counter(map(tuple, packing.query(kept).select("doc_id", "piece", "length").collect()))
     assert last == Counter(map(tuple, corpus_pipeline.run(spark, SF).select("doc_id", "piece", "length").collect()))
+
+
+def _repeated_ids(spark):
+    """600 texts of words in one order or the other; a third of the rows has one id, every fourth row occurs three times."""
+    rng = random.Random(11)
+    rows, labels = [], []
+    for k in range(600):
+        good = k % 2
+        words = [f"w{rng.randrange(40)}" for _ in range(20)]
+        words[5:5] = ["north", "wind"] if good else ["wind", "north"]
+        text = " ".join([*words, "north", "end", "wind"])
+        rows += [(k if k % 3 else 3 * (k % 2), text, "en", "x", 9)] * (3 if k % 4 == 0 else 1)
+        labels.append((k if k % 3 else 3 * (k % 2), good, good))
+    return rows, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_word_order_is_a_feature_and_scores_do_not_depend_on_partitions(spark):
+    rows, labels = _repeated_ids(spark)
+    scores = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        scores.append(sorted((r.doc_id, r.score) for r in nbsvm.score(docs, nbsvm.fit(docs, labels)).collect()))
+    assert scores[0] == scores[1]
+    once = [r for r in rows if r[0] > 3]
+    docs = spark.createDataFrame(once, SCHEMA)
+    truth = {r[0]: " north wind " in r[1] for r in once}
+    got = nbsvm.query(docs, labels).where("held_out").collect()
+    assert len(got) > 60 and sum((r.score >= 0.5) == truth[r.doc_id] for r in got) >= 0.95 * len(got)
+
+
+def test_labelled_sample_is_bounded_under_one_id(spark):
+    from pagelake.llm.labelled import sampled_texts
+
+    docs = spark.createDataFrame([(1, f"text {k // 2}") for k in range(4000)] + [(2, "other")] * 500, "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 0), (1, 0), (1, 1), (2, 1)], "doc_id long, y int")
+    every = {(r.doc_id, r.y, r.text): r.n for r in sampled_texts(docs, chosen, 10_000).collect()}
+    assert len(every) == 2 * 2000 + 1 and every[2, 1, "other"] == 500 and every[1, 0, "text 7"] == 4 and every[1, 1, "text 7"] == 2
+    some = sampled_texts(docs, chosen, 100).collect()
+    assert 100 <= len(some) <= 300 and all(every[r.doc_id, r.y, r.text] == r.n for r in some)
+
+
+def test_equal_rows_once_with_a_number_fit_the_same_curve():
+    np, rng = nbsvm.np, random.Random(3)
+    x = np.array([[rng.gauss(0, 1)] for _ in range(50)])
+    y = np.array([float(v[0] + rng.gauss(0, 1) > 0) for v in x])
+    n = np.array([float(1 + k % 4) for k in range(50)])
+    k = np.repeat(np.arange(50), n.astype(int))
+    assert np.allclose(nbsvm.calibrate(x, y, n), nbsvm.calibrate(x[k], y[k]))
+
+
+def test_language_tables_are_plain_counts(spark):
+    """Word and n-gram log frequencies against a count in plain Python, with many languages."""
+    np, rng = language_id.np, random.Random(5)
+    rows = [(k, " ".join(f"{chr(97 + k % 30 % 26)}{chr(97 + rng.randrange(6))}" for _ in range(8)), f"l{k % 30:02}", "x", 9) for k in range(600)]
+    model = language_id.fit(spark.createDataFrame(rows, SCHEMA), rows=10_000)
+    assert model.langs == sorted({r[2] for r in rows})
+    for order, table in [(0, model.words), *enumerate(model.orders, 1)]:
+        counts = Counter((g, r[2]) for r in rows for w in r[1].split() for g in ([w] if order == 0 else language_id.grams(w, order)))
+        assert set(table) == {g for g, _ in counts}
+        total = {x: sum(n for (_, lang), n in counts.items() if lang == x) + 0.1 * len(table) for x in model.langs}
+        for g, at in table.items():
+            want = [np.log((counts[g, x] + 0.1) / total[x]) for x in model.langs]
+            assert np.allclose(table.logs[at], want, atol=1e-5)
