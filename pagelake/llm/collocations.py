@@ -12,6 +12,8 @@ What the semi-join leaves is written as the next sorted relation (the blocks wit
 reaches), so each length reads less than the one before.  A block asks for its distinct groups: if the frequent groups are few
 (``KEYS`` at most, counted) their 64-bit keys are broadcast, else the blocks' distinct groups are joined to them by key and come back
 to their block.  A key that two groups share only lets an infrequent group pass, which its exact count drops later.
+Words are counted by themselves, not by their hashes; the occurrences that the words' semi-join keeps must add up to
+the frequent words' counts, else two words share a hash and the job fails.
 
 Frequent phrases are then scored at all their cuts, against the counts of their parts, in decimals of 38 digits.
 
@@ -93,7 +95,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
             rows = []
             for lang in langs:
                 codes, parts, _ = held.pop(lang)
-                seed = xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass"))
+                seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 42)  # a word's hash is Spark's xxhash64(lang, word)
                 known = [w for w in codes if w != END]
                 hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in known), np.uint64, len(known))
                 rows.append((number, lang, b" ".join(known), packed(hashes), packed(np.concatenate(parts))))
@@ -138,27 +140,26 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield tuple(c[k].as_py() for c in b.columns)
 
 
-def lang_key(lang: str) -> int:
-    import xxhash
-
-    return int(np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))).view(np.int64))
-
-
 def word_counts(blocks: DataFrame) -> DataFrame:
-    """lk (the language's key), lang, w1 (hash), word, a of every word; fails where two words, or languages, share a hash."""
+    """lk (the language's key), lang, w1 (hash), word, a of every word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words, hashes, codes in _rows(batches):
-            h = unpacked(hashes, np.int64)
-            n = np.bincount(unpacked(codes, np.int32), minlength=len(h) + 1)[1:].astype(np.int64)
-            words = [w.decode("utf-8", "replace") for w in words.split(b" ")] if len(h) else []
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), lang_key(lang))), pa.array([lang] * len(h), pa.string()), pa.array(h), pa.array(words, pa.string()), pa.array(n)], ["lk", "lang", "w1", "word", "n"])
+        for lang, words, codes in _rows(batches):
+            words = words.split()
+            n = np.bincount(unpacked(codes, np.int32), minlength=len(words) + 1)[1:].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), pa.array(words, pa.string()), pa.array(n)], ["lang", "word", "n"])
+
+    counted = map_rows(blocks.select("lang", "words", "codes"), run, "lang string, word string, n long")
+    met = counted.groupBy("lang", "word").agg(F.sum("n").alias("a"))
+    return met.select(F.xxhash64("lang").alias("lk"), "lang", F.xxhash64("lang", "word").alias("w1"), "word", "a")
+
 
-    counted = map_rows(blocks.select("lang", "words", "hashes", "codes"), run, "lk long, lang string, w1 long, word string, n long")
-    both = F.struct("word", "lang")
-    met = counted.groupBy("lk", "w1").agg(F.min(both).alias("least"), F.max(both).alias("most"), F.sum("n").alias("a"))
-    word = F.when(F.col("least") == F.col("most"), F.col("least.word")).otherwise(F.raise_error(F.concat(F.lit("two words share a hash: "), "least.word", F.lit(" "), "most.word")).cast("string"))
-    return met.select("lk", F.col("least.lang").alias("lang"), "w1", word.alias("word"), "a")
+def language_counts(words: DataFrame) -> DataFrame:
+    """lk, lang and n, all word occurrences, of every language; fails where two languages share a key."""
+    per = words.groupBy("lk", "lang").agg(F.sum("a").alias("n"))
+    met = per.groupBy("lk").agg(F.min("lang").alias("least"), F.max("lang").alias("most"), F.sum("n").alias("n"))
+    lang = F.when(F.col("least") == F.col("most"), F.col("least")).otherwise(F.raise_error(F.concat(F.lit("two languages share a key: "), "least", F.lit(" "), "most")).cast("string"))
+    return met.select("lk", lang.alias("lang"), "n")
 
 
 def numbered(words: DataFrame, least: int, root: str) -> DataFrame:
@@ -202,7 +203,7 @@ def _member(key: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def frequent_only(blocks: DataFrame, counts: DataFrame, k: int, keys: int = KEYS) -> DataFrame:
-    """The semi-join: the blocks (block, lang, hashes, codes, at) with the occurrences of frequent k-word groups.
+    """The semi-join: the blocks (block, lang, hashes, codes, at) with the occurrences of frequent k-word groups, and n, their number.
 
     blocks: k = 1, all words; else the positions of frequent (k-1)-word groups. Words that no frequent group reaches leave the codes.
     counts: k = 1, w1 and id of the frequent words, which go by their ids from here on; else w1 to wk, ids.
@@ -261,9 +262,10 @@ def frequent_only(blocks: DataFrame, counts: DataFrame, k: int, keys: int = KEYS
             if k == 1 and len(name):
                 name = ids[np.searchsorted(known, name.view(np.int64))].view(np.uint64)
             out = packed(name), packed(back[1:].astype(np.int32)), packed(slot[at].astype(np.int32)) if k > 1 else None
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([lang], pa.string()), *(pa.array([x], pa.binary()) for x in out)], cols)
+            row = [pa.array([block], pa.int64()), pa.array([lang], pa.string()), *(pa.array([x], pa.binary()) for x in out), pa.array([len(at)], pa.int64())]
+            yield pa.RecordBatch.from_arrays(row, [*cols, "n"])
 
-    return map_rows(src, run, "block long, lang string, hashes binary, codes binary, at binary")
+    return map_rows(src, run, "block long, lang string, hashes binary, codes binary, at binary, n long")
 
 
 def group_counts(blocks: DataFrame, k: int, least: int) -> DataFrame:
@@ -299,6 +301,10 @@ def frequent(docs: DataFrame, least: int = MIN, keys: int = KEYS, root: str | No
     relation = relation.withColumn("at", F.lit(None).cast("binary"))
     for k in range(2, LONGEST + 1):
         relation = _written(frequent_only(relation, known if k == 2 else out[-1], k - 1, keys), root, f"occurrences-{k}")
+        if k == 2:
+            total, count, different = known.agg(F.coalesce(F.sum("a"), F.lit(0)), F.count("w1"), F.count_distinct("w1")).first()
+            if count != different or total != relation.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]:
+                raise ValueError("two words share a hash")
         out.append(_written(group_counts(relation, k, least), root, f"counts-{k}"))
     return words, known, out
 
@@ -355,8 +361,7 @@ def collocations(docs: DataFrame, least: int = MIN, top: int = TOP, cover: int =
     parts = Window.partitionBy("lk", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(F.desc("score"), F.desc("a"), "phrase")
     first = first.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= top)
     first = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    n = words.groupBy("lk", "lang").agg(F.sum("a").alias("n"))
-    return first.join(n, "lk").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    return first.join(language_counts(words), "lk").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -258,3 +258,24 @@ def test_score_is_exact_beyond_64_bits(spark):
     counts = [spark.createDataFrame([(1, big + 1), (2, big + 3)], "w1 long, a long"),
               spark.createDataFrame([(1, 2, big)], "w1 long, w2 long, a long")]
     assert collocations.scored(counts, 2).first().score == 2_000_000 * big // (2 * big + 4)
+
+
+def test_words_that_share_a_hash_fail(spark, monkeypatch):
+    """Hashes in the blocks that don't tell words apart: the kept occurrences outnumber the counts."""
+    import xxhash
+
+    whole = xxhash.xxh64_intdigest
+    df = spark.createDataFrame([(1, "often often often seldom", "en", None)], DOCS)
+    blocks = collocations.occurrences(df).collect()
+    hashes = collocations.unpacked(blocks[0].hashes, collocations.np.uint64)
+    words = {r.word: r for r in collocations.word_counts(collocations.occurrences(df)).collect()}
+    assert [words[w].w1 % 2**64 for w in blocks[0].words.decode().split()] == hashes.tolist()
+    assert words["often"].a == 3 and words["often"].w1 % 2**64 == whole(b"often", whole(b"en", 42))
+    same = collocations.packed(collocations.np.full(2, words["often"].w1).view(collocations.np.uint64))
+    monkeypatch.setattr(collocations, "occurrences", lambda docs: spark.createDataFrame([(blocks[0].block, "en", blocks[0].words, same, blocks[0].codes)], "block long, lang string, words binary, hashes binary, codes binary"))
+    with pytest.raises(ValueError, match="share a hash"):
+        collocations.frequent(df, 3)  # one of them is frequent
+    # both are frequent: the counts add up, the hashes aren't different
+    monkeypatch.setattr(collocations, "word_counts", lambda blocks: spark.createDataFrame([(1, "en", words["often"].w1, w, n) for w, n in (("often", 3), ("seldom", 1))], "lk long, lang string, w1 long, word string, a long"))
+    with pytest.raises(ValueError, match="share a hash"):
+        collocations.frequent(df, 1)
