@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import is_valid_value, rate_pct
 from ..params import RunParams
 from ..schemas import COLLISION_PREFIX, GOLD_KEYS, GOLD_MAP, GOLD_RESERVED, GOLD_STAMP, UNKNOWN_FIELD
-from .silver import RECORD_KEYS, first_valid_per_name, parsed_fields, record_field_array
+from .silver import RECORD_KEYS, first_valid_per_name, parsed_fields, record_field_array, zipped_fields
 
 MAP_COLUMN = GOLD_MAP
 
@@ -123,21 +123,45 @@ def curated_map(silver: DataFrame, params: RunParams) -> DataFrame:
     return _stamp(per_name.groupBy(*GOLD_KEYS).agg(fields.alias(MAP_COLUMN)), params)
 
 
-def _record_maps(bronze: DataFrame) -> DataFrame:
+def _sorted_fields(bronze: DataFrame) -> DataFrame:
+    """Record keys and the record's fields as one array ``_f``, sorted by name and value."""
+    return bronze.select(*RECORD_KEYS, parsed_fields(F.col("content")).alias("_f"))
+
+
+def _stored_fields(records: DataFrame) -> DataFrame:
+    """The same from a ``record_fields`` table; the raw values are not read."""
+    return records.select(*RECORD_KEYS, zipped_fields("field_name", "field_value_clean").alias("_f"))
+
+
+def _record_maps(fields: DataFrame) -> DataFrame:
     """Record keys and ``_m``, the map of the record's valid fields; records without any are left out.
 
     The map is produced by a generator (one element, or none when the
-    record has no valid field): the parse runs once per row and the
+    record has no valid field): it is built once per row and the
     emptiness test cannot be pushed below it as a second copy.
     """
-    valid_map = first_valid_per_name(parsed_fields(F.col("content")))
-    non_empty = F.filter(F.array(valid_map), lambda m: F.size(m) > 0)
-    return bronze.select(*RECORD_KEYS, F.explode(non_empty).alias("_m"))
+    non_empty = F.filter(F.array(first_valid_per_name(F.col("_f"))), lambda m: F.size(m) > 0)
+    return fields.select(*RECORD_KEYS, F.explode(non_empty).alias("_m"))
+
+
+def _map_form(fields: DataFrame, params: RunParams) -> DataFrame:
+    return _stamp(_record_maps(fields).select(*GOLD_KEYS, F.col("_m").alias(MAP_COLUMN)), params)
+
+
+def _wide_form(fields: DataFrame, params: RunParams, names: list[str]) -> DataFrame:
+    check_names(fields.sparkSession, names)
+    cols = [F.element_at("_m", F.lit(n)).alias(c) for n, c in column_plan(names)]
+    return _stamp(_record_maps(fields).select(*GOLD_KEYS, *cols), params)
 
 
 def curated_map_in_row(bronze: DataFrame, params: RunParams) -> DataFrame:
     """The map form straight from bronze rows, without any exchange."""
-    return _stamp(_record_maps(bronze).select(*GOLD_KEYS, F.col("_m").alias(MAP_COLUMN)), params)
+    return _map_form(_sorted_fields(bronze), params)
+
+
+def curated_map_of_fields(records: DataFrame, params: RunParams) -> DataFrame:
+    """The map form from a ``record_fields`` table."""
+    return _map_form(_stored_fields(records), params)
 
 
 def curated_wide_in_row(bronze: DataFrame, params: RunParams, names: list[str]) -> DataFrame:
@@ -146,11 +170,12 @@ def curated_wide_in_row(bronze: DataFrame, params: RunParams, names: list[str])
     Each bronze row holds all fields of its record; the valid fields are
     parsed and cleaned exactly as silver does and looked up by name.
     """
-    check_names(bronze.sparkSession, names)
-    rec = _record_maps(bronze)
-    keys = [F.col(k) for k in GOLD_KEYS]
-    cols = [F.element_at("_m", F.lit(n)).alias(c) for n, c in column_plan(names)]
-    return _stamp(rec.select(*keys, *cols), params)
+    return _wide_form(_sorted_fields(bronze), params, names)
+
+
+def curated_wide_of_fields(records: DataFrame, params: RunParams, names: list[str]) -> DataFrame:
+    """Gold wide from a ``record_fields`` table: no exchange, nothing is parsed, raw values are not read."""
+    return _wide_form(_stored_fields(records), params, names)
 
 
 def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None = None) -> DataFrame:
@@ -202,21 +227,29 @@ def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None
 
 
 def run_summary_in_row(bronze: DataFrame, params: RunParams, sources: DataFrame | None = None) -> DataFrame:
-    """The summary of ``run_summary`` straight from bronze rows, whose record ids must be unique.
+    """The summary of ``run_summary`` straight from bronze rows, whose record ids must be unique."""
+    return _summary_of(record_field_array(bronze).withColumnRenamed("fields", "_f"), params, sources)
+
+
+def run_summary_of_fields(records: DataFrame, params: RunParams, sources: DataFrame | None = None) -> DataFrame:
+    """The same from a ``record_fields`` table: nothing is parsed, raw values are not read."""
+    return _summary_of(_stored_fields(records), params, sources)
+
 
-    A row gives one marker for its record and its fields by name; these fold on the map side to one row per
-    (source, type, name), so record ids are never exchanged. One scan, one parse, three exchanges: by
+def _summary_of(records: DataFrame, params: RunParams, sources: DataFrame | None) -> DataFrame:
+    """A row gives one marker for its record and its fields by name; these fold on the map side to one row per
+    (source, type, name), so record ids are never exchanged. One scan, three exchanges: by
     (source, type, name), by (source, name) for the distinct names, by source.
     """
     gk = ["run_id", "source_url"]
     # as in silver, a record without fields keeps one unknown, invalid field
-    fields = F.filter("fields", lambda x: x["field_name"].isNotNull())
+    fields = F.filter("_f", lambda x: x["field_name"].isNotNull())
     none = F.array(F.struct(F.lit(UNKNOWN_FIELD).alias("name"), F.lit(0).cast("long").alias("records"), F.lit(1).cast("long").alias("fields"), F.lit(0).cast("long").alias("valid")))
     named = F.transform(fields, lambda x: F.struct(x["field_name"].alias("name"), F.lit(0).cast("long").alias("records"),
                                                    F.lit(1).cast("long").alias("fields"), is_valid_value(x["field_value_clean"]).cast("long").alias("valid")))
     marker = F.array(F.struct(F.lit(None).cast("string").alias("name"), F.lit(1).cast("long").alias("records"), F.lit(0).cast("long").alias("fields"), F.lit(0).cast("long").alias("valid")))
-    parts = F.concat(marker, F.when(F.size("fields") > 0, named).otherwise(none))
-    rows = record_field_array(bronze).select(*gk, F.coalesce("record_type", F.lit("None")).alias("record_type"), F.inline(parts))
+    parts = F.concat(marker, F.when(F.size("_f") > 0, named).otherwise(none))
+    rows = records.select(*gk, F.coalesce("record_type", F.lit("None")).alias("record_type"), F.inline(parts))
     if sources is not None:
         zero = F.lit(0).cast("long")
         rows = rows.unionByName(sources.select(

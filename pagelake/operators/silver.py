@@ -7,6 +7,9 @@ Two forms with the same result:
   cleaned, and duplicates are removed with array functions before the row
   is exploded.  No exchange at all; valid because ``record_id`` is unique
   per bronze row (it hashes the batch and the record's position).
+  A run parses once: ``record_fields`` is that per-record form as a table (three parallel
+  arrays, so a reader of names and cleaned values doesn't read the raw ones); silver, gold and
+  summary start from it (``silver_of_fields``).
 * ``to_silver_relational`` explodes first and removes duplicates with a
   grouped aggregate on ``(record, field_name, field_value_clean)``: one
   hash exchange.  Kept as the cross-check for the in-row form and for
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean_whitespace, is_valid_value, numeric_value, snake_case_name
 from ..params import RunParams
-from ..schemas import PAYLOAD_MAP, SILVER_SCHEMA, UNKNOWN_FIELD, column_names
+from ..schemas import FIELD_ARRAYS, PAYLOAD_MAP, SILVER_SCHEMA, UNKNOWN_FIELD, column_names
 
 SILVER_COLUMNS = column_names(SILVER_SCHEMA)
 RECORD_KEYS = ("run_id", "record_id", "record_type", "table_index", "row_index",
@@ -76,6 +79,17 @@ def record_field_array(bronze: DataFrame) -> DataFrame:
     return bronze.select(*RECORD_KEYS, distinct_fields(parsed_fields(F.col("content"))).alias("fields"))
 
 
+def record_fields(bronze: DataFrame) -> DataFrame:
+    """Bronze -> one row per record with the arrays ``FIELD_ARRAYS``, parallel and ordered by name and value (null
+    arrays where the payload isn't a JSON object): the table that silver, gold and summary of a run read."""
+    return record_field_array(bronze).select(*RECORD_KEYS, *[F.col(f"fields.{c}").alias(c) for c in FIELD_ARRAYS])
+
+
+def zipped_fields(*columns: str) -> Column:
+    """The named arrays of a ``record_fields`` row as one array of structs; only these are read."""
+    return F.arrays_zip(*columns)
+
+
 def _finish(df: DataFrame, params: RunParams) -> DataFrame:
     clean = F.coalesce(F.col("field_value_clean"), F.lit(""))
     return df.select(
@@ -103,6 +117,11 @@ def to_silver(bronze: DataFrame, params: RunParams) -> DataFrame:
     return _finish(exploded, params)
 
 
+def silver_of_fields(records: DataFrame, params: RunParams) -> DataFrame:
+    """Same result as ``to_silver`` from a ``record_fields`` table: nothing is parsed."""
+    return _finish(records.select(*RECORD_KEYS, F.inline_outer(zipped_fields(*FIELD_ARRAYS))), params)
+
+
 def to_silver_relational(bronze: DataFrame, params: RunParams) -> DataFrame:
     """Same result as ``to_silver`` via explode + grouped de-duplication."""
     parsed = bronze.select(*RECORD_KEYS, F.from_json("content", PAYLOAD_MAP).alias("m"))

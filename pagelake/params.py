@@ -25,6 +25,7 @@ class TableNames:
     gold_summary: str = "gold_data_summary"
     run_log: str = "pipeline_run_log"
     extracts: str = "page_extracts"  # of a run that has not landed yet
+    fields: str = "record_fields"  # of a run that has not reached gold yet
     quarantine: str = "page_quarantine"
 
 

@@ -10,14 +10,15 @@ Plan shape per layer (no driver collection except the gold field names):
 * scrape: scan pages -> mapInArrow parse -> write records and errors.  No shuffle (pages that
   occur twice are found by one count over their ids and urls).
 * bronze: scan the run's scrape table -> project -> write; errors -> quarantine and run log.
-* silver: scan bronze(run) -> parse/clean/dedup inside each row ->
-  explode -> write.  No shuffle.
+* fields: scan bronze(run) -> parse/clean/dedup inside each row -> write arrays per record.  The
+  run's only JSON parse; no shuffle.  The table goes when gold is written.
+* silver: scan fields(run) -> explode -> write.  No shuffle.
 * gold names: scan silver(run) [field_name, is_valid] -> distinct (partial
   aggregate) -> at most pivotMaxValues + 1 names to the driver.
-* gold wide: scan bronze(run) -> valid-field map per row -> one column per
+* gold wide: scan fields(run) without raw values -> valid-field map per row -> one column per
   name -> write.  No shuffle.  (``in_row_gold=False`` uses the grouped
   pivot over silver instead: one exchange.)
-* summary: scan bronze(run) -> record markers and fields, folded by (source, type, name),
+* summary: scan fields(run) without raw values -> record markers and fields, folded by (source, type, name),
   then by source.  No join.
 """
 
@@ -32,11 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..operators.bronze import BRONZE_COLUMNS, to_bronze
-from ..operators.gold import column_plan, curated_map, curated_map_in_row, curated_wide, curated_wide_in_row, field_names, run_summary, run_summary_in_row
-from ..operators.silver import SILVER_COLUMNS, to_silver
+from ..operators.gold import column_plan, curated_map, curated_map_of_fields, curated_wide, curated_wide_of_fields, field_names, run_summary, run_summary_of_fields
+from ..operators.silver import SILVER_COLUMNS, record_fields, silver_of_fields
 from ..params import RunParams, mode_for
 from ..schemas import (
-    BRONZE_SCHEMA, GOLD_KEYS, GOLD_STAMP, SILVER_SCHEMA, SUMMARY_SCHEMA, TAGGED_SCHEMA, column_names)
+    BRONZE_SCHEMA, FIELDS_SCHEMA, GOLD_KEYS, GOLD_STAMP, SILVER_SCHEMA, SUMMARY_SCHEMA, TAGGED_SCHEMA, column_names)
 from ..sources.extract import distinct_pages, extract_tagged, quarantined, records_only, stamp_records
 from ..sources.tables import TableStore
 from .runlog import RunLog, append_failed_pages
@@ -109,7 +110,7 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     ``spark.sql.pivotMaxValues`` names) or ``map`` (one map column, no limit).
     Appending runs replace their own rows, so a retry leaves one copy.
 
-    ``in_row_gold`` derives gold and the summary from bronze rows, whose record ids must be unique;
+    ``in_row_gold`` derives gold and the summary from the rows of the run's fields table, whose record ids must be unique;
     ``False`` derives both from silver.  ``parse_tasks``: see ``extract_raw``.
 
     ``records`` may be given instead of pages (e.g. from
@@ -152,9 +153,13 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     bronze = store.read(t.bronze, run_id=params.run_id, columns=BRONZE_COLUMNS, schema=BRONZE_SCHEMA)
 
     def silver_layer():
-        return store.write(to_silver(bronze, params), t.silver, run_mode("silver", params.load_mode),
+        store.write(record_fields(bronze), t.fields, "replace_run", run_id=params.run_id)
+        return store.write(silver_of_fields(fields(), params), t.silver, run_mode("silver", params.load_mode),
                            run_id=params.run_id)
 
+    def fields():
+        return store.read(t.fields, run_id=params.run_id, columns=column_names(FIELDS_SCHEMA), schema=FIELDS_SCHEMA)
+
     counts["silver"] = _guard(runlog, "silver", silver_layer, seconds)
     runlog.success("silver", counts["silver"])
     silver = store.read(t.silver, run_id=params.run_id, columns=SILVER_COLUMNS, schema=SILVER_SCHEMA)
@@ -162,15 +167,16 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     def gold_layer():
         names = field_names(silver) if gold_form == "wide" else []
         if gold_form == "map":
-            wide = curated_map_in_row(bronze, params) if in_row_gold else curated_map(silver, params)
+            wide = curated_map_of_fields(fields(), params) if in_row_gold else curated_map(silver, params)
         elif in_row_gold:
-            wide = curated_wide_in_row(bronze, params, names)
+            wide = curated_wide_of_fields(fields(), params, names)
         else:
             wide = curated_wide(silver, params, names)
         n_gold = store.write(wide, t.gold, run_mode("gold", params.load_mode), run_id=params.run_id)
         sources = pages.select(F.col("url").alias("source_url")) if records is None else None
-        summ = run_summary_in_row(bronze, params, sources) if in_row_gold else run_summary(silver, params, sources)
+        summ = run_summary_of_fields(fields(), params, sources) if in_row_gold else run_summary(silver, params, sources)
         store.write(summ, t.gold_summary, run_mode("gold_summary", params.load_mode), run_id=params.run_id)
+        store.drop_run(t.fields, params.run_id)
         return names, n_gold
 
     names, counts["gold"] = _guard(runlog, "gold", gold_layer, seconds)

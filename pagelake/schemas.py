@@ -104,6 +104,12 @@ SILVER_SCHEMA = StructType([
     StructField("cleaned_at", TimestampType(), True),
 ])
 
+# A record's parsed fields as parallel arrays (names, cleaned values, raw values): the run's own layer between bronze and silver.
+FIELD_ARRAYS = ("field_name", "field_value_clean", "field_value_raw")
+FIELDS_SCHEMA = StructType(
+    [f for n in ("run_id", "record_id", "record_type", "table_index", "row_index", "source_url", "scraped_at") for f in SILVER_SCHEMA.fields if f.name == n]
+    + [StructField(n, ArrayType(StringType()), True) for n in FIELD_ARRAYS])
+
 GOLD_KEYS = (
     "record_id", "record_type", "table_index", "row_index",
     "source_url", "scraped_at", "run_id",

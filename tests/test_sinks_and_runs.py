@@ -92,7 +92,7 @@ def test_failing_layer_is_logged(spark, store, sample_pages, monkeypatch):
     def boom(*a, **k):
         raise RuntimeError("silver exploded")
 
-    monkeypatch.setattr(M, "to_silver", boom)
+    monkeypatch.setattr(M, "silver_of_fields", boom)
     with pytest.raises(RuntimeError):
         run_medallion(spark, sample_pages, P1, store)
     rows = {(r.layer, r.status): r.message for r in read_log(store, P1).collect()}
