@@ -21,6 +21,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--load-mode", choices=LOAD_MODES, default="append")
     ap.add_argument("--run-id", default=None)
     ap.add_argument("--relational-gold", action="store_true", help="gold by grouped pivot over silver")
+    ap.add_argument("--gold-form", choices=("wide", "map", "long_tail"), default="wide", help="one column per field, a map, or columns for the commonest and a map")
+    ap.add_argument("--head-columns", type=int, default=100, help="columns of the long_tail form")
     args = ap.parse_args(argv)
 
     from .operators import views as V
@@ -35,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
         kw["run_id"] = args.run_id
     params = RunParams.new(**kw)
     res = run_medallion(spark, read_pages(spark, args.pages, args.format), params,
-                        TableStore(spark, args.lake), in_row_gold=not args.relational_gold)
+                        TableStore(spark, args.lake), in_row_gold=not args.relational_gold, gold_form=args.gold_form, head_columns=args.head_columns)
     print(f"run {params.run_id}: {res.counts}")
     V.console_preview(res.gold).show(truncate=60)
     V.summary_latest_first(res.summary).show(truncate=100)

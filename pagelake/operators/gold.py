@@ -11,6 +11,7 @@ so they are the only thing brought to the driver.  Above
 ``spark.sql.pivotMaxValues`` names every wide form raises; the map forms
 (``curated_map``, ``curated_map_in_row``: one ``fields map<string,string>``
 column, named by the field names themselves) need no names and have no limit.
+``curated_long_tail`` stands between: columns for the commonest names, the map for the others.
 The caller chooses the form; it never depends on the data.
 """
 
@@ -65,12 +66,16 @@ def _renamed(plan: list[tuple[str, str]]):
     return out
 
 
+def check_limit(spark, columns: int) -> None:
+    limit = int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
+    if columns > limit:
+        raise ValueError(f"at least {columns} field names, but spark.sql.pivotMaxValues allows {limit} columns; "
+                         "raise the setting or choose the map or the long_tail form of gold")
+
+
 def check_names(spark, names: list[str]) -> None:
     """Raise when there are more names than a wide table may have columns."""
-    limit = int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
-    if len(names) > limit:
-        raise ValueError(f"at least {len(names)} field names, but spark.sql.pivotMaxValues allows {limit} columns; "
-                         "raise the setting or choose the map form of gold")
+    check_limit(spark, len(names))
 
 
 def _stamp(df: DataFrame, params: RunParams) -> DataFrame:
@@ -178,6 +183,34 @@ def curated_wide_of_fields(records: DataFrame, params: RunParams, names: list[st
     return _wide_form(_stored_fields(records), params, names)
 
 
+def head_names(records: DataFrame, columns: int) -> list[str]:
+    """The ``columns`` field names that most records have a valid value for, commonest first, ties by name.
+
+    Counted exactly from a ``record_fields`` table: names fold on the map side, a name is counted once per record, and
+    only the chosen ones reach the driver, however many there are.
+    """
+    if columns < 0:
+        raise ValueError(f"columns must not be negative, got {columns}")
+    check_limit(records.sparkSession, columns)
+    if columns == 0:
+        return []
+    names = _record_maps(_stored_fields(records)).select(F.explode(F.map_keys("_m")).alias("name"))
+    top = names.groupBy("name").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "name").limit(columns)
+    return [r.name for r in top.collect()]
+
+
+def curated_long_tail(records: DataFrame, params: RunParams, heads: list[str]) -> DataFrame:
+    """Gold with one column per name of ``heads`` and the record's other valid fields in the map ``fields``.
+
+    From a ``record_fields`` table, without any exchange and for any number of names; no name is lost. The map is
+    empty when the columns hold all of a record's fields. Without heads this is the map form.
+    """
+    check_names(records.sparkSession, heads)
+    cols = [F.element_at("_m", F.lit(n)).alias(c) for n, c in column_plan(heads)]
+    rest = F.map_filter("_m", lambda k, _: ~k.isin(*heads)) if heads else F.col("_m")
+    return _stamp(_record_maps(_stored_fields(records)).select(*GOLD_KEYS, *cols, rest.alias(MAP_COLUMN)), params)
+
+
 def run_summary(silver: DataFrame, params: RunParams, sources: DataFrame | None = None) -> DataFrame:
     """One quality row per (run, source): records, fields, valid fields,
     distinct names, validity rate, and ``type=n`` counts sorted by type.

@@ -363,6 +363,16 @@ def oracle_queries() -> dict[str, str]:
     q["gold_map_form"] = " UNION ALL ".join(
         f"SELECT record_id, '{n}' AS field_name, \"{n}\" AS field_value FROM ({PAGE_GOLD}) WHERE \"{n}\" IS NOT NULL"
         for n in ("href", "key", "text", "value"))
+    note = "list_value('N/A', 'n/a', '-', 'null', 'None', 'NULL', 'NA', 'nan', '', '   ', 'none', 'ok')[c_custkey % 12 + 1]"
+    tail_fields = " UNION ALL ".join(
+        f"SELECT {cust_rid()} AS record_id, {name} AS field_name, {gold_value(value)} AS field_value FROM customer"
+        for name, value in (("'name'", "c_name"), ("'segment'", "c_mktsegment"), ("'note'", note),
+                            ("'nation_' || c_nationkey", dec2("c_acctbal")), ("'key_' || c_custkey", "CAST(c_custkey AS VARCHAR)")))
+    q["gold_long_tail"] = f"""
+      WITH f AS (SELECT * FROM ({tail_fields}) WHERE field_value IS NOT NULL),
+      heads AS (SELECT field_name FROM f GROUP BY field_name ORDER BY count(*) DESC, field_name LIMIT 5)
+      SELECT record_id, CASE WHEN field_name IN (SELECT field_name FROM heads) THEN 'column' ELSE 'map' END AS place,
+             field_name, field_value FROM f"""
     q["gold_collision"] = f"""
       SELECT {cust_rid()} AS record_id, 'row' AS record_type, {NULL_INT} AS table_index, {NULL_INT} AS row_index,
              'customer' AS source_url, '{SCRAPED}' AS scraped_at, '{RUN}' AS run_id,
@@ -425,6 +435,10 @@ def oracle_queries() -> dict[str, str]:
         f"SELECT '{RUN}' AS run_id, '{P.run_timestamp}' AS run_timestamp, 'pages' AS source_url, '{layer}' AS layer, "
         f"'success' AS status, CAST({n} AS BIGINT) AS row_count, '' AS message"
         for layer, n in (("bronze", n_rec), ("silver", n_sil), ("gold", n_gold)))
+    q["run_resumed"] = " UNION ALL ".join(
+        f"SELECT '{RUN}' AS run_id, '{layer}' AS layer, '{status}' AS status, CAST({n} AS BIGINT) AS row_count, {kept} AS kept"
+        for layer, status, n, kept in (("bronze", "success", n_rec, "false"), ("silver", "success", n_sil, "false"), ("gold", "failed", 0, "false"),
+                                       ("bronze", "success", n_rec, "true"), ("silver", "success", n_sil, "true"), ("gold", "success", n_gold, "false")))
     # some customer has the key 1, so the run must fail
     q["run_log_failed"] = f"""
       SELECT '{RUN}' AS run_id, '{P.run_timestamp}' AS run_timestamp, 'customer' AS source_url, 'bronze' AS layer,

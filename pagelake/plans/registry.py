@@ -21,7 +21,7 @@ from ..schemas import BRONZE_SCHEMA
 from ..session import scratch_dir
 from ..sources.extract import distinct_pages, extract_raw, extract_records, payload_records
 from ..sources.tables import TableStore, encode_complex, register_tables
-from .medallion import run_medallion
+from .medallion import EARLIER, run_medallion
 from .runlog import read_log
 
 P = RunParams.fixed()
@@ -420,6 +420,39 @@ def q_gold_map_form(spark, sf_dir):
     return G.curated_map_in_row(bronze, P).select("record_id", F.explode(G.MAP_COLUMN).alias("field_name", "field_value"))
 
 
+HEADS = 5  # columns of the long-tail query: two names that all customers have, three of the nations' names
+
+
+def q_gold_long_tail(spark, sf_dir):
+    """A run whose gold has columns for the commonest names and a map for the others: every customer has a name and a segment,
+    a name of its nation and one of its own, so the names grow with the table. One row per record and field, with its place."""
+    c = _t(spark, sf_dir, "customer")
+    payload = F.create_map(
+        F.lit("Name"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment"), F.lit("note"), _token_col(),
+        F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")), F.col("c_acctbal").cast("decimal(12,2)").cast("string"),
+        F.concat(F.lit("key "), F.col("c_custkey").cast("string")), F.col("c_custkey").cast("string"))
+    records = payload_records(c, P, "c_custkey", payload, "customer", "row")
+    res = run_medallion(spark, None, P, _store(spark, "long_tail"), records=records, gold_form="long_tail", head_columns=HEADS)
+    columns = F.explode(F.map_from_arrays(F.array(*[F.lit(n) for n in res.field_names]), F.array(*[F.col(f"`{n}`") for n in res.field_names])))
+    heads = res.gold.select("record_id", F.lit("column").alias("place"), columns.alias("field_name", "field_value")).where("field_value is not null")
+    return heads.unionByName(res.gold.select("record_id", F.lit("map").alias("place"), F.explode(G.MAP_COLUMN).alias("field_name", "field_value")))
+
+
+def q_run_resumed(spark, sf_dir):
+    """A run over ``pages`` that fails in gold (more names than columns allowed) and goes on from there when it is tried again: the log of both."""
+    store, pages, limit = _store(spark, "resumed"), _t(spark, sf_dir, "pages"), "spark.sql.pivotMaxValues"
+    before = spark.conf.get(limit, None)
+    spark.conf.set(limit, "1")
+    try:
+        run_medallion(spark, pages, P, store)
+    except ValueError:  # logged as the failed layer, which the result shows
+        pass
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
+    run_medallion(spark, pages, P, store, resume=True)
+    return read_log(store, P).select("run_id", "layer", "status", "row_count", (F.col("message") == EARLIER).alias("kept"))
+
+
 def _summary(spark, pages: DataFrame, relational: bool = False) -> DataFrame:
     sources = pages.select(F.col("url").alias("source_url"))
     b = to_bronze(extract_records(pages, P), P)
@@ -668,6 +701,7 @@ QUERIES = {
     "gold_curated": q_gold_curated,
     "gold_keys_join": q_gold_keys_join,
     "gold_map_form": q_gold_map_form,
+    "gold_long_tail": q_gold_long_tail,
     "gold_in_row": q_gold_in_row,
     "gold_curated_pages": q_gold_curated_pages,
     "gold_collision": q_gold_collision,
@@ -683,6 +717,7 @@ QUERIES = {
     "sink_schema_drift": q_sink_schema_drift,
     "run_log": q_run_log,
     "run_log_failed": q_run_log_failed,
+    "run_resumed": q_run_resumed,
     "sink_append_twice": q_sink_append_twice,
     "catalog_tables": q_catalog_tables,
     "catalog_drift": q_catalog_drift,

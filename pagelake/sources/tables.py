@@ -16,6 +16,7 @@ Tables whose columns change between runs (gold) are read with
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass
 
@@ -26,6 +27,7 @@ from pyspark.sql.types import ArrayType, MapType, StringType, StructField, Struc
 log = logging.getLogger("pagelake.tables")
 
 PARTITION_COLUMN = "run_id"
+COMMITS = "_commits"  # markers of the layers that an unfinished run has written
 MODES = ("append", "replace_run", "overwrite", "errorifexists")
 
 
@@ -62,7 +64,7 @@ class TableStore:
         return _exists(self.spark, self.path(name))
 
     def write(self, df: DataFrame, name: str, mode: str = "append",
-              run_id: str | None = None) -> int:
+              run_id: str | None = None, lookup: str | None = None) -> int:
         """Write ``df``; returns the number of rows written, measured by an
         ``Observation`` on the write itself (no second job).
 
@@ -73,21 +75,31 @@ class TableStore:
 
         ``append`` adds rows.  ``replace_run`` replaces the rows of the runs
         it writes and keeps the others, so a retried run leaves one copy.
+
+        ``lookup`` names a column that readers look single values up by: each file is sorted by it (no
+        exchange) and carries a Bloom filter of it, so that ``column = value`` reads only the row groups, and of these the
+        pages, that can hold the value.
         """
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
         obs = Observation(f"rows_{name}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        options = {}
+        if lookup is not None:
+            # a write by run sorts by the run first; asked for here, the order below it survives
+            observed = observed.sortWithinPartitions(*([] if run_id is not None else [PARTITION_COLUMN]), lookup)
+            # adaptive: the smallest filter that fits a row group's distinct values
+            options = {f"parquet.bloom.filter.enabled#{lookup}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
         if mode == "errorifexists" and self.exists(name):
             raise FileExistsError(f"table {self.path(name)} already exists")
         if run_id is not None:
             observed.drop(PARTITION_COLUMN).write.mode("append" if mode == "append" else "overwrite").format("parquet") \
-                .save(self.partition_path(name, run_id))
+                .options(**options).save(self.partition_path(name, run_id))
             if mode == "overwrite":
                 # only after the new run is written: a failed write loses nothing
                 self._delete_other_runs(name, run_id)
         else:
-            w = observed.write.format("parquet").partitionBy(PARTITION_COLUMN).mode("append" if mode == "append" else "overwrite")
+            w = observed.write.format("parquet").options(**options).partitionBy(PARTITION_COLUMN).mode("append" if mode == "append" else "overwrite")
             if mode == "replace_run":
                 w = w.option("partitionOverwriteMode", "dynamic")
             w.save(self.path(name))
@@ -112,6 +124,39 @@ class TableStore:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.partition_path(name, run_id))
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def commit_layer(self, run_id: str, layer: str, facts: dict) -> None:
+        """Mark a run's layer as written, with what a later try must know of it. The marker appears whole or not at all."""
+        jvm = self.spark.sparkContext._jvm
+        folder = self.partition_path(COMMITS, run_id)
+        path, part = (jvm.org.apache.hadoop.fs.Path(f"{folder}/{f}") for f in (f"{layer}.json", f"_{layer}.tmp"))
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        out = fs.create(part, True)
+        try:
+            out.write(bytearray(json.dumps(facts).encode()))
+        finally:
+            out.close()
+        fs.delete(path, False)
+        if not fs.rename(part, path):
+            raise OSError(f"could not write the marker {path}")
+
+    def committed_layers(self, run_id: str) -> dict[str, dict]:
+        """The markers of a run by layer."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.partition_path(COMMITS, run_id))
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(folder):
+            return {}
+        paths = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json")]
+        found = {}
+        for path in paths:
+            stream = fs.open(path)
+            try:
+                text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            found[path.getName()[:-len(".json")]] = json.loads(text)
+        return found
+
     def partition_path(self, name: str, run_id: str) -> str:
         esc = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog \
             .ExternalCatalogUtils.escapePathName(run_id)

@@ -29,8 +29,8 @@ def batch_params(base: RunParams, batch_id: int) -> RunParams:
 
 def process_batch(batch: DataFrame, batch_id: int, base: RunParams, store: TableStore) -> None:
     """One micro-batch = one run with a run id derived from the batch id;
-    a replay of the same batch rewrites the same run partitions."""
-    run_medallion(batch.sparkSession, batch, batch_params(base, batch_id), store)
+    a replay of the same batch goes on where the failed try stopped."""
+    run_medallion(batch.sparkSession, batch, batch_params(base, batch_id), store, resume=True)
 
 
 def start_pages_stream(spark: SparkSession, source_dir: str, store: TableStore, checkpoint: str,
