@@ -293,6 +293,7 @@ def oracle_queries() -> dict[str, str]:
 
     q: dict[str, str] = {}
     q["extract_paragraphs"] = f"SELECT page_id, source_url, row_index, text FROM ({PARAGRAPHS})"
+    q["extract_byte_pages"] = q["extract_paragraphs"]
     q["extract_links"] = f"SELECT page_id, source_url, row_index, text, href FROM ({LINKS})"
     q["extract_metadata"] = f"SELECT page_id, source_url, row_index, meta_key, meta_value FROM ({TITLES})"
     q["extract_table_rows"] = f"SELECT * EXCLUDE (page_id) FROM ({PART_ROWS})"

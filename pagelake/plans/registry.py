@@ -78,6 +78,27 @@ def q_extract_paragraphs(spark, sf_dir):
         F.col("content_values")[0].alias("text"))
 
 
+def byte_pages(spark, sf_dir) -> DataFrame:
+    """``pages`` as bytes, dealt over four ways that a server may send them: UTF-8 as declared, UTF-16 with a byte order mark,
+    Latin-1 as declared, Latin-1 without a declaration. Pages with other signs than Latin-1's stay UTF-8."""
+    p = _t(spark, sf_dir, "pages")
+    way = F.when(F.col("html").rlike(r"[^\x00-\x7F\x{A0}-\x{FF}]"), 0).otherwise(F.col("page_id") % 4)
+    declared = r'(?i)<meta charset="?utf-8"?>'
+
+    def latin(meta):
+        return F.encode(F.regexp_replace("html", declared, meta), "ISO-8859-1")
+
+    html = (F.when(way == 1, F.concat(F.unhex(F.lit("FFFE")), F.encode("html", "UTF-16LE"))).when(way == 2, latin('<meta charset="iso-8859-1">'))
+            .when(way == 3, latin("")).otherwise(F.encode("html", "UTF-8")))
+    return p.select("page_id", "url", html.alias("html"))
+
+
+def q_extract_byte_pages(spark, sf_dir):
+    """Paragraphs of the pages as bytes in several character sets: those of the pages as text."""
+    return extract_raw(byte_pages(spark, sf_dir), kinds=("paragraph",)).select(
+        F.col("page_key").cast("long").alias("page_id"), "source_url", "row_index", F.col("content_values")[0].alias("text"))
+
+
 def q_extract_links(spark, sf_dir):
     raw = extract_raw(_t(spark, sf_dir, "pages"), kinds=("link",))
     return raw.select(
@@ -679,6 +700,7 @@ def q_view_run_log_latest(spark, sf_dir):
 
 QUERIES = {
     "extract_paragraphs": q_extract_paragraphs,
+    "extract_byte_pages": q_extract_byte_pages,
     "extract_links": q_extract_links,
     "extract_metadata": q_extract_metadata,
     "extract_table_rows": q_extract_table_rows,

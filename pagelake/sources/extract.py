@@ -29,17 +29,17 @@ _OUT_BATCH = 20_000
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Pages table ``(page_id, url, html)``.
 
-    ``fmt='parquet'`` reads a pages table; ``fmt='html'`` reads a folder of
-    HTML files, one page per file, the file path being the URL and a hash
-    of it the page id.
+    ``fmt='parquet'`` reads a pages table, whose ``html`` is text or bytes; ``fmt='html'`` reads a folder of
+    HTML files as bytes, one page per file, the file path being the URL and a hash
+    of it the page id.  Bytes become text where the page is parsed (``charset``).
     """
     if fmt == "parquet":
         return spark.read.parquet(path).select(*column_names(PAGES_SCHEMA))
     if fmt == "html":
-        df = spark.read.text(path, wholetext=True)
+        df = spark.read.format("binaryFile").load(path)
         url = F.col("_metadata.file_path")
         return df.select(
-            F.xxhash64(url).alias("page_id"), url.alias("url"), F.col("value").alias("html"))
+            F.xxhash64(url).alias("page_id"), url.alias("url"), F.col("content").alias("html"))
     raise ValueError(f"unknown pages format {fmt!r}")
 
 
@@ -50,6 +50,7 @@ def _extract_batches(batches, kinds=RECORD_TYPES, max_chars=None):
     the parser gives one row with the error instead of records."""
     import pyarrow as pa
 
+    from .charset import page_text
     from .html_records import extract
 
     schema = _arrow_schema()
@@ -65,6 +66,8 @@ def _extract_batches(batches, kinds=RECORD_TYPES, max_chars=None):
     def rows_of(html):
         if html is None:
             return [], "no html"
+        if isinstance(html, bytes):
+            html = page_text(html)
         if max_chars is not None and len(html) > max_chars:
             return [], f"longer than {max_chars} characters"
         try:
@@ -101,6 +104,7 @@ def _arrow_schema():
 def extract_tagged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                    kinds=RECORD_TYPES, tasks: int | None = None, max_chars: int | None = None) -> DataFrame:
     """One row per extracted element and one per page that gave none because of an error: ``TAGGED_SCHEMA``.
+    The page is text, or bytes in any character set.
 
     Write it before splitting it (``run_medallion`` does), so that every page is parsed once.
 
@@ -175,7 +179,7 @@ def distinct_pages(pages: DataFrame, copies: int = COPIES) -> DataFrame:
         return single
     same = F.expr("p.page_id <=> a.page_id and p.url <=> a.url")
     met = pages.alias("p").join(again.alias("a"), same, "left_semi")
-    folded = met.groupBy("page_id", "url", F.sha2(F.coalesce("html", F.lit("")), 256).alias("sha"), F.isnull("html").alias("bare")).agg(F.first("html").alias("html"), F.count(F.lit(1)).alias("n"))
+    folded = met.groupBy("page_id", "url", F.sha2(F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary")), 256).alias("sha"), F.isnull("html").alias("bare")).agg(F.first("html").alias("html"), F.count(F.lit(1)).alias("n"))
     runs = folded.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(copies).cast("long"))))
     spread = runs.repartition(met.sparkSession.sparkContext.defaultParallelism, "sha", "lo")
     each = spread.withColumn("k", F.explode(F.sequence("lo", F.least(F.col("lo") + copies, F.col("n")) - 1)))
