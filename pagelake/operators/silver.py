@@ -81,8 +81,20 @@ def record_field_array(bronze: DataFrame) -> DataFrame:
 
 def record_fields(bronze: DataFrame) -> DataFrame:
     """Bronze -> one row per record with the arrays ``FIELD_ARRAYS``, parallel and ordered by name and value (null
-    arrays where the payload isn't a JSON object): the table that silver, gold and summary of a run read."""
-    return record_field_array(bronze).select(*RECORD_KEYS, *[F.col(f"fields.{c}").alias(c) for c in FIELD_ARRAYS])
+    arrays where the payload isn't a JSON object): the table that silver, gold and summary of a run read.
+
+    A raw value that equals its non-empty cleaned value is left out (null), since most do; ``raw_value`` puts it back.
+    """
+    rec = record_field_array(bronze)
+    raw = F.transform("fields", lambda x: F.when((x["field_value_raw"] == x["field_value_clean"]) & (x["field_value_clean"] != ""), F.lit(None).cast("string"))
+                      .otherwise(x["field_value_raw"]))
+    return rec.select(*RECORD_KEYS, F.col("fields.field_name").alias("field_name"), F.col("fields.field_value_clean").alias("field_value_clean"),
+                      raw.alias("field_value_raw"))
+
+
+def raw_value(stored, clean) -> Column:
+    """The raw value of a ``record_fields`` entry: a missing one beside an empty cleaned value was null, any other equals the cleaned value."""
+    return F.when(stored.isNull() & (clean != ""), clean).otherwise(stored)
 
 
 def zipped_fields(*columns: str) -> Column:
@@ -119,7 +131,8 @@ def to_silver(bronze: DataFrame, params: RunParams) -> DataFrame:
 
 def silver_of_fields(records: DataFrame, params: RunParams) -> DataFrame:
     """Same result as ``to_silver`` from a ``record_fields`` table: nothing is parsed."""
-    return _finish(records.select(*RECORD_KEYS, F.inline_outer(zipped_fields(*FIELD_ARRAYS))), params)
+    exploded = records.select(*RECORD_KEYS, F.inline_outer(zipped_fields(*FIELD_ARRAYS)))
+    return _finish(exploded.withColumn("field_value_raw", raw_value(F.col("field_value_raw"), F.col("field_value_clean"))), params)
 
 
 def to_silver_relational(bronze: DataFrame, params: RunParams) -> DataFrame:

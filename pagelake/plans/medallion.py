@@ -61,6 +61,7 @@ class MedallionResult:
     quarantined: int = 0  # pages that gave no records because of an error
 
 
+PASSING = "zstd"  # compression of the tables that last as long as their run
 EARLIER = "committed by an earlier try"
 
 
@@ -157,7 +158,7 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
             src = pages if unique_pages else distinct_pages(pages)
             tagged = extract_tagged(src, tasks=parse_tasks, max_chars=max_page_chars)
             bad = Observation("quarantined")
-            store.write(tagged.observe(bad, F.count_if(F.col("error").isNotNull()).alias("n")), t.extracts, "replace_run", run_id=params.run_id)
+            store.write(tagged.observe(bad, F.count_if(F.col("error").isNotNull()).alias("n")), t.extracts, "replace_run", run_id=params.run_id, codec=PASSING)
             return int(bad.get.get("n") or 0)
 
         n_bad = layer("scrape", scrape)
@@ -182,7 +183,7 @@ def run_medallion(spark: SparkSession, pages: DataFrame, params: RunParams, stor
     bronze = store.read(t.bronze, run_id=params.run_id, columns=BRONZE_COLUMNS, schema=BRONZE_SCHEMA)
 
     def fields_step():
-        return store.write(record_fields(bronze), t.fields, "replace_run", run_id=params.run_id)
+        return store.write(record_fields(bronze), t.fields, "replace_run", run_id=params.run_id, codec=PASSING)
 
     def silver_layer():
         return store.write(silver_of_fields(fields(), params), t.silver, run_mode("silver", params.load_mode),

@@ -64,7 +64,7 @@ class TableStore:
         return _exists(self.spark, self.path(name))
 
     def write(self, df: DataFrame, name: str, mode: str = "append",
-              run_id: str | None = None, lookup: str | None = None) -> int:
+              run_id: str | None = None, lookup: str | None = None, codec: str | None = None) -> int:
         """Write ``df``; returns the number of rows written, measured by an
         ``Observation`` on the write itself (no second job).
 
@@ -78,18 +78,18 @@ class TableStore:
 
         ``lookup`` names a column that readers look single values up by: each file is sorted by it (no
         exchange) and carries a Bloom filter of it, so that ``column = value`` reads only the row groups, and of these the
-        pages, that can hold the value.
+        pages, that can hold the value.  ``codec``: compression of the files, else the session's.
         """
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
         obs = Observation(f"rows_{name}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        options = {}
+        options = {} if codec is None else {"compression": codec}
         if lookup is not None:
             # a write by run sorts by the run first; asked for here, the order below it survives
             observed = observed.sortWithinPartitions(*([] if run_id is not None else [PARTITION_COLUMN]), lookup)
             # adaptive: the smallest filter that fits a row group's distinct values
-            options = {f"parquet.bloom.filter.enabled#{lookup}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+            options |= {f"parquet.bloom.filter.enabled#{lookup}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
         if mode == "errorifexists" and self.exists(name):
             raise FileExistsError(f"table {self.path(name)} already exists")
         if run_id is not None:

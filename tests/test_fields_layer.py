@@ -12,7 +12,8 @@ from pagelake.sources.extract import payload_records
 
 P = RunParams.fixed()
 PAYLOADS = [(1, '{"Name": " A  b ", "name": "a", "x": "N/A"}'), (2, "{}"), (3, "[1]"), (4, None), (5, "not json"),
-            (6, '{"k": null, "K": "", "k ": "v"}'), (7, '{"a": "1", "A": "1", "a ": "1 "}'), (8, '{"only": "-"}')]
+            (6, '{"k": null, "K": "", "k ": "v"}'), (7, '{"a": "1", "A": "1", "a ": "1 "}'), (8, '{"only": "-"}'),
+            (9, '{"e": "", "s": "  ", "n": null, "v": "same", "w": " other "}')]
 
 
 @pytest.fixture()
@@ -36,8 +37,10 @@ def test_fields_table_follows_its_schema(layers):
 def test_layers_equal_those_parsed_from_bronze(layers):
     bronze, fields = layers
     assert _rows(S.silver_of_fields(fields, P)) == _rows(S.to_silver(bronze, P))
+    nine = {r.field_name: r.field_value_raw for r in S.silver_of_fields(fields, P).where("field_name in ('e', 's', 'n', 'v', 'w')").collect()}
+    assert nine == {"e": "", "s": "  ", "n": None, "v": "same", "w": " other "}
     names = G.field_names(S.to_silver(bronze, P))
-    assert names == ["a", "k", "name"]
+    assert names == ["a", "k", "name", "v", "w"]
     assert _rows(G.curated_wide_of_fields(fields, P, names)) == _rows(G.curated_wide_in_row(bronze, P, names))
     assert _rows(G.curated_map_of_fields(fields, P)) == _rows(G.curated_map_in_row(bronze, P))
     extra = bronze.sparkSession.createDataFrame([("none",), (None,)], "source_url string")
