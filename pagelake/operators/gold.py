@@ -154,7 +154,6 @@ def _map_form(fields: DataFrame, params: RunParams) -> DataFrame:
 
 
 def _wide_form(fields: DataFrame, params: RunParams, names: list[str]) -> DataFrame:
-    check_names(fields.sparkSession, names)
     cols = [F.element_at("_m", F.lit(n)).alias(c) for n, c in column_plan(names)]
     return _stamp(_record_maps(fields).select(*GOLD_KEYS, *cols), params)
 
@@ -175,11 +174,13 @@ def curated_wide_in_row(bronze: DataFrame, params: RunParams, names: list[str])
     Each bronze row holds all fields of its record; the valid fields are
     parsed and cleaned exactly as silver does and looked up by name.
     """
+    check_names(bronze.sparkSession, names)
     return _wide_form(_sorted_fields(bronze), params, names)
 
 
 def curated_wide_of_fields(records: DataFrame, params: RunParams, names: list[str]) -> DataFrame:
     """Gold wide from a ``record_fields`` table: no exchange, nothing is parsed, raw values are not read."""
+    check_names(records.sparkSession, names)
     return _wide_form(_stored_fields(records), params, names)
 
 
