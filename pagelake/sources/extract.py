@@ -13,6 +13,7 @@ import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import record_id
 from ..params import RunParams
@@ -22,8 +23,8 @@ from ..session import ship_package
 log = logging.getLogger("pagelake.extract")
 
 _EXTRACT_COLS = column_names(EXTRACT_SCHEMA)
-# records per Arrow batch handed back to Spark
-_OUT_BATCH = 20_000
+# records, and characters of their contents, per Arrow batch handed back to Spark
+_OUT_BATCH, _OUT_CHARS = 20_000, 4_000_000
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -45,8 +46,9 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 def _extract_batches(batches, kinds=RECORD_TYPES, max_chars=None):
     """Arrow batches of pages in, Arrow batches of tagged records out (at most
-    ``_OUT_BATCH`` records each, so output batches stay bounded however many
-    records the pages hold).  A page without HTML, longer than ``max_chars`` or beyond
+    ``_OUT_BATCH`` records and, but for the last of them, ``_OUT_CHARS`` characters each, so output batches stay bounded however many
+    records the pages hold).  A batch's pages become text one by one: beside the batch itself a task holds one page, its
+    records and one output batch.  A page without HTML, longer than ``max_chars`` or beyond
     the parser gives one row with the error instead of records."""
     import pyarrow as pa
 
@@ -55,6 +57,7 @@ def _extract_batches(batches, kinds=RECORD_TYPES, max_chars=None):
 
     schema = _arrow_schema()
     cols: list[list] = [[] for _ in schema.names]
+    chars = 0
 
     def flush():
         batch = pa.RecordBatch.from_arrays(
@@ -63,30 +66,36 @@ def _extract_batches(batches, kinds=RECORD_TYPES, max_chars=None):
             c.clear()
         return batch
 
+    too_long = f"longer than {max_chars} characters"
+
     def rows_of(html):
         if html is None:
             return [], "no html"
         if isinstance(html, bytes):
             html = page_text(html)
         if max_chars is not None and len(html) > max_chars:
-            return [], f"longer than {max_chars} characters"
+            return [], too_long
         try:
             return extract(html, kinds), None
         except Exception as exc:  # noqa: BLE001 - one page must not end the others' run
             return [], f"{type(exc).__name__}: {exc}"
 
     for rb in batches:
-        d = rb.to_pydict()
-        for key, url, html in zip(d["page_key"], d["source_url"], d["html"]):
-            records, error = rows_of(html)
+        html_col = rb.column("html")
+        left_out = rb.column("left_out").to_pylist() if "left_out" in rb.schema.names else [False] * rb.num_rows
+        for row, (key, url) in enumerate(zip(rb.column("page_key").to_pylist(), rb.column("source_url").to_pylist())):
+            records, error = ([], too_long) if left_out[row] else rows_of(html_col[row].as_py())
             if error is not None:
                 records = [(None, None, None, None, None)]
             for seq, record in enumerate(records):
                 rtype, t_idx, r_idx, keys, values = record
                 for c, v in zip(cols, (key, url, rtype, t_idx, r_idx, seq if error is None else None, keys, values, error)):
                     c.append(v)
-                if len(cols[0]) >= _OUT_BATCH:
+                chars += sum(map(len, keys or ())) + sum(map(len, values or ()))
+                if len(cols[0]) >= _OUT_BATCH or chars >= _OUT_CHARS:
                     yield flush()
+                    chars = 0
+        rb = html_col = None  # not beside the next one
     if cols[0]:
         yield flush()
 
@@ -112,12 +121,17 @@ def extract_tagged(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     ``tasks``: parse in that many tasks after a round-robin shuffle of the pages, for a few small files that
     arrive in fewer splits than there are cores. By default every scan split is one parse task and nothing is
     shuffled; on a large table a lower ``spark.sql.files.maxPartitionBytes`` gives more tasks.
-    ``max_chars``: longer pages are errors.
+    ``max_chars``: longer pages are errors. Where the page is text, its length is known before the parse: a longer one
+    isn't sent to Python (``left_out``).
     """
+    html, long = F.col(html_col), F.lit(False)
+    if max_chars is not None and pages.select(html).schema[0].dataType == StringType():
+        long = F.coalesce(F.length(html) > max_chars, F.lit(False))
     src = pages.select(
         F.col(id_col).cast("string").alias("page_key"),
         F.col(url_col).alias("source_url"),
-        F.col(html_col).alias("html"),
+        F.when(~long, html).alias("html"),
+        long.alias("left_out"),
     )
     ship_package(pages.sparkSession)
     src = src.repartition(tasks) if tasks else src

@@ -138,3 +138,26 @@ def test_a_later_batch_is_a_later_load(spark, store):
     assert batch_params(P, 3).run_ts > batch_params(P, 2).run_ts and batch_params(P, 3) == batch_params(P, 3)
     with pytest.raises(ValueError, match="overwrite"):
         start_pages_stream(spark, "in", store, "checkpoint", P.with_(load_mode="overwrite"))
+
+
+def test_output_batches_are_bounded_by_characters():
+    import pyarrow as pa
+
+    from pagelake.sources import extract as X
+
+    text = "x" * 300_000
+    pages = pa.RecordBatch.from_pydict({"page_key": [str(k) for k in range(40)], "source_url": ["u"] * 40, "html": [f"<p>{text}</p>"] * 40})
+    out = list(X._extract_batches([pages]))
+    assert sum(b.num_rows for b in out) == 40 and {r for b in out for r in b.column("content_values").to_pylist()[0]} == {text}
+    assert max(sum(len(v) for c in b.column("content_values").to_pylist() for v in c) for b in out) < X._OUT_CHARS + len(text)
+
+
+def test_pages_over_the_limit_are_not_sent_to_python(spark):
+    rows = [(1, "<p>" + "\U0001F600" * 17), (2, "<p>" + "\U0001F600" * 18), (3, None), (4, "<p>a")]  # 20 characters are the limit
+    pages = spark.createDataFrame([(k, f"u{k}", h) for k, h in rows], "page_id long, url string, html string")
+    tagged = extract_tagged(pages, max_chars=20)
+    got = {r.page_key: r.error for r in tagged.collect()}
+    assert got == {"1": None, "2": "longer than 20 characters", "3": "no html", "4": None}
+    as_bytes = extract_tagged(pages.withColumn("html", F.encode("html", "UTF-8")), max_chars=20)
+    assert {r.page_key: r.error for r in as_bytes.collect()} == got
+    assert "left_out" in tagged._jdf.queryExecution().optimizedPlan().toString()
