@@ -51,8 +51,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each interval of ``a`` (scope, start, end): is one of ``b`` in its scope and not overlapping it?
+def _near(a: np.ndarray, b: np.ndarray, reach: int | None = None) -> np.ndarray:
+    """For each interval of ``a`` (scope, start, end): is one of ``b`` in its scope, not overlapping it and, with a ``reach``, at most so far off?
 
     Intervals of one kind don't overlap each other, so starts and ends are sorted alike, and the last
     that ends before and the first that starts after decide.
@@ -61,8 +61,12 @@ def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.zeros(len(a), bool)
     prev = np.searchsorted(b[:, 2], a[:, 1], side="right") - 1
     nxt = np.searchsorted(b[:, 1], a[:, 2], side="left")
-    left = (prev >= 0) & (b[np.maximum(prev, 0), 0] == a[:, 0])
-    right = (nxt < len(b)) & (b[np.minimum(nxt, len(b) - 1), 0] == a[:, 0])
+    before, after = b[np.maximum(prev, 0)], b[np.minimum(nxt, len(b) - 1)]
+    left = (prev >= 0) & (before[:, 0] == a[:, 0])
+    right = (nxt < len(b)) & (after[:, 0] == a[:, 0])
+    if reach is not None:
+        left &= a[:, 1] - before[:, 2] <= reach
+        right &= after[:, 1] - a[:, 2] <= reach
     return left | right
 
 
