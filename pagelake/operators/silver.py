@@ -10,9 +10,9 @@ Two forms with the same result:
   A run parses once: ``record_fields`` is that per-record form as a table (three parallel
   arrays, so a reader of names and cleaned values doesn't read the raw ones); silver, gold and
   summary start from it (``silver_of_fields``).
-* ``to_silver_relational`` explodes first and removes duplicates with a
-  grouped aggregate on ``(record, field_name, field_value_clean)``: one
-  hash exchange.  Kept as the cross-check for the in-row form and for
+* ``to_silver_relational`` brings the rows of a record together (``spread``: one
+  hash exchange, of unexploded rows), explodes and removes duplicates with a
+  grouped aggregate on ``(record, field_name, field_value_clean)``.  Kept as the cross-check for the in-row form and for
   inputs whose record ids may repeat.
 
 Duplicate rule: among fields of one record with equal normalised name and
@@ -39,6 +39,17 @@ def _let(value: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(value), fn), 1)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` hash-partitioned on ``record_id`` into as many tasks as the session shuffles into, none of them merged.
+
+    For a grouping on the record (and more) whose aggregates are texts: Spark sorts for these, on the map side all rows of a
+    scan split, which one parquet row group or file can make most of a table.  After this exchange the
+    rows are sorted where they are grouped, a share of the table in each task, and the grouping needs no other exchange.
+    Not on the other keys: those that are literals leave a grouping's keys, and it would exchange its rows again.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "record_id")
+
+
 def parsed_fields(content: Column) -> Column:
     """JSON payload -> ``array<struct<field_name, field_value_clean,
     field_position, field_value_raw>>`` sorted by name, value, position.
@@ -137,7 +148,7 @@ def silver_of_fields(records: DataFrame, params: RunParams) -> DataFrame:
 
 def to_silver_relational(bronze: DataFrame, params: RunParams) -> DataFrame:
     """Same result as ``to_silver`` via explode + grouped de-duplication."""
-    parsed = bronze.select(*RECORD_KEYS, F.from_json("content", PAYLOAD_MAP).alias("m"))
+    parsed = spread(bronze.select(*RECORD_KEYS, "content")).select(*RECORD_KEYS, F.from_json("content", PAYLOAD_MAP).alias("m"))
     exploded = parsed.select(*RECORD_KEYS, F.posexplode_outer("m").alias("pos", "k", "v"))
     cleaned = exploded.select(
         *RECORD_KEYS,

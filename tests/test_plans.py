@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pagelake.operators import gold as G
 from pagelake.operators import views as V
 from pagelake.operators.bronze import to_bronze
-from pagelake.operators.silver import to_silver
+from pagelake.operators.silver import to_silver, to_silver_relational
 from pagelake.params import RunParams
 from pagelake.sources.extract import extract_records
 
@@ -85,3 +85,26 @@ def test_in_row_summary_has_three_exchanges_and_one_scan(spark, tmp_path):
     b = spark.read.parquet(str(tmp_path / "bronze"))
     plan = _plan(G.run_summary_in_row(b, P))
     assert plan.count("Exchange hashpartitioning") <= 3 and plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def _written_silver(spark, tmp_path):
+    bronze = _layers(spark)[1]
+    bronze.write.parquet(str(tmp_path / "bronze"))
+    return to_silver(spark.read.parquet(str(tmp_path / "bronze")), P)
+
+
+def _spread_first(df, exchanges: int) -> None:
+    """So many exchanges, into the session's number of tasks, and below them nothing that sorts or folds a scan split."""
+    plan = _plan(df)
+    n = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == exchanges, plan
+    assert plan.count(f", {n}), REPARTITION_BY_NUM") == exchanges, plan
+    below = plan.rsplit("Exchange", 1)[1]
+    assert "Aggregate" not in below and "Sort" not in below, plan
+
+
+def test_relational_silver_sorts_no_scan_split(spark):
+    # most record keys are literals here; the grouping must not exchange its rows again
+    _spread_first(to_silver_relational(to_bronze(spark.range(10).selectExpr(
+        "string(id) as record_id", "'row' as record_type", "int(null) as table_index", "int(null) as row_index",
+        """'{"a": "1", "A": "1"}' as content""", "'u' as source_url", "'t' as scraped_at", "'b' as batch_id"), P), P), 1)
