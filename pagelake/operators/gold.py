@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import is_valid_value, rate_pct
 from ..params import RunParams
 from ..schemas import COLLISION_PREFIX, GOLD_KEYS, GOLD_MAP, GOLD_RESERVED, GOLD_STAMP, UNKNOWN_FIELD
-from .silver import RECORD_KEYS, first_valid_per_name, parsed_fields, record_field_array, zipped_fields
+from .silver import RECORD_KEYS, first_valid_per_name, parsed_fields, record_field_array, spread, zipped_fields
 
 MAP_COLUMN = GOLD_MAP
 
@@ -100,7 +100,8 @@ def curated_wide(silver: DataFrame, params: RunParams, names: list[str] | None =
     carried = [k for k in GOLD_KEYS if k not in ("run_id", "record_id")]
     aggs = [F.min(k).alias(k) for k in carried] + [
         F.min(F.when(name == F.lit(c), F.col("field_value_clean"))).alias(c) for _, c in plan]
-    wide = valid.groupBy("run_id", "record_id").agg(*aggs)
+    rows = spread(valid.select(*GOLD_KEYS, "field_name", "field_value_clean"))
+    wide = rows.groupBy("run_id", "record_id").agg(*aggs)
     return _stamp(wide.select(*GOLD_KEYS, *[c for _, c in plan]), params)
 
 
@@ -123,7 +124,8 @@ def curated_wide_keys_join(silver: DataFrame, params: RunParams,
 
 def curated_map(silver: DataFrame, params: RunParams) -> DataFrame:
     """Silver (long) -> one row per record with a map of its valid fields."""
-    per_name = silver.filter(F.col("is_valid")).groupBy(*GOLD_KEYS, "field_name").agg(F.min("field_value_clean").alias("v"))
+    rows = spread(silver.filter(F.col("is_valid")).select(*GOLD_KEYS, "field_name", "field_value_clean"))
+    per_name = rows.groupBy(*GOLD_KEYS, "field_name").agg(F.min("field_value_clean").alias("v"))
     fields = F.map_from_entries(F.array_sort(F.collect_list(F.struct("field_name", "v"))))
     return _stamp(per_name.groupBy(*GOLD_KEYS).agg(fields.alias(MAP_COLUMN)), params)
 

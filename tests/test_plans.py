@@ -103,6 +103,14 @@ def _spread_first(df, exchanges: int) -> None:
     assert "Aggregate" not in below and "Sort" not in below, plan
 
 
+def test_grouped_gold_sorts_no_scan_split(spark, tmp_path):
+    _spread_first(G.curated_wide(_written_silver(spark, tmp_path), P, ["href", "key", "text", "value"]), 1)
+
+
+def test_map_gold_sorts_no_scan_split(spark, tmp_path):
+    _spread_first(G.curated_map(_written_silver(spark, tmp_path), P), 1)
+
+
 def test_relational_silver_sorts_no_scan_split(spark):
     # most record keys are literals here; the grouping must not exchange its rows again
     _spread_first(to_silver_relational(to_bronze(spark.range(10).selectExpr(
