@@ -114,8 +114,9 @@ def curated_wide_keys_join(silver: DataFrame, params: RunParams,
     check_names(silver.sparkSession, names)
     plan = column_plan(names)
     valid = silver.filter(F.col("is_valid"))
-    keys = valid.select(*GOLD_KEYS).dropDuplicates(["record_id"])
-    pivoted = (valid.withColumn("field_name", _renamed(plan)).withColumnRenamed("record_id", "_rid")
+    keys = spread(valid.select(*GOLD_KEYS)).dropDuplicates(["record_id"])
+    fields = spread(valid.select("record_id", "field_name", "field_value_clean"))
+    pivoted = (fields.withColumn("field_name", _renamed(plan)).withColumnRenamed("record_id", "_rid")
                .groupBy("_rid").pivot("field_name", [c for _, c in plan]).agg(F.min("field_value_clean")))
     # both sides are hash-partitioned on the record id: merge join, no broadcast
     wide = keys.join(pivoted.hint("merge"), keys["record_id"] == pivoted["_rid"], "left").drop("_rid")

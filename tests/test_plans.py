@@ -111,6 +111,10 @@ def test_map_gold_sorts_no_scan_split(spark, tmp_path):
     _spread_first(G.curated_map(_written_silver(spark, tmp_path), P), 1)
 
 
+def test_keys_join_sorts_no_scan_split(spark, tmp_path):
+    _spread_first(G.curated_wide_keys_join(_written_silver(spark, tmp_path), P, ["href", "key", "text", "value"]), 2)
+
+
 def test_relational_silver_sorts_no_scan_split(spark):
     # most record keys are literals here; the grouping must not exchange its rows again
     _spread_first(to_silver_relational(to_bronze(spark.range(10).selectExpr(
