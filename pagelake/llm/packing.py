@@ -21,8 +21,11 @@ result.
 
 from __future__ import annotations
 
+import re
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,14 @@ from .common import cut, map_rows, slices
 SIZE = 2048
 VOCABULARY = "byte_bpe_50k.json"
 SLICES = 4096  # slices beyond one per length, in all
-MEMO, STORED = 60_000, 1_000_000  # words at hand, and words of a stored generation, that a worker keeps encoded
+MEMO, STORED = 120_000, 750_000  # words at hand, and words of a stored generation, that a worker keeps encoded
+#: runs of letters, digits and signs as a byte-level vocabulary cuts them, for words of these characters alone; \p{L} and \p{N} of rarer ones are the tokenizer's to know
+LETTER, DIGIT, SIGN = "A-Za-zÀ-ÖØ-öø-ſ", "0-9", r"!-/:-@\[-`{-~"
+PLAIN = re.compile(f"[{LETTER}{DIGIT}{SIGN}]+").fullmatch
+PARTS = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[{DIGIT}]+| ?[{SIGN}]+").findall
+#: the characters that stand for the bytes in a byte-level vocabulary
+UNSEEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+SHOWN = "".join(chr(256 + UNSEEN.index(b)) if b in UNSEEN else chr(b) for b in range(256))
 
 
 class Store:
@@ -65,16 +75,17 @@ class Encoder:
     A byte-level vocabulary never joins across the parts that its pattern cuts. In a run of white space the last character
     goes with the word after it if it is a space, and stands alone otherwise; the run's others are one part. So where no run is longer
     than two (one at the text's end), a text is cut at line ends and spaces, and each word is looked up with the space before it.
-    The new words of some texts go through the tokenizer together, a line each: the token of the line end tells them apart.  Other texts, and
+    A new word of Latin letters, digits and ASCII signs is cut as the pattern cuts it, and its parts go straight to the tokenizer's model. Other new
+    words of some texts go through the tokenizer together, a line each: the token of the line end tells them apart.  Other texts, and
     vocabularies of another kind, are encoded whole.
 
-    A worker keeps ``MEMO`` words at hand and two generations of ``STORED`` words in compact arrays (together about 80 MB at most): a
+    A worker keeps ``MEMO`` words at hand and two generations of ``STORED`` words in compact arrays (together about 80 MB at most; a word's
+    key is its hash in this process): a
     word asked for again is handed on, the others go with their generation.
     """
 
     def __init__(self, path: str):
         import json
-        import re
 
         from tokenizers import Tokenizer
 
@@ -90,6 +101,7 @@ class Encoder:
         pre = spec["pre_tokenizer"] or {}
         self.by_word = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                         and spec["normalizer"] is None and spec["post_processor"] is None and len(self.end) == 1)
+        self.by_part = self.by_word and spec["model"]["type"] == "BPE" and all(t["special"] for t in spec["added_tokens"])
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -118,8 +130,6 @@ class Encoder:
 
     def _learn(self, asked: set[str]) -> None:
         """All words of ``asked`` to hand."""
-        import xxhash
-
         if len(self.near) > MEMO:
             for keys, tokens in self.fresh:
                 self.store.add(keys, tokens)
@@ -127,7 +137,7 @@ class Encoder:
             if len(self.store.keys) > STORED:
                 self.store, self.older = Store(), self.store
         missing = list(asked.difference(self.near))
-        keys = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in missing), np.uint64, len(missing))
+        keys = np.fromiter(map(hash, missing), np.int64, len(missing)).view(np.uint64)
         found = self.store.find(keys)
         lost = [k for k, x in enumerate(found) if x is None]
         for k, x in zip(lost, self.older.find(keys[lost])):
@@ -141,6 +151,30 @@ class Encoder:
 
     def _encoded(self, words: list[str]) -> list[bytes]:
         """Tokens of " word" or, at the start of a line, of the line end and "word"."""
+        if not self.by_part:
+            return self._by_line(words)
+        ids, at, rest = [], [0], []
+        model, number, end = self.tok.model.tokenize, attrgetter("id"), int(self.end[0])
+        for w in words:
+            line = w[:1] == "\n"
+            if w.isalpha() and w.isascii():
+                ids.extend(map(number, model("Ġ" + w)))
+            elif PLAIN(w, line):  # from 1 on if the line end is there
+                if line:
+                    ids.append(end)
+                for part in PARTS(w, 1) if line else PARTS(" " + w):
+                    # the bytes of a part, each as the character that shows it
+                    ids.extend(map(number, model(part.replace(" ", "Ġ") if part.isascii() else charmap_decode(part.encode(), "strict", SHOWN)[0])))
+            else:
+                rest.append(len(at) - 1)
+            at.append(len(ids))
+        raw = np.array(ids, "<u4").tobytes()
+        out = [raw[4 * a : 4 * b] for a, b in zip(at, at[1:])]
+        for k, x in zip(rest, self._by_line([words[k] for k in rest])):
+            out[k] = x
+        return out
+
+    def _by_line(self, words: list[str]) -> list[bytes]:
         head, out = self.end.tobytes(), []
         # white space in a word is a run with what stands around it
         alone = {k for k, w in enumerate(words) if len(w.split()) != 1 or w[-1].isspace() or w[1:2].isspace() or (w[0] != "\n" and w[0].isspace())}
