@@ -708,6 +708,74 @@ def test_toxicity_ratios_against_plain_counts(spark):
             assert got[k].peak == pytest.approx(max(want))
 
 
+@pytest.mark.parametrize("keys,own", [(9, 4_000), (9, 60), (10**6, 4_000)])
+def test_toxicity_counts_expressions_of_one_document_too(spark, monkeypatch, keys, own):
+    """Mean and highest ratio from plain dictionaries of all expressions, whichever are in memory, a text's own or asked for by small blocks."""
+    for name, n in (("PART", 100), ("ASKS", 150), ("TEXTS", 20), ("FLUSH", 500), ("OWN", own)):
+        monkeypatch.setattr(toxicity, name, n)
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k: rng.choice(letters[:14]) if rng.random() < 0.8 else rng.choice("gr" if k % 7 == 0 else "xy") + "".join(rng.choice(letters) for _ in range(2))
+    texts = [" ".join(word(k) for _ in range(rng.randint(0, 25))) for k in range(240)]
+    texts[7] = texts[21] = texts[30] = "grudge " + texts[7]  # one text in both classes
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t in enumerate(texts)], SCHEMA)
+    rows = [(k, int(k % 7 == 0)) for k in range(200)] + [(k, 1) for k in range(50, 54)]  # ids with two labels
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+    share = min(0.2, 40 / sum(zlib.crc32(str(k).encode()) % 5 != 0 for k, _ in rows))
+    aside = {r.doc_id for r in labels.where(toxicity.uniform(F.lit("curve"), F.col("doc_id")) < share).collect()}
+    count = {n: [Counter(), Counter()] for n in (1, 2)}
+    for k, y in rows:
+        w = texts[k].split()
+        for n in (1, 2) if zlib.crc32(str(k).encode()) % 5 and k not in aside else ():
+            count[n][y].update({tuple(w[i : i + n]) for i in range(len(w) - n + 1)})
+
+    def ratio(x):
+        tables = count[len(x)]
+        ordinary, toxic = (t[x] for t in tables)
+        if not ordinary + toxic and len(x) > 1:
+            return None
+        shared = max((ordinary > 0) + (toxic > 0), 0.5) / (len(tables[0]) + len(tables[1]))
+        logs = [math.log(max(c - 0.75, 0) / sum(t.values()) + 0.75 * len(t) / sum(t.values()) * shared) for c, t in ((ordinary, tables[0]), (toxic, tables[1]))]
+        return logs[1] - logs[0]
+
+    model, rest = toxicity.fit(docs, labels, keys=keys, curve_rows=40, least=1)
+    assert rest.count() == (len({x for n in (1, 2) for t in count[n] for x in t}) - len(model.table[0])) and (rest.count() > 1000) == (keys == 9)
+    got = {r.doc_id: r for r in toxicity.score(docs, model, rest).collect()}
+    assert len(got) == len(texts)
+    for k, text in enumerate(texts):
+        w = text.split()
+        want = [ratio((w[i],)) if i == 0 or ratio((w[i - 1], w[i])) is None else ratio((w[i - 1], w[i])) - ratio((w[i - 1],)) for i in range(len(w))]
+        assert got[k].mean == pytest.approx(sum(want) / len(want) if want else 0.0)
+        if want:
+            assert got[k].peak == pytest.approx(max(want))
+
+
+def test_a_word_of_one_toxic_document_moves_the_score_of_another(spark):
+    rng = random.Random(5)
+    plain = lambda n: " ".join(f"w{chr(97 + rng.randrange(26))}" for _ in range(n))
+    name = lambda k: "".join(chr(97 + int(c)) for c in f"{k:03d}")
+    rows = [(k, plain(20) + (f" rage only{name(k)} rage" if k < 100 else ""), "en", "x", 9) for k in range(500)]
+    ends = [plain(8) for _ in range(100)]
+    rows += [(1000 + j, f"{ends[j % 100]} {'only' if j < 100 else 'none'}{name(j % 100)}", "en", "x", 9) for j in range(200)]
+    labels = spark.createDataFrame([(k, int(k < 100)) for k in range(500)], "doc_id long, toxic int")
+    score = {r.doc_id: r.score for r in toxicity.query(spark.createDataFrame(rows, SCHEMA), labels).collect()}
+    more = [score[1000 + j] > score[1100 + j] for j in range(100)]  # not those of held-out rows and the curve's
+    assert sum(more) >= 50 and all(m or score[1000 + j] == pytest.approx(score[1100 + j]) for j, m in enumerate(more))
+
+
+def test_texts_of_an_id_that_the_curve_does_not_take_are_counted(spark):
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(300)], "doc_id long, toxic int")
+    train = labels.where(~toxicity.held_out(F.col("doc_id")))
+    hot = train.where((F.col("toxic") == 1) & (toxicity.uniform(F.lit("curve"), F.col("doc_id")) < 10 / train.count())).first().doc_id
+    rng = random.Random(6)
+    rows = [(k, " ".join(f"w{chr(97 + rng.randrange(26))}" for _ in range(9)), "en", "x", 9) for k in range(300)]
+    rows += [(hot, f"wooden spoon {chr(97 + k % 26)}{chr(97 + k // 26)}", "en", "x", 9) for k in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    probe = spark.createDataFrame([(1, "wooden"), (2, "unseen")], "doc_id long, text string")
+    got = {r.doc_id: r.peak for r in toxicity.score(probe, *toxicity.fit(docs, labels, curve_rows=10)).collect()}
+    assert got[1] > got[2] + 1
+
+
 # --- pipeline ---
 
 
